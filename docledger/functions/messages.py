@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 from docledger.functions.status import first_filled, missing_required
 
 REPLY_FIELDS = ("status", "message", "error", "detail", "azure_blob_path", "blob_url",
-                "blob_path", "total_bytes", "sha256")
+                "blob_path", "total_bytes", "sha256", "data")
 
 
 def _col(c: Column | str) -> Column:
@@ -28,23 +28,21 @@ def _starts(text: Column, mark: str) -> Column:
 
 
 def parse_reply(body: Column | str) -> Column:
-    """A reply body as a struct of ``REPLY_FIELDS`` plus ``data``.
+    """A reply body as a struct of ``REPLY_FIELDS``.
 
     Text that is no JSON becomes the message, and so does a bare JSON string. JSON that is not
-    an object is kept whole in ``data``.
+    an object is kept whole in ``data``. Every body is first brought into the form of an object,
+    so that each is parsed only once.
     """
     text = _col(body)
-    fields = F.from_json(text, ", ".join(f"{name} string" for name in REPLY_FIELDS))
     is_json = _is_json(text)
-    is_object = is_json & _starts(text, "{")
-    is_string = is_json & _starts(text, '"')
-    message = (F.when(is_object, fields["message"])
-               .when(is_string, F.get_json_object(text, "$"))
-               .when(~is_json, text))
-    columns = [message if name == "message" else F.when(is_object, fields[name])
-               for name in REPLY_FIELDS]
-    return F.struct(*[c.alias(name) for c, name in zip(columns, REPLY_FIELDS)],
-                    F.when(is_json & ~is_object, text).alias("data"))
+    as_object = (
+        F.when(is_json & _starts(text, "{"), text)
+        .when(is_json & _starts(text, '"'),
+              F.concat(F.lit('{"message":'), text, F.lit(',"data":'), text, F.lit("}")))
+        .when(is_json, F.concat(F.lit('{"data":'), text, F.lit("}")))
+        .otherwise(F.to_json(F.struct(text.alias("message")))))
+    return F.from_json(as_object, ", ".join(f"{name} string" for name in REPLY_FIELDS))
 
 
 def parse_request(body: Column | str, fields: Sequence[str] = ("file_path", "ar_number"),

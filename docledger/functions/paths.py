@@ -135,13 +135,24 @@ def target_uri(base: str, key: Column | str) -> Column:
     return F.concat(F.lit(base.rstrip("/") + "/"), _col(key))
 
 
+def guid_parts(c: Column | str) -> tuple[Column, Column]:
+    """What stays of an identifier before and after the two characters a number replaces."""
+    segments = F.split(_col(c), "-")
+    head = F.when(F.size(segments) >= 5,
+                  F.concat(F.array_join(F.slice(segments, 1, 4), "-"), F.lit("-")))
+    return head, F.substr(F.get(segments, 4), F.lit(3))
+
+
+def two_digits(i: Column) -> Column:
+    """A number from 0 on as text of at least two digits."""
+    return F.when(i < 10, F.concat(F.lit("0"), i.cast("string"))).otherwise(i.cast("string"))
+
+
 def guid_suffix(c: Column | str, i: Column) -> Column:
     """Overwrite the first two characters of the fifth ``-`` segment with a number.
 
     The number has two digits (more from 100 on); segments after the fifth are dropped, and an
     identifier with fewer than five gives NULL.
     """
-    segments = F.split(_col(c), "-")
-    tail = F.concat(F.format_string("%02d", i), F.substr(F.get(segments, 4), F.lit(3)))
-    return F.when(F.size(segments) >= 5,
-                  F.concat(F.array_join(F.slice(segments, 1, 4), "-"), F.lit("-"), tail))
+    head, tail = guid_parts(c)
+    return F.concat(head, two_digits(i), tail)

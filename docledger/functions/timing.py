@@ -30,7 +30,7 @@ def iso_text(ts: Column | str) -> Column:
     """ISO text with microseconds only where there are any, and no offset."""
     fraction = F.date_format(_col(ts), "SSSSSS")
     seconds = F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss")
-    return F.when(fraction == "000000", seconds).otherwise(F.concat_ws(".", seconds, fraction))
+    return F.when(fraction == "000000", seconds).otherwise(F.concat(seconds, F.lit("."), fraction))
 
 
 def iso_utc(ts: Column | str) -> Column:

@@ -48,7 +48,8 @@ def running_totals(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
         for c in columns])
     inside = (Window.partitionBy("_block").orderBy(order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (blocks.join(offsets, "_block")
+    # A left join keeps both readings of ``df`` alike, so that Spark computes it once.
+    return (blocks.join(offsets, "_block", "left")
             .withColumns({f"cumulative_{c}": F.sum(c).over(inside) + F.col(f"_before_{c}")
                           for c in columns})
             .select(*df.columns, *[f"cumulative_{c}" for c in columns]))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docledger.functions.paths import full_path, guid_suffix
+from docledger.functions.paths import full_path, guid_parts, two_digits
 from docledger.functions.status import cast_code
 from docledger.operators.keys import not_succeeded, pending_only
 from docledger.schemas import WORKLIST
@@ -91,12 +91,24 @@ def column_compat(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def multiply_rows(df: DataFrame, n: int = 100,
-                  columns: Sequence[str] = ("document_id", "auth_request_id")) -> DataFrame:
-    """``n`` copies of each row with numbered identifiers, made in place without a join."""
+                  columns: Sequence[str] = ("document_id", "auth_request_id"),
+                  partitions: int | None = None) -> DataFrame:
+    """``n`` copies of each row with numbered identifiers, made in place without a join.
+
+    Identifiers are taken apart once per source row, not once per copy. ``partitions`` deals the
+    source rows out first, for a source with fewer partitions than the session has cores.
+    """
     if n < 1:
         raise ValueError("n must be at least 1")
-    copies = df.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return copies.withColumns({c: guid_suffix(c, F.col("_copy")) for c in columns}).drop("_copy")
+    rows = df if partitions is None else df.repartition(partitions)
+    parts = {}
+    for c in columns:
+        parts[f"_head_{c}"], parts[f"_tail_{c}"] = guid_parts(c)
+    numbers = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), two_digits)
+    copies = rows.withColumns(parts).withColumn("_copy", F.explode(numbers))
+    return copies.select(*[
+        F.concat(f"_head_{c}", "_copy", f"_tail_{c}").alias(c) if c in columns else F.col(c)
+        for c in df.columns])
 
 
 def new_documents(manifest: DataFrame, success: DataFrame, failure: DataFrame,

@@ -15,8 +15,9 @@ from docledger.sources.files import FileCopy, overwrite_guard
 def source_file(path: Column | str) -> Column:
     r"""Place of ``\\server\share\rest`` in a tree of mounted shares: ``server/share/rest``."""
     parts = parse_unc(path)
-    return F.concat_ws("/", parts["server"], parts["share"],
-                       F.translate(parts["relative"], "\\", "/"))
+    slash = F.lit("/")
+    return F.concat(parts["server"], slash, parts["share"], slash,
+                    F.translate(parts["relative"], "\\", "/"))
 
 
 def locate(worklist: DataFrame, prefix: str, template: str = "prefix/ar/file") -> DataFrame:

@@ -17,7 +17,7 @@ from docledger.operators.keys import previously_failed
 from docledger.operators.merge import merge, rows_to_insert, src, tgt
 from docledger.operators.summary import counters
 from docledger.schemas import AUDIT, ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
-from docledger.sources.ledger import Ledgers, read_ledger, touched_buckets, write_version
+from docledger.sources.ledger import Ledger, Ledgers, read_ledger, write_version
 
 # Staged outcomes whose measured text is below this may be broadcast.
 SMALL_BYTES = 64 * 1024 * 1024
@@ -208,14 +208,16 @@ def apply_outcomes(state: LedgerState, outcomes: DataFrame, at: Column | None =
         details_insert_if_absent(state.details, detail_rows(failed)))
 
 
-def measure(outcomes: DataFrame) -> dict[str, int]:
-    """Counters of staged outcomes, and their size: text as it is, 100 bytes for the rest of a row."""
+def measure(outcomes: DataFrame, ledger: Ledger) -> dict:
+    """Counters of staged outcomes, their size (text as it is, 100 bytes for the rest of a row) and
+    the ledger buckets they fall into, in one pass."""
     texts = [f.name for f in outcomes.schema.fields if f.dataType.simpleString() == "string"]
     size = F.lit(100)
     for name in texts:
         size = size + F.coalesce(F.octet_length(name), F.lit(0))
     total = F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("size")
-    return outcomes.agg(*counters(), total).first().asDict()
+    touched = F.collect_set(ledger.bucket_of()).alias("buckets")  # at most ledger.buckets numbers
+    return outcomes.agg(*counters(), total, touched).first().asDict()
 
 
 def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,
@@ -227,14 +229,13 @@ def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,
     so a run that dies in between never retries what it has copied; committing again adds only
     what is missing.
     """
-    counts = measure(outcomes)
-    small = counts.pop("size") <= SMALL_BYTES
+    counts = measure(outcomes, ledgers.failure)
+    small, buckets = counts.pop("size") <= SMALL_BYTES, counts.pop("buckets")
     if counts["total"] == 0:
         return counts
     if has_copies(outcomes):
         outcomes = one_per_key(outcomes)
     succeeded, failed = split_outcomes(outcomes, at)
-    buckets = touched_buckets(ledgers.failure, outcomes)
     if counts["successes"]:
         known = read_ledger(spark, ledgers.success, buckets)
         write_version(spark, ledgers.success,

@@ -199,7 +199,7 @@ SELECT document_id, {_field('status')} AS status, {_field('error')} AS error,
   {_field('total_bytes')} AS total_bytes,
   CASE WHEN t = 'object' THEN {_field('message')} WHEN t = 'string' THEN trim(body, '"')
     WHEN t = 'none' THEN body END AS message,
-  CASE WHEN t IN ('other', 'string') THEN body END AS data FROM typed""")
+  CASE WHEN t IN ('other', 'string') THEN trim(body, '"') END AS data FROM typed""")
 def parse_reply(spark, sf_dir):
     parsed = derived(spark, sf_dir, "replies").select(
         "document_id", messages.parse_reply("body").alias("r"))

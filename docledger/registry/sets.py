@@ -144,7 +144,7 @@ def multiply_rows(spark, sf_dir):
         F.format_string("%08x-0000-4000-8000-%012x", "o_orderkey", "o_custkey").alias("document_id"),
         F.format_string("%08x-1111-4000-8000-%012x", "o_orderkey", "o_custkey")
         .alias("auth_request_id"), "o_orderkey")
-    return wl.multiply_rows(ids, 100)
+    return wl.multiply_rows(ids, 100, partitions=spark.sparkContext.defaultParallelism)
 
 
 @query("stamp", f"SELECT document_id, 'run-7' AS correlation_id, TIMESTAMP '2024-02-01 00:00:00' AS "

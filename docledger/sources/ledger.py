@@ -125,12 +125,6 @@ def read_ledger(spark: SparkSession, ledger: Ledger,
     return rows.select(*ledger.schema.fieldNames())
 
 
-def touched_buckets(ledger: Ledger, rows: DataFrame) -> list[int]:
-    """The buckets the rows fall into: at most ``ledger.buckets`` numbers."""
-    found = rows.select(ledger.bucket_of().alias("b")).distinct().collect()
-    return sorted(row["b"] for row in found)
-
-
 def write_version(spark: SparkSession, ledger: Ledger, rows: DataFrame) -> int:
     """Write the rows as the next version and return its number.
 
