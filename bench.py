@@ -110,7 +110,7 @@ def main() -> None:
     seconds["copy_files"] = best(1, lambda: copied.append(
         copy_files(rows, root, target, stage_path=stage(), correlation_id="bench")))
     seconds["verify_copy"] = best(1, lambda: run_all(files.verify_copy(
-        spark, root, target, rows.select("source_file", "target_key"))))
+        rows.select("source_file", "target_key"), root, target)))
 
     documents, due_rows = table["manifest"].count(), due.count()
     copied_bytes = copied[0].agg(F.sum("bytes")).first()[0]

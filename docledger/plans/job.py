@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from docledger.operators.dispatch import dispatch
-from docledger.operators.worklist import TARGET_COUNTED, RetryPolicy, worklist
+from docledger.operators.worklist import TARGET_COUNTED, RetryPolicy, multiply_rows, worklist
 from docledger.plans.ledgers import commit_outcomes
 from docledger.schemas import WORKLIST
 from docledger.session import fresh_dir
 from docledger.sources.ledger import Ledgers, is_complete, read_ledger
+from docledger.sources.tables import ensure_tables
 
 # dispatcher(worklist, stage_path, correlation_id) -> staged outcomes
 Dispatcher = Callable[[DataFrame, str, str], DataFrame]
@@ -30,8 +31,14 @@ def sending(send: Callable, **options: Any) -> Dispatcher:
 
 @dataclass
 class JobOptions:
-    """``batches`` cuts a run into that many commits, each over its own buckets of the ledgers, so
-    that the commits together read and write every bucket once."""
+    """Settings and switches of a run.
+
+    batches     cut the run into that many commits, each over its own buckets of the ledgers, so
+                that the commits together read and write every bucket once
+    copy        without it the run does everything but call the service
+    multiply    replace every manifest row by this many numbered copies (test data)
+    database    create the cross-reference tables there where they are missing
+    """
 
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     at: Column | None = None
@@ -40,6 +47,9 @@ class JobOptions:
     batches: int = 1
     skip_succeeded_retries: bool = False
     work_dir: str | None = None
+    copy: bool = True
+    multiply: int | None = None
+    database: str | None = None
 
 
 def transfer_job(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers, dispatcher: Dispatcher,
@@ -52,13 +62,19 @@ def transfer_job(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers, dis
     options = options or JobOptions()
     work = options.work_dir or fresh_dir(spark, f"run-{options.run_id}")
     batches = max(1, min(options.batches, ledgers.failure.buckets))
+    totals = {"total": 0, "successes": 0, "failures": 0}
+    if options.database:
+        ensure_tables(spark, database=options.database)
+    if options.multiply:
+        manifest = multiply_rows(manifest, options.multiply)
+    if not options.copy:
+        return totals
     due = worklist(manifest, read_ledger(spark, ledgers.success),
                    read_ledger(spark, ledgers.failure), policy=options.policy,
                    path_mode=options.path_mode,
                    skip_succeeded_retries=options.skip_succeeded_retries)
     if batches > 1:
         due = _stage_batches(due, ledgers, batches, f"{work}/worklist")
-    totals = {"total": 0, "successes": 0, "failures": 0}
     for batch in range(batches):
         rows = due if batches == 1 else due.filter(F.col("batch") == batch).drop("batch")
         outcomes = dispatcher(rows, f"{work}/outcomes/batch={batch}", options.run_id)

@@ -48,10 +48,19 @@ def content_sha256(spark, sf_dir):
         F.octet_length("text").cast("bigint").alias("bytes"))
 
 
-@query("read_bytes", f"{_NAMED} SELECT source_file AS relative, bytes AS length, sha256 FROM named")
+@query("read_bytes", f"{_NAMED} SELECT document_id, bytes AS length, sha256 FROM named")
 def read_bytes(spark, sf_dir):
-    _, root = shared_files(spark, sf_dir)
-    return files.content_digests(spark, root)
+    rows, root = shared_files(spark, sf_dir)
+    read = files.read_bytes(rows.select("document_id", "source_file"), root, "source_file")
+    return read.select("document_id", F.octet_length("content").cast("bigint").alias("length"),
+                       F.sha2("content", 256).alias("sha256"))
+
+
+@query("file_digest", f"{_NAMED} SELECT document_id, bytes AS length, sha256 FROM named")
+def file_digest(spark, sf_dir):
+    rows, root = shared_files(spark, sf_dir)
+    return files.with_digest(rows.select("document_id", "source_file"), root,
+                             "source_file").drop("source_file")
 
 
 @query("copy_files", f"""{_NAMED} SELECT auth_request_id, document_id, ar_number, full_path,
@@ -72,7 +81,7 @@ def verify_copy(spark, sf_dir):
     rows, root = shared_files(spark, sf_dir)
     target = fresh_dir(spark, "copied")
     copy_files(rows, root, target, stage_path=fresh_dir(spark, "outcomes"), correlation_id="run-5")
-    return files.verify_copy(spark, root, target, rows.select("source_file", "target_key"))
+    return files.verify_copy(rows.select("source_file", "target_key"), root, target)
 
 
 _MISSING = "doc_id % 5 = 0"

@@ -1,4 +1,4 @@
-"""File content: listing, digests, and the chunked, verified copy of one file.
+"""File content: bytes, digests, and the chunked, verified copy of one file.
 
 Paths are URIs or mounted paths; tasks open them through ``pyarrow.fs``, so local, HDFS and
 object-store roots work alike.
@@ -9,18 +9,22 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from docledger.operators.dispatch import Reply
 
 CHUNK = 1024 * 1024
 
+# File content held in a task before it is handed on.
+FLUSH = 32 * 1024 * 1024
+
 
 def open_root(root: str) -> tuple[pafs.FileSystem, str]:
     """File system and base path of a root given as URI or as path."""
@@ -98,78 +102,98 @@ class FileCopy:
         return size, sha.hexdigest()
 
 
-def read_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """path, length and content of every file below a folder. For files below 2 GB."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length", "content")
+def _per_file(df: DataFrame, root: str, column: str, fields: list[StructField],
+              look: Callable[[pafs.FileSystem, str], tuple], partitions: int | None) -> DataFrame:
+    """Add what ``look`` finds at the file each row names; NULLs where there is no such file.
 
+    Work follows the rows, dealt out evenly (``partitions=0`` leaves them where they are): no
+    folder is listed, so neither the number of files nor their spread over folders matters, and
+    empty files are files like any other.
+    """
+    schema = StructType(df.schema.fields + fields)
+    arrow = to_arrow_schema(StructType(fields))
+    absent = (None,) * len(fields)
 
-def relative_to(root: str, path_column: str = "path"):
-    """The part of a listed file's path after its root."""
-    base = open_root(root)[1].rstrip("/") + "/"
-    start = F.instr(F.col(path_column), F.lit(base)) + F.lit(len(base))
-    return F.substr(F.col(path_column), start)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = open_root(root)
 
+        def found(relative: str | None) -> tuple:
+            try:
+                path = below(base, relative)
+            except ValueError:
+                return absent
+            return look(fs, path) if fs.get_file_info(path).type == pafs.FileType.File else absent
 
-def content_digests(spark: SparkSession, root: str) -> DataFrame:
-    """relative, length and sha256 of every file below ``root``.
+        def joined(batch: pa.RecordBatch, start: int, values: list[tuple]) -> pa.RecordBatch:
+            added = [pa.array([v[i] for v in values], field.type) for i, field in enumerate(arrow)]
+            return pa.RecordBatch.from_arrays(
+                [*batch.slice(start, len(values)).columns, *added],
+                names=[*batch.schema.names, *arrow.names])
 
-    The hash is taken in the scan's own stage, so no content is shuffled.
-    """
-    return read_bytes(spark, root).select(
-        relative_to(root).alias("relative"), "length", F.sha2("content", 256).alias("sha256"))
+        for batch in batches:
+            start, held, values = 0, 0, []
+            for relative in batch.column(column).to_pylist():
+                values.append(found(relative))
+                held += sum(len(v) for v in values[-1] if isinstance(v, bytes))
+                if held > FLUSH:
+                    yield joined(batch, start, values)
+                    start, held, values = start + len(values), 0, []
+            if values:
+                yield joined(batch, start, values)
 
+    if partitions is None:
+        partitions = df.sparkSession.sparkContext.defaultParallelism
+    return (df.repartition(partitions) if partitions else df).mapInArrow(run, schema)
 
-def verify_copy(spark: SparkSession, source_root: str, target_root: str,
-                pairs: DataFrame) -> DataFrame:
-    """Compare files by size and hash; ``pairs`` holds source_file and target_key.
 
-    Adds source_length, target_length and ``same``, which is false where either file is missing.
-    """
-    def side(root: str, key: str, name: str) -> DataFrame:
-        return content_digests(spark, root).select(
-            F.col("relative").alias(key), F.col("length").alias(f"{name}_length"),
-            F.col("sha256").alias(f"_{name}_sha"))
+def read_bytes(df: DataFrame, root: str, column: str, name: str = "content",
+               partitions: int | None = None) -> DataFrame:
+    """Add the whole content of each row's file. For files that fit in memory one at a time."""
+    def look(fs: pafs.FileSystem, path: str) -> tuple:
+        return (b"".join(chunks(fs, path)),)
+    return _per_file(df, root, column, [StructField(name, BinaryType())], look, partitions)
 
-    both = (pairs.join(side(source_root, "source_file", "source"), "source_file", "left")
-            .join(side(target_root, "target_key", "target"), "target_key", "left"))
-    same = ((F.col("source_length") == F.col("target_length"))
-            & (F.col("_source_sha") == F.col("_target_sha")))
-    return both.withColumn("same", F.coalesce(same, F.lit(False))).drop("_source_sha", "_target_sha")
 
+def with_digest(df: DataFrame, root: str, column: str, prefix: str = "",
+                partitions: int | None = None) -> DataFrame:
+    """Add ``<prefix>length`` and ``<prefix>sha256`` of each row's file, read in chunks."""
+    fields = [StructField(f"{prefix}length", LongType()), StructField(f"{prefix}sha256", StringType())]
+    return _per_file(df, root, column, fields, digest, partitions)
 
-def with_file_size(df: DataFrame, root: str, column: str, name: str = "file_size") -> DataFrame:
-    """Add the size of the file each row names, NULL where there is none.
 
-    One look-up per row, spread like the rows: no folder is listed, however many files it has.
-    """
-    schema = StructType(df.schema.fields + [StructField(name, LongType())])
+def with_file_size(df: DataFrame, root: str, column: str, name: str = "file_size",
+                   partitions: int | None = None) -> DataFrame:
+    """Add the size of each row's file."""
+    def look(fs: pafs.FileSystem, path: str) -> tuple:
+        return (fs.get_file_info(path).size,)
+    return _per_file(df, root, column, [StructField(name, LongType())], look, partitions)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = open_root(root)
-        for batch in batches:
-            sizes = []
-            for relative in batch.column(column).to_pylist():
-                try:
-                    info = fs.get_file_info(below(base, relative))
-                    sizes.append(info.size if info.type == pafs.FileType.File else None)
-                except ValueError:
-                    sizes.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sizes, pa.int64())], names=[*batch.schema.names, name])
 
-    return df.mapInArrow(run, schema)
+def verify_copy(pairs: DataFrame, source_root: str, target_root: str,
+                partitions: int | None = None) -> DataFrame:
+    """Compare each row's source_file and target_key by size and hash.
+
+    Adds source_length, target_length and ``same``, which is false where either file is missing.
+    """
+    both = with_digest(with_digest(pairs, source_root, "source_file", "source_", partitions),
+                       target_root, "target_key", "target_", partitions=0)
+    same = ((F.col("source_length") == F.col("target_length"))
+            & (F.col("source_sha256") == F.col("target_sha256")))
+    return both.withColumn("same", F.coalesce(same, F.lit(False))).drop(
+        "source_sha256", "target_sha256")
 
 
-def source_exists(worklist: DataFrame, root: str, column: str = "source_file") -> DataFrame:
+def source_exists(worklist: DataFrame, root: str, column: str = "source_file",
+                  partitions: int | None = None) -> DataFrame:
     """Add ``missing_code``: 404 where the source file is not there."""
-    return (with_file_size(worklist, root, column, "_size")
+    return (with_file_size(worklist, root, column, "_size", partitions)
             .withColumn("missing_code", F.when(F.col("_size").isNull(), F.lit(404))).drop("_size"))
 
 
-def overwrite_guard(worklist: DataFrame, root: str, column: str = "target_key") -> DataFrame:
+def overwrite_guard(worklist: DataFrame, root: str, column: str = "target_key",
+                    partitions: int | None = None) -> DataFrame:
     """Add ``blocked_code``: 500 where the target exists already."""
-    return (with_file_size(worklist, root, column, "_size")
+    return (with_file_size(worklist, root, column, "_size", partitions)
             .withColumn("blocked_code", F.when(F.col("_size").isNotNull(), F.lit(500))).drop("_size"))
 
 

@@ -75,28 +75,37 @@ def is_complete(spark: SparkSession, folder: str) -> bool:
     return path_exists(spark, f"{folder}/_SUCCESS")
 
 
+def _glob(spark: SparkSession, ledger: Ledger, pattern: str) -> list[tuple[int, str]]:
+    """(version, name) of what a pattern finds inside the version folders, in one call."""
+    fs, glob = _file_system(spark, f"{ledger.path}/v=*/{pattern}")
+    found = []
+    for status in fs.globStatus(glob) or []:
+        match = _VERSION.match(status.getPath().getParent().getName())
+        if match:
+            found.append((int(match.group(1)), status.getPath().getName()))
+    return found
+
+
 def versions(spark: SparkSession, ledger: Ledger) -> list[int]:
     """Complete versions, newest first."""
-    found = [int(m.group(1)) for m in map(_VERSION.match, _children(spark, ledger.path)) if m]
-    return sorted((n for n in found if is_complete(spark, f"{ledger.path}/v={n}")), reverse=True)
+    return sorted((n for n, _ in _glob(spark, ledger, "_SUCCESS")), reverse=True)
 
 
-def _check_layout(spark: SparkSession, ledger: Ledger, version: int) -> str | None:
-    """Folder of the version's buckets; None for a version without rows."""
-    names = [n for n in _children(spark, f"{ledger.path}/v={version}") if n.startswith("of=")]
-    if not names:
-        return None
-    if names != [f"of={ledger.buckets}"]:
-        raise ValueError(f"{ledger.path} was written with {names}, not {ledger.buckets} buckets")
-    return f"{ledger.path}/v={version}/{names[0]}"
+def _filled(spark: SparkSession, ledger: Ledger) -> dict[int, str]:
+    """Complete versions that hold rows, newest first, with the folder of their buckets."""
+    layouts = dict(_glob(spark, ledger, "of=*"))
+    filled = {}
+    for n in versions(spark, ledger):
+        if layouts.get(n, f"of={ledger.buckets}") != f"of={ledger.buckets}":
+            raise ValueError(f"{ledger.path} was written with {layouts[n]}, not {ledger.buckets} buckets")
+        if n in layouts:
+            filled[n] = f"{ledger.path}/v={n}/{layouts[n]}"
+    return filled
 
 
 def _newest_buckets(spark: SparkSession, ledger: Ledger) -> dict[int, str]:
     newest: dict[int, str] = {}
-    for version in versions(spark, ledger):
-        folder = _check_layout(spark, ledger, version)
-        if folder is None:
-            continue
+    for folder in _filled(spark, ledger).values():
         for name in _children(spark, folder):
             if name.startswith("bucket="):
                 newest.setdefault(int(name[len("bucket="):]), f"{folder}/{name}")
@@ -113,8 +122,7 @@ def read_ledger(spark: SparkSession, ledger: Ledger,
         paths = [path for b, path in sorted(_newest_buckets(spark, ledger).items())
                  if wanted is None or b in wanted]
     else:
-        paths = [f"{ledger.path}/v={n}" for n in versions(spark, ledger)
-                 if _check_layout(spark, ledger, n)]
+        paths = list(_filled(spark, ledger).values())
     if not paths:
         return spark.createDataFrame([], ledger.schema)
     layout = [StructField(name, IntegerType()) for name in ("v", "of", "bucket")]

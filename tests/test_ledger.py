@@ -1,0 +1,121 @@
+"""Ledger folders: versions, buckets, unfinished writes."""
+
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from docledger.plans.ledgers import commit_outcomes, read_state
+from docledger.sources.ledger import Ledgers, read_ledger, versions, write_version
+from tests.helpers import T1, details, failure, outcomes, rows, success
+
+
+@pytest.fixture
+def ledgers(tmp_path):
+    return Ledgers.at(str(tmp_path / "ledgers"), buckets=8)
+
+
+def test_empty_ledger(spark, ledgers):
+    assert read_ledger(spark, ledgers.failure).count() == 0
+    assert read_ledger(spark, ledgers.success).columns == ledgers.success.schema.fieldNames()
+
+
+def test_insert_only_versions_add_up(spark, ledgers):
+    assert write_version(spark, ledgers.success, success(spark, ("a", "x"))) == 0
+    assert write_version(spark, ledgers.success, success(spark, ("a", "y"), (None, "z"))) == 1
+    got = read_ledger(spark, ledgers.success)
+    assert rows(got, "document_id") == [("x",), ("y",), ("z",)]
+    assert got.schema == ledgers.success.schema
+
+
+def test_updatable_buckets_are_replaced_one_by_one(spark, ledgers):
+    docs = [("a", f"d{i}", 0, 0) for i in range(40)]
+    write_version(spark, ledgers.failure, failure(spark, *docs))
+    first = read_ledger(spark, ledgers.failure)
+    bucket = first.select(ledgers.failure.bucket_of()).first()[0]
+    part = read_ledger(spark, ledgers.failure, [bucket])
+    assert 0 < part.count() < 40
+    write_version(spark, ledgers.failure, part.withColumn("retry_count", F.lit(9)))
+    now = read_ledger(spark, ledgers.failure)
+    assert now.count() == 40
+    assert now.filter("retry_count = 9").count() == part.count()
+    assert now.filter("retry_count = 9").select(ledgers.failure.bucket_of().alias("b")) \
+        .distinct().count() == 1
+
+
+def test_buckets_prune_the_scan(spark, ledgers):
+    write_version(spark, ledgers.success, success(spark, *[("a", f"d{i}") for i in range(60)]))
+    plan = read_ledger(spark, ledgers.success, [1, 2])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan
+
+
+def test_unfinished_version_is_ignored_and_replaced(spark, ledgers):
+    write_version(spark, ledgers.failure, failure(spark, ("a", "x", 0, 0)))
+    write_version(spark, ledgers.failure, failure(spark, ("a", "x", 5, 0)))
+    os.remove(f"{ledgers.failure.path}/v=1/_SUCCESS")
+    assert versions(spark, ledgers.failure) == [0]
+    assert rows(read_ledger(spark, ledgers.failure), "retry_count") == [(0,)]
+    assert write_version(spark, ledgers.failure, failure(spark, ("a", "x", 7, 0))) == 1
+    assert rows(read_ledger(spark, ledgers.failure), "retry_count") == [(7,)]
+
+
+def test_other_bucket_count_is_refused(spark, ledgers, tmp_path):
+    write_version(spark, ledgers.failure, failure(spark, ("a", "x", 0, 0)))
+    other = Ledgers.at(str(tmp_path / "ledgers"), buckets=4)
+    with pytest.raises(ValueError, match="buckets"):
+        read_ledger(spark, other.failure)
+
+
+def test_commit(spark, ledgers):
+    write_version(spark, ledgers.failure, failure(spark, ("a", "x", 0, 0), ("a", "y", 1, 0)))
+    batch = outcomes(spark, ("a", "x", 200), ("a", "y", 404), ("a", "n", 500), ("a", "m", 200))
+    for _ in range(2):  # the second time nothing may change
+        counts = commit_outcomes(spark, ledgers, batch)
+        assert counts == {"total": 4, "successes": 2, "failures": 2}
+        state = read_state(spark, ledgers)
+        assert rows(state.success, "document_id") == [("m",), ("x",)]
+        assert rows(state.failure, "document_id", "retry_count", "reprocess_success") == [
+            ("n", 0, 0), ("x", 0, 1), ("y", 2, 0)]
+        assert rows(state.details, "document_id", "error_code") == [("n", 500), ("y", 404)]
+
+
+def test_commit_after_a_crash_between_ledgers(spark, ledgers):
+    batch = outcomes(spark, ("a", "x", 200), ("a", "y", 404))
+    commit_outcomes(spark, ledgers, batch)
+    shutil.rmtree(ledgers.details.path)  # as if the last write had never happened
+    commit_outcomes(spark, ledgers, batch)
+    state = read_state(spark, ledgers)
+    assert (state.success.count(), rows(state.failure, "retry_count"), state.details.count()) == (
+        1, [(0,)], 1)
+
+
+def test_commit_nothing(spark, ledgers):
+    assert commit_outcomes(spark, ledgers, outcomes(spark))["total"] == 0
+    assert versions(spark, ledgers.success) == versions(spark, ledgers.failure) == []
+
+
+def test_commit_one_sided(spark, ledgers):
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "x", 200)))
+    assert versions(spark, ledgers.failure) == versions(spark, ledgers.details) == []
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "y", 404)))
+    assert versions(spark, ledgers.success) == [0] and versions(spark, ledgers.failure) == [0]
+
+
+def test_commit_with_a_document_listed_twice(spark, ledgers):
+    write_version(spark, ledgers.failure, failure(spark, ("a", "x", 3, 0)))
+    write_version(spark, ledgers.details, details(spark, ("a", "x", "run-0")))
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "x", 404), ("a", "x", 500)))
+    state = read_state(spark, ledgers)
+    assert rows(state.failure, "retry_count", "date_updated") == [(4, T1)]
+    assert state.details.count() == 2
+
+
+def test_large_commit_does_not_broadcast(spark, ledgers, monkeypatch):
+    from docledger.plans import ledgers as plans
+    monkeypatch.setattr(plans, "SMALL_BYTES", 0)
+    write_version(spark, ledgers.failure, failure(spark, ("a", "x", 0, 0)))
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "x", 404), ("a", "y", 200)))
+    state = read_state(spark, ledgers)
+    assert rows(state.failure, "document_id", "retry_count") == [("x", 1)]
+    assert rows(state.success, "document_id") == [("y",)]
