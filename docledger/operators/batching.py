@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from docledger.functions.messages import payload_json
 from docledger.schemas import KEYS
-from docledger.session import shared_dir
+from docledger.session import fresh_dir
+from docledger.sources.staging import stage
 
 DEFAULT_BATCH = 5000
 
@@ -25,16 +26,15 @@ def assign_batches(df: DataFrame, size: int = DEFAULT_BATCH,
                    order: Sequence[str] = KEYS) -> DataFrame:
     """Add ``batch_id`` from 0: consecutive slices of ``size`` rows by ``order``, the last shorter.
 
-    The rows are range-sorted and frozen by a reliable checkpoint; a row's number is then its
-    position in its partition plus the sizes of the partitions before. No task sees more than
-    its own partition, and rows that tie on ``order`` may still be split between partitions.
+    The rows are range-sorted and written with their position in their partition; a row's number
+    is that position plus the sizes of the partitions before. No task sees more than its own
+    partition, and rows that tie on ``order`` may still be split between partitions.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
-    shared_dir(df.sparkSession)
     ties = (F.xxhash64(*df.columns), F.spark_partition_id())
-    frozen = df.orderBy(*order, *ties).checkpoint()
-    placed = frozen.withColumn("_id", F.monotonically_increasing_id()).withColumns({
+    ordered = df.orderBy(*order, *ties).withColumn("_id", F.monotonically_increasing_id())
+    placed = stage(ordered, fresh_dir(df.sparkSession, "batches")).withColumns({
         "_part": F.shiftright("_id", _POSITION_BITS),
         "_position": F.col("_id").bitwiseAND((1 << _POSITION_BITS) - 1),
     })

@@ -16,7 +16,7 @@ from datetime import datetime, timezone
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
     IntegerType, LongType, StringType, StructField, StructType, TimestampType,
@@ -25,7 +25,7 @@ from pyspark.sql.types import (
 from docledger.functions import status as st
 from docledger.functions.messages import parse_reply
 from docledger.schemas import OUTCOME
-from docledger.sources.ledger import is_complete
+from docledger.sources.staging import stage
 
 
 @dataclass
@@ -119,6 +119,19 @@ class _Throttle:
             self.next = max(self.next, now) + self.gap
 
 
+def _parcels(results: Iterator[dict], limit: int = 16 * 1024 * 1024) -> Iterator[list[dict]]:
+    """Results in lists whose bodies and messages stay near ``limit`` characters."""
+    held, size = [], 0
+    for result in results:
+        held.append(result)
+        size += len(result.get("body") or "") + len(result.get("failure_text") or "")
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _caller(send: Callable, open_client: Callable | None, policy: AttemptPolicy,
             rate: float | None, concurrency: int, arrow_schema: pa.Schema) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,8 +154,8 @@ def _caller(send: Callable, open_client: Callable | None, policy: AttemptPolicy,
             try:
                 for batch in batches:
                     rows = paced(batch.to_pylist())
-                    done = pool.map(one, rows) if pool else map(one, rows)
-                    yield pa.RecordBatch.from_pylist(list(done), schema=arrow_schema)
+                    for done in _parcels(pool.map(one, rows) if pool else map(one, rows)):
+                        yield pa.RecordBatch.from_pylist(done, schema=arrow_schema)
             finally:
                 if pool:
                     pool.shutdown(cancel_futures=True)
@@ -197,17 +210,6 @@ def read_calls(calls: DataFrame, correlation_id: str, mode: str = "code",
         "attempts", "execution_time_ms", "started_at", "finished_at")
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write once and read back, so that later actions do not repeat the work behind ``df``.
-
-    A finished folder is reused: a re-run of the same batch does not call again.
-    """
-    spark: SparkSession = df.sparkSession
-    if not is_complete(spark, path):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def dispatch(worklist: DataFrame, send: Callable[[Any, dict], Reply], *, stage_path: str,
              correlation_id: str, mode: str = "code", errors: str = "service",
              **calling: Any) -> DataFrame:

@@ -39,8 +39,7 @@ def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     """
     present = target.select(*keys)
     if small_source:
-        wanted = source.select(*keys).distinct()
-        present = present.join(F.broadcast(wanted), list(keys), "left_semi")
+        present = present.join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
     return without_keys(source, present, keys)
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docledger.functions.paths import base_name, parse_unc, target_key, unc_error
 from docledger.functions.status import OTHER
-from docledger.operators.dispatch import AttemptPolicy, dispatch, stage
+from docledger.operators.dispatch import AttemptPolicy, dispatch
 from docledger.sources.files import FileCopy, overwrite_guard
+from docledger.sources.staging import stage
 
 
 def source_file(path: Column | str) -> Column:

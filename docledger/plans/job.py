@@ -15,7 +15,8 @@ from docledger.operators.worklist import TARGET_COUNTED, RetryPolicy, multiply_r
 from docledger.plans.ledgers import commit_outcomes
 from docledger.schemas import WORKLIST
 from docledger.session import fresh_dir
-from docledger.sources.ledger import Ledgers, is_complete, read_ledger
+from docledger.sources.ledger import Ledgers, read_ledger
+from docledger.sources.staging import is_complete
 from docledger.sources.tables import ensure_tables
 
 # dispatcher(worklist, stage_path, correlation_id) -> staged outcomes

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from docledger.functions.messages import payload_json
 from docledger.operators.dispatch import split_outcomes
 from docledger.operators.keys import previously_failed
 from docledger.operators.merge import merge, rows_to_insert, src, tgt
@@ -128,6 +129,13 @@ def detail_rows(failed: DataFrame) -> DataFrame:
         "date_created", "date_updated", "ar_number")
 
 
+def failure_reasons(outcomes: DataFrame) -> DataFrame:
+    """Failed rows as sent, each as one JSON record, with the reason next to it."""
+    failed = outcomes.filter(~F.coalesce(F.col("ok"), F.lit(False)))
+    record = payload_json("auth_request_id", "document_id", "ar_number", "full_path")
+    return failed.select(record.alias("record"), F.col("error_message").alias("reason"))
+
+
 def details_insert_if_absent(details: DataFrame, new: DataFrame) -> DataFrame:
     """One row per document and run, so that re-running a batch adds nothing."""
     return merge(details, new, ATTEMPT_KEYS, insert_values=_same(FAILURE_DETAILS))

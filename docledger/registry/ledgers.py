@@ -129,6 +129,13 @@ def detail_rows(spark, sf_dir):
     return plans.detail_rows(derived(spark, sf_dir, "bad"))
 
 
+@query("failure_reasons", """SELECT to_json(struct_pack(auth_request_id := auth_request_id,
+  document_id := document_id, ar_number := ar_number, full_path := full_path)) AS record,
+  error_message AS reason FROM outcomes WHERE NOT ok""")
+def failure_reasons(spark, sf_dir):
+    return plans.failure_reasons(derived(spark, sf_dir, "outcomes"))
+
+
 @query("details_insert_if_absent", f"SELECT {_columns(FAILURE_DETAILS)} FROM details UNION ALL "
        + _NEW_DETAILS)
 def details_insert_if_absent(spark, sf_dir):

@@ -1,5 +1,7 @@
 """Dispatch, whole runs, streams and table round trips."""
 
+from contextlib import nullcontext
+
 from pyspark.sql import functions as F
 
 from docledger.functions.timing import instant
@@ -13,7 +15,7 @@ from docledger.schemas import MANIFEST
 from docledger.session import fresh_dir
 from docledger.sources import tables
 from docledger.sources.ledger import Ledgers, write_version
-from docledger.streaming.microbatch import transfer_stream
+from docledger.streaming.microbatch import per_batch_apply, transfer_stream
 
 NO_WAIT = AttemptPolicy(sleep=lambda seconds: None)
 
@@ -53,6 +55,16 @@ def dispatch_query(spark, sf_dir):
     return outcomes.drop("bytes", "sha256", "started_at", "finished_at")
 
 
+@query("dispatch_concurrent", f"""WITH {_DUE} SELECT document_id, ok, error_code, target_path,
+  execution_time_ms FROM due""")
+def dispatch_concurrent(spark, sf_dir):
+    """The same with several calls at a time in each task, one client per task and a rate limit."""
+    outcomes = dispatch(_due(spark, sf_dir), answer, stage_path=fresh_dir(spark, "outcomes"),
+                        correlation_id="run-9", policy=NO_WAIT, open_client=nullcontext,
+                        concurrency=4, rate=1e9)
+    return outcomes.select("document_id", "ok", "error_code", "target_path", "execution_time_ms")
+
+
 def filled_ledgers(spark, sf_dir, buckets=4):
     """Ledgers on disk as earlier runs left them."""
     ledgers = Ledgers.at(fresh_dir(spark, "ledgers"), buckets)
@@ -72,10 +84,10 @@ def transfer_job_query(spark, sf_dir):
 
 @query("transfer_job_batches", applied_sql(_DUE))
 def transfer_job_batches(spark, sf_dir):
-    """The same run in four commits, each over a quarter of the ledgers' buckets."""
+    """The same run in two commits, each over half of the ledgers' buckets."""
     ledgers = filled_ledgers(spark, sf_dir)
     transfer_job(spark, derived(spark, sf_dir, "manifest"), ledgers, sending(answer, policy=NO_WAIT),
-                 JobOptions(run_id="run-9", at=instant(RUN_AT), batches=4))
+                 JobOptions(run_id="run-9", at=instant(RUN_AT), batches=2))
     return tagged_ledgers(spark, ledgers)
 
 
@@ -97,6 +109,19 @@ def transfer_stream_query(spark, sf_dir):
     return _without_run_number(tagged_ledgers(spark, ledgers))
 
 
+@query("per_batch_apply", "SELECT * FROM manifest")
+def per_batch_apply_query(spark, sf_dir):
+    """A folder of files taken two at a time, each batch finished before the next."""
+    work = fresh_dir(spark, "batches")
+    derived(spark, sf_dir, "manifest").repartition(5).write.parquet(f"{work}/in")
+
+    def write(rows, batch_id):
+        rows.write.mode("overwrite").parquet(f"{work}/out/batch={batch_id}")
+    per_batch_apply(spark, f"{work}/in", MANIFEST, write, f"{work}/checkpoint",
+                    files_per_batch=2).awaitTermination()
+    return tables.read_path(spark, f"{work}/out").drop("batch")
+
+
 # --- tables ---------------------------------------------------------------------------------
 
 @query("append", "SELECT * FROM manifest UNION ALL SELECT * FROM manifest")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -31,7 +32,7 @@ def open_root(root: str) -> tuple[pafs.FileSystem, str]:
     if "://" not in root and root.startswith("file:"):
         root = root[len("file:"):]
     if "://" in root:
-        return pafs.FileSystem.from_uri(root)
+        return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", root))
     return pafs.LocalFileSystem(), root
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from docledger.schemas import ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
+from docledger.sources.staging import children, file_system
 
 _VERSION = re.compile(r"^v=(\d+)$")
 
@@ -53,31 +54,9 @@ class Ledgers:
             Ledger(f"{root}/failure_details", FAILURE_DETAILS, ATTEMPT_KEYS, False, buckets))
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    fs, folder = _file_system(spark, path)
-    if not fs.exists(folder):
-        return []
-    return sorted(status.getPath().getName() for status in fs.listStatus(folder))
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _file_system(spark, path)
-    return fs.exists(target)
-
-
-def is_complete(spark: SparkSession, folder: str) -> bool:
-    """True for a folder a Spark write has finished."""
-    return path_exists(spark, f"{folder}/_SUCCESS")
-
-
 def _glob(spark: SparkSession, ledger: Ledger, pattern: str) -> list[tuple[int, str]]:
     """(version, name) of what a pattern finds inside the version folders, in one call."""
-    fs, glob = _file_system(spark, f"{ledger.path}/v=*/{pattern}")
+    fs, glob = file_system(spark, f"{ledger.path}/v=*/{pattern}")
     found = []
     for status in fs.globStatus(glob) or []:
         match = _VERSION.match(status.getPath().getParent().getName())
@@ -106,7 +85,7 @@ def _filled(spark: SparkSession, ledger: Ledger) -> dict[int, str]:
 def _newest_buckets(spark: SparkSession, ledger: Ledger) -> dict[int, str]:
     newest: dict[int, str] = {}
     for folder in _filled(spark, ledger).values():
-        for name in _children(spark, folder):
+        for name in children(spark, folder):
             if name.startswith("bucket="):
                 newest.setdefault(int(name[len("bucket="):]), f"{folder}/{name}")
         if len(newest) == ledger.buckets:

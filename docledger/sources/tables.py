@@ -81,9 +81,12 @@ def create_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int,
                     location: str | None = None) -> DataFrame:
     """Save ``df`` as a catalog table bucketed and sorted by ``keys``.
 
-    A manifest and ledgers bucketed alike are joined without any shuffle.
+    A manifest and ledgers bucketed alike are joined without any shuffle. Rows are gathered by
+    bucket first, for one file per bucket; the rebalance hint lets a hot bucket be written by
+    several tasks.
     """
-    writer = df.write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    gathered = df.hint("rebalance", buckets, *[F.col(k) for k in keys])
+    writer = gathered.write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
     if location:
         writer = writer.option("path", location)
     writer.saveAsTable(name)

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from docledger.operators.dispatch import (
-    AttemptPolicy, Reply, ServiceError, _Throttle, call_rows, dispatch, read_calls, split_outcomes,
+    AttemptPolicy, Reply, ServiceError, _parcels, _Throttle, call_rows, dispatch, read_calls,
+    split_outcomes,
 )
 from docledger.operators.worklist import worklist
 from tests.helpers import failure, manifest, rows, success
@@ -187,3 +188,9 @@ def test_storage_errors(spark, tmp_path):
     out = run(spark, tmp_path, send, ["gone", "locked", "bad", "text", "full"], errors="storage")
     assert rows(out, "document_id", "error_code") == [
         ("bad", 400), ("full", 500), ("gone", 404), ("locked", 403), ("text", 403)]
+
+
+def test_large_replies_are_handed_on_in_parcels():
+    results = [{"body": "x" * n} for n in (3, 3, 10, 1, 0)] + [{"body": None}]
+    assert [len(p) for p in _parcels(iter(results), 6)] == [2, 1, 3]
+    assert list(_parcels(iter([]), 6)) == []

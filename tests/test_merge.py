@@ -1,5 +1,7 @@
 """Keyed upserts: NULL keys, repeated keys, extra conditions, both ways of counting."""
 
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -90,6 +92,46 @@ def test_merge_into_table_needs_a_row_level_format(spark):
         merge_into_table(kv(spark, ("a", "x")), "plain_target", ["k"])
 
 
+def _expected(target, source, extra, matched, insert):
+    """MERGE on (g, k) row by row: ``extra`` and ``matched`` are tests, ``insert`` a test or None."""
+    out = []
+    for g, k, v, flag in target:
+        hits = [s for s in source if None not in (g, k) and (s[0], s[1]) == (g, k) and extra(flag)]
+        if hits and matched(flag, hits[0][2]):
+            v = hits[0][2]
+        out.append((g, k, v, flag))
+    for g, k, v in source:
+        found = any((t[0], t[1]) == (g, k) and None not in (g, k) and extra(t[3]) for t in target)
+        if insert and insert(v) and not found:
+            out.append((g, k, v, 0))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("case", ["upsert", "update_extra", "conditions"])
+def test_merge_against_brute_force(spark, case, small):
+    rng = random.Random(f"{case}{small}")
+    keys, target, source = [None, "a", "b", "c", "d"], [], []
+    for g in range(150):
+        target += [(g, rng.choice(keys), rng.randrange(9), rng.randrange(2))
+                   for _ in range(rng.randrange(5))]
+        picked = rng.sample(keys, rng.randrange(len(keys))) + [None] * rng.randrange(2)
+        source += [(g, k, rng.randrange(9)) for k in picked]
+    extra = (lambda f: f == 0) if case == "update_extra" else (lambda f: True)
+    matched = (lambda f, v: f == 1 and v > 3) if case == "conditions" else (lambda f, v: True)
+    insert = {"upsert": lambda v: True, "update_extra": None, "conditions": lambda v: v % 2 == 0}[case]
+    got = merge(
+        spark.createDataFrame(target, "g int, k string, v int, flag int"),
+        spark.createDataFrame(source, "g int, k string, v int"), ["g", "k"],
+        matched_set={"v": src("v")},
+        matched_if=(tgt("flag") == 1) & (src("v") > 3) if case == "conditions" else None,
+        extra_on=tgt("flag") == 0 if case == "update_extra" else None,
+        insert_values=None if insert is None else {
+            "g": F.col("g"), "k": F.col("k"), "v": F.col("v"), "flag": F.lit(0)},
+        insert_if=F.col("v") % 2 == 0 if case == "conditions" else None, small_source=small)
+    assert rows(got) == _expected(target, source, extra, matched, insert)
+
+
 # --- ledgers --------------------------------------------------------------------------------
 
 def _sides(spark, *results, run="run-1"):
