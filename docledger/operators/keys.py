@@ -6,6 +6,7 @@ NULL never equals NULL in a join here, as in SQL: a row with a NULL key matches
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,16 +36,38 @@ def not_failed(docs: DataFrame, failure: DataFrame) -> DataFrame:
     return without_keys(docs, failure)
 
 
-def pending_only(docs: DataFrame, success: DataFrame, failure: DataFrame,
-                 repeated_keys: bool = False) -> DataFrame:
+def shared_keys(known: DataFrame, wanted: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Keys of ``known`` that ``wanted`` has too, without shuffling ``known``.
+
+    ``wanted`` is broadcast: only for a side the caller has measured.
+    """
+    return known.select(*keys).join(F.broadcast(wanted.select(*keys)), list(keys), "left_semi")
+
+
+def collapse_copies(known: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """A few rows per key at most, for the right side of an anti-join.
+
+    Copies collapse before the shuffle, as in ``distinct_keys``. The salt makes the join shuffle
+    the result once more, but by a shuffle of its own, which keeps a hot key of the join's
+    other side splittable.
+    """
+    salted = known.select(*keys, (F.spark_partition_id() % 8).alias("_salt"))
+    return salted.distinct().select(*keys)
+
+
+def pending_only(docs: DataFrame, success: DataFrame, failure: DataFrame, *,
+                 repeated_keys: bool = False, small_docs: bool = False) -> DataFrame:
     """Documents in neither ledger, by one anti-join against both.
 
     One join instead of two: ``docs`` is shuffled and sorted once, and both inputs of the join
     are plain shuffles. Set ``repeated_keys`` for ledgers kept as history, where a key may
-    have any number of rows.
+    have any number of rows, and ``small_docs`` for documents measured to be few: the ledgers are
+    then reduced to their keys in place and not shuffled.
     """
     known = success.select(*KEYS).unionAll(failure.select(*KEYS))
-    return without_keys(docs, distinct_keys(known) if repeated_keys else known)
+    if small_docs:
+        known = shared_keys(known, docs)
+    return without_keys(docs, collapse_copies(known) if repeated_keys else known)
 
 
 def previously_failed(rows: DataFrame, failure: DataFrame) -> DataFrame:
@@ -55,8 +78,11 @@ def previously_failed(rows: DataFrame, failure: DataFrame) -> DataFrame:
 
 def except_processed(docs: DataFrame, *processed: DataFrame,
                      columns: Sequence[str] = KEYS) -> DataFrame:
-    """Set difference on ``columns``: distinct, and NULL equals NULL."""
+    """Set difference on ``columns``: distinct, and NULL equals NULL.
+
+    Taking away one union equals taking away one after the other, in a single join.
+    """
     left = docs.select(*columns)
-    for other in processed:
-        left = left.subtract(other.select(*columns))
-    return left
+    if not processed:
+        return left.distinct()
+    return left.subtract(reduce(DataFrame.unionAll, [p.select(*columns) for p in processed]))

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docledger.operators.keys import without_keys
+from docledger.operators.keys import shared_keys, without_keys
 
 _PREFIX = "_src_"
 _HIT = "_src_hit"
@@ -37,9 +37,7 @@ def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     ``small_source`` is for a source the caller has measured: the target is first reduced to the
     keys it shares with the (broadcast) source, so that no target row is shuffled.
     """
-    present = target.select(*keys)
-    if small_source:
-        present = present.join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
+    present = shared_keys(target, source, keys) if small_source else target
     return without_keys(source, present, keys)
 
 

@@ -111,23 +111,27 @@ def multiply_rows(df: DataFrame, n: int = 100,
         for c in df.columns])
 
 
-def new_documents(manifest: DataFrame, success: DataFrame, failure: DataFrame,
-                  path_mode: str = "single", repeated_keys: bool = False) -> DataFrame:
+def new_documents(manifest: DataFrame, success: DataFrame, failure: DataFrame, *,
+                  path_mode: str = "single", repeated_keys: bool = False,
+                  small_docs: bool = False) -> DataFrame:
     """Manifest rows with a root folder that neither ledger knows, at zero retries."""
     docs = with_full_path(has_root(manifest), path_mode).select(
         "auth_request_id", "document_id", "ar_number", "full_path")
-    fresh = with_retry_defaults(pending_only(docs, success, failure, repeated_keys))
+    fresh = with_retry_defaults(pending_only(docs, success, failure, repeated_keys=repeated_keys,
+                                             small_docs=small_docs))
     return fresh.select(*WORKLIST_COLUMNS)
 
 
 def worklist(manifest: DataFrame, success: DataFrame, failure: DataFrame, *,
              policy: RetryPolicy = TARGET_COUNTED, path_mode: str = "single",
-             repeated_keys: bool = False, skip_succeeded_retries: bool = False,
+             repeated_keys: bool = False, small_docs: bool = False,
+             skip_succeeded_retries: bool = False,
              retry_only_if: Column | None = None) -> DataFrame:
     """New documents, and failed ones with retries left.
 
     A failed document that the success ledger holds too is still retried unless
     ``skip_succeeded_retries``. ``retry_only_if`` narrows the failures that are retried.
+    ``repeated_keys`` and ``small_docs`` are those of ``pending_only``.
     """
     again = retryable(failure, policy)
     if retry_only_if is not None:
@@ -135,4 +139,6 @@ def worklist(manifest: DataFrame, success: DataFrame, failure: DataFrame, *,
     again = again.select(*WORKLIST_COLUMNS)
     if skip_succeeded_retries:
         again = not_succeeded(again, success)
-    return new_documents(manifest, success, failure, path_mode, repeated_keys).unionByName(again)
+    fresh = new_documents(manifest, success, failure, path_mode=path_mode,
+                          repeated_keys=repeated_keys, small_docs=small_docs)
+    return fresh.unionByName(again)

@@ -20,7 +20,7 @@ from docledger.operators.summary import counters
 from docledger.schemas import AUDIT, ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
 from docledger.sources.ledger import Ledger, Ledgers, read_ledger, write_version
 
-# Staged outcomes whose measured text is below this may be broadcast.
+# Rows whose measured size is below this may be broadcast.
 SMALL_BYTES = 64 * 1024 * 1024
 
 
@@ -216,16 +216,24 @@ def apply_outcomes(state: LedgerState, outcomes: DataFrame, at: Column | None =
         details_insert_if_absent(state.details, detail_rows(failed)))
 
 
-def measure(outcomes: DataFrame, ledger: Ledger) -> dict:
-    """Counters of staged outcomes, their size (text as it is, 100 bytes for the rest of a row) and
-    the ledger buckets they fall into, in one pass."""
-    texts = [f.name for f in outcomes.schema.fields if f.dataType.simpleString() == "string"]
+def text_size(df: DataFrame) -> Column:
+    """Aggregate: size of the rows, text as it is and 100 bytes for the rest of a row."""
     size = F.lit(100)
-    for name in texts:
-        size = size + F.coalesce(F.octet_length(name), F.lit(0))
-    total = F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("size")
+    for field in df.schema.fields:
+        if field.dataType.simpleString() == "string":
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return F.coalesce(F.sum(size), F.lit(0)).cast("bigint")
+
+
+def is_small(df: DataFrame) -> bool:
+    """True for rows measured to be below what may be broadcast."""
+    return df.agg(text_size(df).alias("size")).first()["size"] <= SMALL_BYTES
+
+
+def measure(outcomes: DataFrame, ledger: Ledger) -> dict:
+    """Counters of staged outcomes, their size, and the ledger buckets they fall into, in one pass."""
     touched = F.collect_set(ledger.bucket_of()).alias("buckets")  # at most ledger.buckets numbers
-    return outcomes.agg(*counters(), total, touched).first().asDict()
+    return outcomes.agg(*counters(), text_size(outcomes).alias("size"), touched).first().asDict()
 
 
 def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,

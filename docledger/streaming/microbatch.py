@@ -10,8 +10,8 @@ from pyspark.sql.types import StructType
 
 from docledger.operators.worklist import TARGET_COUNTED, RetryPolicy, worklist
 from docledger.plans.job import Dispatcher
-from docledger.plans.ledgers import commit_outcomes
-from docledger.schemas import MANIFEST
+from docledger.plans.ledgers import commit_outcomes, is_small
+from docledger.schemas import KEYS, MANIFEST
 from docledger.sources.ledger import Ledgers, read_ledger
 
 
@@ -39,7 +39,8 @@ def transfer_stream(spark: SparkSession, manifest_folder: str, ledgers: Ledgers,
 
     Every micro-batch takes its own new documents. Failures of earlier runs are due once per
     run: the first micro-batch takes them, and after it they carry this run's id. A micro-batch
-    that is replayed finds its staged outcomes and calls nothing again.
+    that is replayed finds its staged outcomes and calls nothing again. A micro-batch that is
+    small, as most are, is looked up in the ledgers without shuffling them.
     """
     def one(rows: DataFrame, batch_id: int) -> None:
         session = rows.sparkSession
@@ -47,7 +48,7 @@ def transfer_stream(spark: SparkSession, manifest_folder: str, ledgers: Ledgers,
         of_this_run = F.coalesce(F.col("latest_correlation_id").startswith(f"{run_id}-"), F.lit(False))
         due = worklist(rows, read_ledger(session, ledgers.success),
                        read_ledger(session, ledgers.failure), policy=policy, path_mode=path_mode,
-                       retry_only_if=~of_this_run)
+                       small_docs=is_small(rows.select(*KEYS)), retry_only_if=~of_this_run)
         outcomes = dispatcher(due, f"{work_dir}/outcomes/batch={batch_id}", correlation)
         commit_outcomes(session, ledgers, outcomes, at)
 

@@ -126,7 +126,8 @@ def test_worklist_prunes_and_pushes_down(spark, tmp_path, conf):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
-def test_hot_manifest_key_is_split(spark, tmp_path, conf):
+@pytest.mark.parametrize("history", [False, True])
+def test_hot_manifest_key_is_split(spark, tmp_path, conf, history):
     conf(spark__sql__autoBroadcastJoinThreshold="-1",
          spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
          spark__sql__adaptive__advisoryPartitionSizeInBytes="2KB",
@@ -135,11 +136,23 @@ def test_hot_manifest_key_is_split(spark, tmp_path, conf):
          spark__sql__adaptive__coalescePartitions__enabled="false",
          spark__sql__shuffle__partitions="16")
     docs, done, failed = _on_disk(spark, str(tmp_path))
-    due = wl.worklist(docs, done, failed)
+    if history:
+        done = done.unionAll(done)
+    due = wl.worklist(docs, done, failed, repeated_keys=history)
     assert "skew=true" in final_plan(due)
     assert due.count() == sum(1 for i in range(4000) if i % 3 != 1)
 
 
+def test_few_documents_do_not_shuffle_the_ledgers(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    docs, done, failed = _on_disk(spark, str(tmp_path))
+    few = manifest(spark, ("a", "d1"), ("a", "d4"), ("a", "new"), ("a", None), (None, "d1"))
+    due = wl.worklist(few, done, failed, small_docs=True)
+    assert "BroadcastHashJoin" in planned(due) and "LeftSemi" in planned(due)
+    assert rows(due, "document_id") == rows(wl.worklist(few, done, failed), "document_id") == [
+        ("d1",), ("new",), (None,)]
+
+
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     frames = _on_disk(spark, str(tmp_path))
