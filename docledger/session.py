@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
 import zipfile
@@ -60,9 +61,14 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_docledger_shipped", None):
         return
     package = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="docledger-")) / "docledger.zip"
-    with zipfile.ZipFile(archive, "w") as out:
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
         for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(archive))
+            archive.write(source, source.relative_to(package.parent))
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh_dir(spark, 'docledger')}.zip")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.create(target)
+    stream.write(bytearray(content.getvalue()))
+    stream.close()
+    context.addPyFile(fs.makeQualified(target).toString())
     context._docledger_shipped = True

@@ -1,12 +1,13 @@
 """Ledgers as folders of complete, immutable versions.
 
-Layout: ``<path>/v=<n>/of=<buckets>/bucket=<b>/*.parquet``. A version counts once its
-``_SUCCESS`` file is there, so a job that dies while writing leaves nothing readable behind, and
-a job never overwrites what it reads. The bucket of a row is a hash of its key.
-
-An insert-only ledger is the union of its versions: a run writes only its new rows. A ledger
-with updates is read bucket by bucket, each from its newest version: a run reads and rewrites
-only the buckets its keys fall into. One writer at a time.
+Layout: ``<path>/v=<n>/of=<buckets>/``. A version counts once its ``_SUCCESS`` file is there, so a
+job that dies while writing leaves nothing readable behind, and a job never overwrites what it
+reads. The bucket of a row is a hash of its key. One writer at a time.
+
+An insert-only ledger is the union of its versions: a run writes only its new rows, in as many
+files as they need, sorted by a bucket column that lets scans skip row groups. A ledger with updates
+has a folder per bucket and is read bucket by bucket, each from its newest version: a run reads
+and rewrites only the buckets its keys fall into.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from docledger.schemas import ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCC
 from docledger.sources.staging import children, file_system
 
 _VERSION = re.compile(r"^v=(\d+)$")
+_BUCKET = StructField("bucket", IntegerType())
 
 
 @dataclass(frozen=True)
@@ -54,37 +56,30 @@ class Ledgers:
             Ledger(f"{root}/failure_details", FAILURE_DETAILS, ATTEMPT_KEYS, False, buckets))
 
 
-def _glob(spark: SparkSession, ledger: Ledger, pattern: str) -> list[tuple[int, str]]:
-    """(version, name) of what a pattern finds inside the version folders, in one call."""
-    fs, glob = file_system(spark, f"{ledger.path}/v=*/{pattern}")
-    found = []
+def _complete(spark: SparkSession, ledger: Ledger) -> dict[int, str]:
+    """Folder of each complete version, newest first, from one listing call."""
+    fs, glob = file_system(spark, f"{ledger.path}/v=*/of=*/_SUCCESS")
+    found = {}
     for status in fs.globStatus(glob) or []:
-        match = _VERSION.match(status.getPath().getParent().getName())
-        if match:
-            found.append((int(match.group(1)), status.getPath().getName()))
-    return found
+        folder = status.getPath().getParent()
+        version = _VERSION.match(folder.getParent().getName())
+        if version is None:
+            continue
+        if folder.getName() != f"of={ledger.buckets}":
+            raise ValueError(
+                f"{ledger.path} was written {folder.getName()}, not of={ledger.buckets} buckets")
+        found[int(version.group(1))] = f"{ledger.path}/v={version.group(1)}/{folder.getName()}"
+    return dict(sorted(found.items(), reverse=True))
 
 
 def versions(spark: SparkSession, ledger: Ledger) -> list[int]:
     """Complete versions, newest first."""
-    return sorted((n for n, _ in _glob(spark, ledger, "_SUCCESS")), reverse=True)
-
-
-def _filled(spark: SparkSession, ledger: Ledger) -> dict[int, str]:
-    """Complete versions that hold rows, newest first, with the folder of their buckets."""
-    layouts = dict(_glob(spark, ledger, "of=*"))
-    filled = {}
-    for n in versions(spark, ledger):
-        if layouts.get(n, f"of={ledger.buckets}") != f"of={ledger.buckets}":
-            raise ValueError(f"{ledger.path} was written with {layouts[n]}, not {ledger.buckets} buckets")
-        if n in layouts:
-            filled[n] = f"{ledger.path}/v={n}/{layouts[n]}"
-    return filled
+    return list(_complete(spark, ledger))
 
 
 def _newest_buckets(spark: SparkSession, ledger: Ledger) -> dict[int, str]:
     newest: dict[int, str] = {}
-    for folder in _filled(spark, ledger).values():
+    for folder in _complete(spark, ledger).values():
         for name in children(spark, folder):
             if name.startswith("bucket="):
                 newest.setdefault(int(name[len("bucket="):]), f"{folder}/{name}")
@@ -101,13 +96,13 @@ def read_ledger(spark: SparkSession, ledger: Ledger,
         paths = [path for b, path in sorted(_newest_buckets(spark, ledger).items())
                  if wanted is None or b in wanted]
     else:
-        paths = list(_filled(spark, ledger).values())
+        paths = list(_complete(spark, ledger).values())
     if not paths:
         return spark.createDataFrame([], ledger.schema)
-    layout = [StructField(name, IntegerType()) for name in ("v", "of", "bucket")]
-    rows = (spark.read.schema(StructType(ledger.schema.fields + layout))
-            .option("basePath", ledger.path).parquet(*paths))
-    if wanted is not None:
+    if ledger.updatable:
+        return spark.read.schema(ledger.schema).parquet(*paths)
+    rows = spark.read.schema(StructType(ledger.schema.fields + [_BUCKET])).parquet(*paths)
+    if wanted is not None and len(wanted) < ledger.buckets:
         rows = rows.filter(F.col("bucket").isin(sorted(wanted)))
     return rows.select(*ledger.schema.fieldNames())
 
@@ -121,8 +116,10 @@ def write_version(spark: SparkSession, ledger: Ledger, rows: DataFrame) -> int:
     done = versions(spark, ledger)
     version = done[0] + 1 if done else 0
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in ledger.schema.fields]
-    laid_out = rows.select(*columns, F.lit(ledger.buckets).alias("of"),
-                           ledger.bucket_of().alias("bucket"))
-    (laid_out.hint("rebalance", F.col("bucket")).write.mode("overwrite")
-     .partitionBy("of", "bucket").parquet(f"{ledger.path}/v={version}"))
+    laid_out = (rows.select(*columns, ledger.bucket_of().alias("bucket"))
+                .hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket"))
+    writer = laid_out.write.mode("overwrite")
+    if ledger.updatable:
+        writer = writer.partitionBy("bucket")
+    writer.parquet(f"{ledger.path}/v={version}/of={ledger.buckets}")
     return version

@@ -29,6 +29,12 @@ def test_insert_only_versions_add_up(spark, ledgers):
     assert got.schema == ledgers.success.schema
 
 
+def test_few_new_rows_make_few_files(spark, ledgers):
+    write_version(spark, ledgers.success, success(spark, *[("a", f"d{i}") for i in range(60)]))
+    written = [n for n in os.listdir(f"{ledgers.success.path}/v=0/of=8") if n.endswith(".parquet")]
+    assert len(written) == 1
+
+
 def test_updatable_buckets_are_replaced_one_by_one(spark, ledgers):
     docs = [("a", f"d{i}", 0, 0) for i in range(40)]
     write_version(spark, ledgers.failure, failure(spark, *docs))
@@ -47,13 +53,14 @@ def test_updatable_buckets_are_replaced_one_by_one(spark, ledgers):
 def test_buckets_prune_the_scan(spark, ledgers):
     write_version(spark, ledgers.success, success(spark, *[("a", f"d{i}") for i in range(60)]))
     plan = read_ledger(spark, ledgers.success, [1, 2])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [bucket" in plan
+    assert "PushedFilters: [In(bucket, [1,2])]" in plan
+    assert "bucket" not in read_ledger(spark, ledgers.success, range(8)).columns
 
 
 def test_unfinished_version_is_ignored_and_replaced(spark, ledgers):
     write_version(spark, ledgers.failure, failure(spark, ("a", "x", 0, 0)))
     write_version(spark, ledgers.failure, failure(spark, ("a", "x", 5, 0)))
-    os.remove(f"{ledgers.failure.path}/v=1/_SUCCESS")
+    os.remove(f"{ledgers.failure.path}/v=1/of=8/_SUCCESS")
     assert versions(spark, ledgers.failure) == [0]
     assert rows(read_ledger(spark, ledgers.failure), "retry_count") == [(0,)]
     assert write_version(spark, ledgers.failure, failure(spark, ("a", "x", 7, 0))) == 1
