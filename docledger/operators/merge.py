@@ -4,7 +4,8 @@
 MERGE. Matched rows come from ``target LEFT JOIN source``, inserted rows from
 ``source LEFT ANTI JOIN target``; both shapes let Spark broadcast a small source instead of
 shuffling the target, and let adaptive execution split a hot key, neither of which a full outer
-join allows.
+join allows. Where both sides are known to hold each key once, so that there is no hot key, one full
+outer join does both with half the shuffling; rows with a NULL key, which match nothing, go around it.
 """
 
 from __future__ import annotations
@@ -48,6 +49,41 @@ def _with_copies(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.join(repeated, list(keys), "left")
 
 
+def _any_null(keys: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    return missing
+
+
+def _same_key(keys: Sequence[str]) -> Column:
+    on = F.lit(True)
+    for key in keys:
+        on = on & (F.col(key) == src(key))
+    return on
+
+
+def _prefixed(source: DataFrame, *extra: Column | str) -> DataFrame:
+    return source.select(*[F.col(c).alias(_PREFIX + c) for c in source.columns], *extra,
+                         F.lit(True).alias(_HIT))
+
+
+def _updated(target: DataFrame, matched_set: Mapping[str, Column],
+             matched_if: Column | None) -> dict[str, Column]:
+    """Value of each target column after the matched clause, over joined rows."""
+    applies = F.col(_HIT).isNotNull()
+    if matched_if is not None:
+        applies = applies & F.coalesce(matched_if, F.lit(False))
+    return {c: F.when(applies, matched_set[c]).otherwise(F.col(c)) if c in matched_set else F.col(c)
+            for c in target.columns}
+
+
+def _inserted(target: DataFrame, insert_values: Mapping[str, Column]) -> dict[str, Column]:
+    """Value of each target column in an inserted row, over source rows."""
+    return {f.name: insert_values.get(f.name, F.lit(None)).cast(f.dataType)
+            for f in target.schema.fields}
+
+
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
           matched_set: Mapping[str, Column] | None = None,
           matched_if: Column | None = None,
@@ -55,6 +91,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
           insert_if: Column | None = None,
           extra_on: Column | None = None,
           unique_source: bool = False,
+          unique_target: bool = False,
           small_source: bool = False) -> DataFrame:
     """Upsert ``source`` into ``target``; the result has the target's columns.
 
@@ -67,45 +104,57 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                    with update-only merges
     unique_source  the caller vouches for unique keys; otherwise several source rows for one
                    target row make the job fail when the rows are computed
+    unique_target  the target holds each key about once; matters for speed only
     small_source   the caller has measured the source and it may be broadcast
     """
     columns = target.columns
+    unknown = set(matched_set or ()) - set(columns)
+    if unknown:
+        raise ValueError(f"not in the target: {sorted(unknown)}")
+    wanted = source if insert_if is None else source.filter(insert_if)
+    if (matched_set and insert_values is not None and extra_on is None
+            and unique_source and unique_target and not small_source):
+        return _merge_by_full_join(target, source, wanted, keys, matched_set, matched_if,
+                                   insert_values, insert_if)
     result = target
     if matched_set:
-        unknown = set(matched_set) - set(columns)
-        if unknown:
-            raise ValueError(f"not in the target: {sorted(unknown)}")
-        rows = source if unique_source else _with_copies(source, keys)
-        rows = rows.select(*[F.col(c).alias(_PREFIX + c) for c in source.columns],
-                           *([] if unique_source else [_COPIES]), F.lit(True).alias(_HIT))
-        on = F.lit(True) if extra_on is None else extra_on
-        for key in keys:
-            on = on & (F.col(key) == src(key))
+        rows = _prefixed(source) if unique_source else _prefixed(_with_copies(source, keys), _COPIES)
+        on = _same_key(keys) if extra_on is None else _same_key(keys) & extra_on
         joined = target.join(F.broadcast(rows) if small_source else rows, on, "left")
-        applies = F.col(_HIT).isNotNull()
-        if matched_if is not None:
-            applies = applies & F.coalesce(matched_if, F.lit(False))
-        values = {c: F.when(applies, matched_set[c]).otherwise(F.col(c)).alias(c)
-                  if c in matched_set else F.col(c) for c in columns}
+        values = _updated(target, matched_set, matched_if)
         if not unique_source:
             several = F.col(_HIT).isNotNull() & F.col(_COPIES).isNotNull()
             failing = F.raise_error(F.lit("several source rows match one target row"))
             first = keys[0]
-            values[first] = (F.when(several, failing.cast(target.schema[first].dataType))
-                             .otherwise(values[first])).alias(first)
-        result = joined.select(*[values[c] for c in columns])
+            values[first] = F.when(several, failing.cast(target.schema[first].dataType)).otherwise(
+                values[first])
+        result = joined.select(*[values[c].alias(c) for c in columns])
     if insert_values is not None:
         known = target if extra_on is None else target.filter(extra_on)
-        wanted = source if insert_if is None else source.filter(insert_if)
         fresh = rows_to_insert(known, wanted, keys, small_source=small_source)
-        types = {f.name: f.dataType for f in target.schema.fields}
-        fresh = fresh.select(*[
-            (insert_values[c] if c in insert_values else F.lit(None)).cast(types[c]).alias(c)
-            for c in columns])
-        result = result.unionByName(fresh)
+        result = result.unionByName(fresh.select(*[
+            value.alias(c) for c, value in _inserted(target, insert_values).items()]))
     return result
 
 
+def _merge_by_full_join(target: DataFrame, source: DataFrame, wanted: DataFrame, keys: Sequence[str],
+                        matched_set: Mapping[str, Column], matched_if: Column | None,
+                        insert_values: Mapping[str, Column],
+                        insert_if: Column | None) -> DataFrame:
+    new = _inserted(target, insert_values)
+    rows = _prefixed(
+        source.filter(~_any_null(keys)), *[value.alias(f"_new_{c}") for c, value in new.items()],
+        (F.lit(True) if insert_if is None else F.coalesce(insert_if, F.lit(False))).alias("_new"))
+    kept = target.filter(~_any_null(keys)).withColumn("_kept", F.lit(True))
+    joined = kept.join(rows, _same_key(keys), "full").filter(F.col("_kept").isNotNull() | F.col("_new"))
+    values = _updated(target, matched_set, matched_if)
+    merged = joined.select(*[
+        F.when(F.col("_kept").isNotNull(), values[c]).otherwise(F.col(f"_new_{c}")).alias(c)
+        for c in target.columns])
+    around = wanted.filter(_any_null(keys)).select(*[v.alias(c) for c, v in new.items()])
+    return merged.unionAll(target.filter(_any_null(keys))).unionAll(around)
+
+
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], *,
                      matched_set: Mapping[str, Column] | None = None,
                      matched_if: Column | None = None,

@@ -204,7 +204,8 @@ def merge_failures(failure: DataFrame, succeeded: DataFrame, failed: DataFrame,
     changes["date_updated"] = src("date_updated")
     return merge(failure, states, KEYS, matched_set=changes, matched_if=marking | counting,
                  insert_values={**_same(FAILURE), "retry_count": F.lit(0)},
-                 insert_if=~F.col("_ok"), unique_source=True, small_source=small_source)
+                 insert_if=~F.col("_ok"), unique_source=True, unique_target=True,
+                 small_source=small_source)
 
 
 def apply_outcomes(state: LedgerState, outcomes: DataFrame, at: Column | None = None) -> LedgerState:

@@ -76,6 +76,18 @@ def test_small_source_does_not_shuffle_the_target(spark, tmp_path, conf):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_unique_keys_take_one_full_join(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    for name in ("t", "s"):
+        kv(spark, *[(str(i), name) for i in range(50)]).write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("t", "s"))
+    plan = planned(merge(target, source, ["k"], matched_set={"v": src("v")},
+                         insert_values={"k": F.col("k"), "v": F.col("v")},
+                         unique_source=True, unique_target=True))
+    assert plan.count("Exchange hashpartitioning") == 2 and "FullOuter" in plan
+    assert "PushedFilters: [IsNull(k)]" in plan  # the way around for NULL keys
+
+
 def test_rows_to_insert(spark):
     target, source = kv(spark, ("a", "1")), kv(spark, ("a", "x"), ("b", "y"), (None, "z"))
     for small in (False, True):
@@ -107,10 +119,12 @@ def _expected(target, source, extra, matched, insert):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("how", [
+    {}, {"small_source": True}, {"unique_source": True},
+    {"unique_source": True, "unique_target": True}])
 @pytest.mark.parametrize("case", ["upsert", "update_extra", "conditions"])
-def test_merge_against_brute_force(spark, case, small):
-    rng = random.Random(f"{case}{small}")
+def test_merge_against_brute_force(spark, case, how):
+    rng = random.Random(f"{case}{how}")
     keys, target, source = [None, "a", "b", "c", "d"], [], []
     for g in range(150):
         target += [(g, rng.choice(keys), rng.randrange(9), rng.randrange(2))
@@ -128,7 +142,7 @@ def test_merge_against_brute_force(spark, case, small):
         extra_on=tgt("flag") == 0 if case == "update_extra" else None,
         insert_values=None if insert is None else {
             "g": F.col("g"), "k": F.col("k"), "v": F.col("v"), "flag": F.lit(0)},
-        insert_if=F.col("v") % 2 == 0 if case == "conditions" else None, small_source=small)
+        insert_if=F.col("v") % 2 == 0 if case == "conditions" else None, **how)
     assert rows(got) == _expected(target, source, extra, matched, insert)
 
 
