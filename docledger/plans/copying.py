@@ -49,6 +49,7 @@ def copy_files(worklist: DataFrame, source_root: str, target_root: str, *, stage
             "reject_code": F.when(blocked, F.col("blocked_code")).otherwise(F.col("reject_code")),
             "reject_text": F.when(blocked, F.lit("Target exists")).otherwise(F.col("reject_text")),
         }).drop("blocked_code")
-    return dispatch(located, FileCopy(source_root, target_root), stage_path=stage_path,
-                    correlation_id=correlation_id, errors="storage",
+    transport = FileCopy(source_root, target_root)
+    return dispatch(located, transport, stage_path=stage_path, correlation_id=correlation_id,
+                    errors="storage", open_client=transport.open_client,
                     policy=policy or AttemptPolicy(other_kinds=(OTHER,)), **calling)

@@ -6,7 +6,10 @@ from docledger.operators.dispatch import split_outcomes
 from docledger.operators.merge import merge, src, tgt
 from docledger.plans import ledgers as plans
 from docledger.registry.inputs import derived, query
-from docledger.schemas import FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
+from docledger.schemas import AUDIT, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
+from docledger.session import fresh_dir
+from docledger.sources.staging import stage
+from docledger.sources.tables import append, read_path
 
 
 def _columns(schema, alias=""):
@@ -156,9 +159,6 @@ def details_append(spark, sf_dir):
 FROM outcomes""")
 def audit_append(spark, sf_dir):
     """Written as two appends, successes and failures, and read back."""
-    from docledger.session import fresh_dir
-    from docledger.schemas import AUDIT
-    from docledger.sources.tables import append, read_path
     path = fresh_dir(spark, "audit")
     outcomes = derived(spark, sf_dir, "outcomes")
     append(plans.audit_entries(outcomes.filter("ok")), path)
@@ -214,7 +214,8 @@ def _tagged(success, failure, details):
 
 def applied_sql(outcomes_cte):
     """All three ledgers after the outcomes of a CTE named ``due``."""
-    marked = (f"({_updated(FAILURE, 'failure', 'due_good', {'reprocess_success': (_OPEN, '1'), 'date_updated': (_OPEN, 's.date_updated')})})")
+    marked = "(" + _updated(FAILURE, "failure", "due_good", {
+        "reprocess_success": (_OPEN, "1"), "date_updated": (_OPEN, "s.date_updated")}) + ")"
     counted = _updated(FAILURE, marked, "due_bad", {
         "retry_count": (_COUNTED, "t.retry_count + 1"),
         **{c: (_COUNTED, f"s.{c}") for c in ("latest_error_message", "latest_error_code",
@@ -238,8 +239,10 @@ due_bad AS (SELECT auth_request_id, document_id, correlation_id AS latest_correl
 
 @query("apply_outcomes", applied_sql("due AS (SELECT * FROM outcomes)"))
 def apply_outcomes(spark, sf_dir):
-    before = plans.LedgerState(*[derived(spark, sf_dir, n) for n in ("success", "failure", "details")])
-    after = plans.apply_outcomes(before, derived(spark, sf_dir, "outcomes"))
+    success, failure, details, outcomes = [
+        stage(derived(spark, sf_dir, name), fresh_dir(spark, name))
+        for name in ("success", "failure", "details", "outcomes")]
+    after = plans.apply_outcomes(plans.LedgerState(success, failure, details), outcomes)
     return (after.success.withColumn("ledger", F.lit("success"))
             .unionByName(after.failure.withColumn("ledger", F.lit("failure")), True)
             .unionByName(after.details.withColumn("ledger", F.lit("details")), True))

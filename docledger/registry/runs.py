@@ -1,17 +1,18 @@
 """Dispatch, whole runs, streams and table round trips."""
 
+import uuid
 from contextlib import nullcontext
 
 from pyspark.sql import functions as F
 
-from docledger.functions.timing import instant
+from docledger.functions.timing import instant, iso_text
 from docledger.operators.dispatch import AttemptPolicy, Reply, dispatch
 from docledger.operators.worklist import worklist
 from docledger.plans.job import JobOptions, sending, tagged_ledgers, transfer_job
 from docledger.registry.inputs import CREATED, RUN_AT, derived, query
 from docledger.registry.ledgers import applied_sql
 from docledger.registry.sets import WORKLIST_SQL
-from docledger.schemas import MANIFEST
+from docledger.schemas import MANIFEST, OUTCOME
 from docledger.session import fresh_dir
 from docledger.sources import tables
 from docledger.sources.ledger import Ledgers, write_version
@@ -156,7 +157,6 @@ def csv_manifest(spark, sf_dir):
 @query("csv_audit", """SELECT file_name, full_path, auth_request_id, document_id AS annotation_id,
   '2024-02-01T00:00:00' AS uploaded_at FROM located""")
 def csv_audit(spark, sf_dir):
-    from docledger.functions.timing import iso_text
     rows = derived(spark, sf_dir, "located").withColumn("annotation_id", F.col("document_id"))
     return tables.write_audit_csv(tables.audit_rows(rows, iso_text(instant(RUN_AT))),
                                   fresh_dir(spark, "audit-csv"), instant(RUN_AT))
@@ -167,7 +167,6 @@ def csv_audit(spark, sf_dir):
   TIMESTAMP '2024-01-01 00:00:00' AS date_updated FROM manifest""")
 def ensure_tables(spark, sf_dir):
     """Create the cross-reference tables twice, fill one by name and read it as a table."""
-    import uuid
     database = f"crossref_{uuid.uuid4().hex[:12]}"
     folder = fresh_dir(spark, "crossref")
     tables.ensure_tables(spark, database=database, location=folder)
@@ -184,7 +183,6 @@ def ensure_tables(spark, sf_dir):
 @query("outcomes_df", "SELECT document_id, ok, error_code, execution_time_ms FROM outcomes")
 def outcomes_df(spark, sf_dir):
     """Outcome rows under the fixed schema, whatever is NULL in them."""
-    from docledger.schemas import OUTCOME
     path = fresh_dir(spark, "outcomes")
     tables.append(derived(spark, sf_dir, "outcomes"), path)
     rows = tables.read_path(spark, path, schema=OUTCOME)
@@ -194,7 +192,6 @@ def outcomes_df(spark, sf_dir):
 @query("bucketed_worklist", WORKLIST_SQL)
 def bucketed_worklist(spark, sf_dir):
     """Manifest and ledgers as tables bucketed by key: the worklist needs no shuffle."""
-    import uuid
     stem, folder = f"b_{uuid.uuid4().hex[:12]}", fresh_dir(spark, "bucketed")
     parts = [tables.create_bucketed(derived(spark, sf_dir, name), f"{stem}_{name}",
                                     ("auth_request_id", "document_id"), 4, f"{folder}/{name}")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from docledger.functions import messages, paths, status, timing
+from docledger.operators import worklist as wl
 from docledger.registry.inputs import derived, load, query
 
 _B = "chr(92)"
@@ -176,9 +177,8 @@ def missing_required(spark, sf_dir):
 @query("cast_error_code", "SELECT document_id, TRY_CAST(CASE WHEN code = 404 THEN 'n/a' "
        "ELSE CAST(code AS VARCHAR) END AS INTEGER) AS error_code FROM docs")
 def cast_error_code(spark, sf_dir):
-    from docledger.operators.worklist import cast_error_code as cast
     text = F.when(F.col("code") == 404, "n/a").otherwise(F.col("code").cast("string"))
-    return cast(derived(spark, sf_dir, "docs").select("document_id", text.alias("error_code")))
+    return wl.cast_error_code(derived(spark, sf_dir, "docs").select("document_id", text.alias("error_code")))
 
 
 # --- messages -------------------------------------------------------------------------------

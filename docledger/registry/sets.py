@@ -2,9 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from docledger.functions import messages
 from docledger.functions.paths import full_path
+from docledger.functions.timing import instant
 from docledger.operators import batching, keys, summary, worklist as wl
-from docledger.registry.inputs import derived, load, query
+from docledger.registry.inputs import RUN_AT, derived, load, query
+from docledger.sources import tables
 
 _ABSENT = ("NOT EXISTS (SELECT 1 FROM {0} k WHERE k.auth_request_id = d.auth_request_id "
            "AND k.document_id = d.document_id)")
@@ -150,16 +153,13 @@ def multiply_rows(spark, sf_dir):
 @query("stamp", f"SELECT document_id, 'run-7' AS correlation_id, TIMESTAMP '2024-02-01 00:00:00' AS "
        "date_created, TIMESTAMP '2024-02-01 00:00:00' AS date_updated FROM manifest")
 def stamp(spark, sf_dir):
-    from docledger.functions.timing import instant
-    from docledger.registry.inputs import RUN_AT
     rows = derived(spark, sf_dir, "manifest").select("document_id")
     return wl.stamp(wl.with_correlation(rows, "run-7"), instant(RUN_AT))
 
 
 @query("as_view", "SELECT reprocess_success, COUNT(*) AS n FROM failure GROUP BY reprocess_success")
 def as_view(spark, sf_dir):
-    from docledger.sources.tables import as_view as register
-    register(derived(spark, sf_dir, "failure"), "incoming_failures")
+    tables.as_view(derived(spark, sf_dir, "failure"), "incoming_failures")
     return spark.sql("SELECT reprocess_success, COUNT(*) AS n FROM incoming_failures "
                      "GROUP BY reprocess_success")
 
@@ -228,9 +228,8 @@ def batch_progress(spark, sf_dir):
 @query("payload_json", """SELECT document_id,
   to_json(struct_pack(file_path := full_path, ar_number := ar_number)) AS payload FROM located""")
 def payload_json(spark, sf_dir):
-    from docledger.functions.messages import payload_json as as_json
-    return derived(spark, sf_dir, "located").select(
-        "document_id", as_json(F.col("full_path").alias("file_path"), "ar_number").alias("payload"))
+    payload = messages.payload_json(F.col("full_path").alias("file_path"), "ar_number")
+    return derived(spark, sf_dir, "located").select("document_id", payload.alias("payload"))
 
 
 @query("batch_payloads", f"""

@@ -11,6 +11,7 @@ import json
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -71,9 +72,13 @@ class FileCopy:
     target_root: str
     chunk: int = CHUNK
 
-    def __call__(self, client: object, row: dict) -> Reply:
-        source_fs, source_base = open_root(self.source_root)
-        target_fs, target_base = open_root(self.target_root)
+    @contextmanager
+    def open_client(self) -> Iterator[tuple]:
+        """The two file systems, opened once per task."""
+        yield (*open_root(self.source_root), *open_root(self.target_root))
+
+    def __call__(self, client: tuple, row: dict) -> Reply:
+        source_fs, source_base, target_fs, target_base = client
         source = below(source_base, row["source_file"])
         target = below(target_base, row["target_key"])
         if source_fs.get_file_info(source).type != pafs.FileType.File:

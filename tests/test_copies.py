@@ -70,20 +70,22 @@ def test_a_damaged_copy_is_deleted_and_reported(share):
 
     send = Damaging(str(share / "shares"), str(share / "out"))
     row = {"source_file": "srv/share/in/small.pdf", "target_key": "k/small.pdf", "full_path": "p"}
-    with pytest.raises(RuntimeError, match="validation"):
-        send(None, row)
+    with send.open_client() as client, pytest.raises(RuntimeError, match="validation"):
+        send(client, row)
     assert os.listdir(share / "out" / "k") == []
-    good = files.FileCopy(str(share / "shares"), str(share / "out"))(None, row)
+    with send.open_client() as client:
+        good = files.FileCopy(send.source_root, send.target_root)(client, row)
     assert json.loads(good.body)["total_bytes"] == 5
 
 
 def test_paths_cannot_climb_out(share):
     send = files.FileCopy(str(share / "shares"), str(share / "out"))
-    for bad in ("../x", "srv/../../x", "/etc/passwd", "", None, "a//b", "."):
-        with pytest.raises(ValueError):
-            send(None, {"source_file": bad, "target_key": "k", "full_path": "p"})
-        with pytest.raises(ValueError):
-            send(None, {"source_file": "srv/share/in/small.pdf", "target_key": bad, "full_path": "p"})
+    good = {"source_file": "srv/share/in/small.pdf", "target_key": "k", "full_path": "p"}
+    with send.open_client() as client:
+        for bad in ("../x", "srv/../../x", "/etc/passwd", "", None, "a//b", "."):
+            for column in ("source_file", "target_key"):
+                with pytest.raises(ValueError):
+                    send(client, {**good, column: bad})
 
 
 def test_bad_paths_get_400(spark, share):

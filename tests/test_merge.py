@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from docledger.operators.merge import merge, merge_into_table, rows_to_insert, src, tgt
 from docledger.operators.dispatch import split_outcomes
 from docledger.plans import ledgers as plans
-from docledger.schemas import KEYS
 from tests.helpers import T0, T1, details, failure, outcomes, planned, rows, success
 
 
@@ -249,7 +248,3 @@ def test_audit_entries(spark):
     got = plans.audit_entries(outcomes(spark, ("a", "x", 200), ("a", "y", 404)))
     assert rows(got, "annotation_id", "status", "status_code", "azure_blob_path", "message") == [
         ("x", "Success", 200, "t/x", ""), ("y", "Failed", 404, None, "code 404")]
-
-
-def test_keys_constant():
-    assert KEYS == ("auth_request_id", "document_id")
