@@ -19,15 +19,16 @@ from docledger.operators.keys import shared_keys, without_keys
 _PREFIX = "_src_"
 _HIT = "_src_hit"
 _COPIES = "_src_copies"
+_KEPT = "_tgt_kept"
 
 
 def src(name: str) -> Column:
-    """A source column inside ``matched_set`` or ``matched_if``."""
+    """A source column inside a clause of ``merge``."""
     return F.col(_PREFIX + name)
 
 
 def tgt(name: str) -> Column:
-    """A target column inside ``matched_set`` or ``matched_if``."""
+    """A target column inside a matched clause of ``merge``."""
     return F.col(name)
 
 
@@ -63,9 +64,9 @@ def _same_key(keys: Sequence[str]) -> Column:
     return on
 
 
-def _prefixed(source: DataFrame, *extra: Column | str) -> DataFrame:
-    return source.select(*[F.col(c).alias(_PREFIX + c) for c in source.columns], *extra,
-                         F.lit(True).alias(_HIT))
+def _prefixed(source: DataFrame, *extra: str) -> DataFrame:
+    return source.select(*[F.col(c).alias(_PREFIX + c) for c in source.columns if c not in extra],
+                         *extra, F.lit(True).alias(_HIT))
 
 
 def _updated(target: DataFrame, matched_set: Mapping[str, Column],
@@ -79,11 +80,19 @@ def _updated(target: DataFrame, matched_set: Mapping[str, Column],
 
 
 def _inserted(target: DataFrame, insert_values: Mapping[str, Column]) -> dict[str, Column]:
-    """Value of each target column in an inserted row, over source rows."""
+    """Value of each target column in an inserted row."""
     return {f.name: insert_values.get(f.name, F.lit(None)).cast(f.dataType)
             for f in target.schema.fields}
 
 
+def _insert(target: DataFrame, fresh: DataFrame, insert_values: Mapping[str, Column],
+            insert_if: Column | None) -> DataFrame:
+    """Source rows no target row matches, as target rows."""
+    rows = _prefixed(fresh)
+    rows = rows if insert_if is None else rows.filter(insert_if)
+    return rows.select(*[v.alias(c) for c, v in _inserted(target, insert_values).items()])
+
+
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
           matched_set: Mapping[str, Column] | None = None,
           matched_if: Column | None = None,
@@ -97,8 +106,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
 
     matched_set    target column to new value, written with ``src`` and ``tgt``
     matched_if     rows that match but fail this keep their values
-    insert_values  target column to value over plain source columns; None inserts nothing
-    insert_if      condition over plain source columns for an insert
+    insert_values  target column to value, written with ``src``; None inserts nothing
+    insert_if      condition on the source row for an insert
     extra_on       further ON condition over target columns. With an insert clause, a target row
                    that fails it counts as absent, so its key is inserted a second time: use it
                    with update-only merges
@@ -111,11 +120,10 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     unknown = set(matched_set or ()) - set(columns)
     if unknown:
         raise ValueError(f"not in the target: {sorted(unknown)}")
-    wanted = source if insert_if is None else source.filter(insert_if)
     if (matched_set and insert_values is not None and extra_on is None
             and unique_source and unique_target and not small_source):
-        return _merge_by_full_join(target, source, wanted, keys, matched_set, matched_if,
-                                   insert_values, insert_if)
+        return _merge_by_full_join(target, source, keys, matched_set, matched_if, insert_values,
+                                   insert_if)
     result = target
     if matched_set:
         rows = _prefixed(source) if unique_source else _prefixed(_with_copies(source, keys), _COPIES)
@@ -131,28 +139,25 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
         result = joined.select(*[values[c].alias(c) for c in columns])
     if insert_values is not None:
         known = target if extra_on is None else target.filter(extra_on)
-        fresh = rows_to_insert(known, wanted, keys, small_source=small_source)
-        result = result.unionByName(fresh.select(*[
-            value.alias(c) for c, value in _inserted(target, insert_values).items()]))
+        fresh = rows_to_insert(known, source, keys, small_source=small_source)
+        result = result.unionAll(_insert(target, fresh, insert_values, insert_if))
     return result
 
 
-def _merge_by_full_join(target: DataFrame, source: DataFrame, wanted: DataFrame, keys: Sequence[str],
+def _merge_by_full_join(target: DataFrame, source: DataFrame, keys: Sequence[str],
                         matched_set: Mapping[str, Column], matched_if: Column | None,
                         insert_values: Mapping[str, Column],
                         insert_if: Column | None) -> DataFrame:
-    new = _inserted(target, insert_values)
-    rows = _prefixed(
-        source.filter(~_any_null(keys)), *[value.alias(f"_new_{c}") for c, value in new.items()],
-        (F.lit(True) if insert_if is None else F.coalesce(insert_if, F.lit(False))).alias("_new"))
-    kept = target.filter(~_any_null(keys)).withColumn("_kept", F.lit(True))
-    joined = kept.join(rows, _same_key(keys), "full").filter(F.col("_kept").isNotNull() | F.col("_new"))
-    values = _updated(target, matched_set, matched_if)
+    loose = _any_null(keys)
+    kept = target.filter(~loose).withColumn(_KEPT, F.lit(True))
+    joined = kept.join(_prefixed(source.filter(~loose)), _same_key(keys), "full")
+    if insert_if is not None:
+        joined = joined.filter(F.col(_KEPT).isNotNull() | insert_if)
+    old, new = _updated(target, matched_set, matched_if), _inserted(target, insert_values)
     merged = joined.select(*[
-        F.when(F.col("_kept").isNotNull(), values[c]).otherwise(F.col(f"_new_{c}")).alias(c)
-        for c in target.columns])
-    around = wanted.filter(_any_null(keys)).select(*[v.alias(c) for c, v in new.items()])
-    return merged.unionAll(target.filter(_any_null(keys))).unionAll(around)
+        F.when(F.col(_KEPT).isNotNull(), old[c]).otherwise(new[c]).alias(c) for c in target.columns])
+    around = _insert(target, source.filter(loose), insert_values, insert_if)
+    return merged.unionAll(target.filter(loose)).unionAll(around)
 
 
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], *,

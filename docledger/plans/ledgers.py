@@ -25,7 +25,7 @@ SMALL_BYTES = 64 * 1024 * 1024
 
 
 def _same(schema) -> dict[str, Column]:
-    return {name: F.col(name) for name in schema.fieldNames()}
+    return {name: src(name) for name in schema.fieldNames()}
 
 
 def _updates(schema, keys=KEYS) -> dict[str, Column]:
@@ -204,7 +204,7 @@ def merge_failures(failure: DataFrame, succeeded: DataFrame, failed: DataFrame,
     changes["date_updated"] = src("date_updated")
     return merge(failure, states, KEYS, matched_set=changes, matched_if=marking | counting,
                  insert_values={**_same(FAILURE), "retry_count": F.lit(0)},
-                 insert_if=~F.col("_ok"), unique_source=True, unique_target=True,
+                 insert_if=~src("_ok"), unique_source=True, unique_target=True,
                  small_source=small_source)
 
 

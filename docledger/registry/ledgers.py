@@ -189,9 +189,9 @@ def merge_query(spark, sf_dir):
         target, derived(spark, sf_dir, "outcomes"), KEYS,
         matched_set={"retry_count": (tgt("retry_count") + src("execution_time_ms")).cast("int")},
         matched_if=src("ok") & (tgt("reprocess_success") == 0),
-        insert_values={**{k: F.col(k) for k in KEYS}, "full_path": F.lit("new"),
-                       "retry_count": F.col("execution_time_ms")},
-        insert_if=~F.col("ok"))
+        insert_values={**{k: src(k) for k in KEYS}, "full_path": F.lit("new"),
+                       "retry_count": src("execution_time_ms")},
+        insert_if=~src("ok"))
     return merged.drop("reprocess_success")
 
 

@@ -20,21 +20,21 @@ def kv(spark, *pairs, value="v"):
 def test_upsert(spark, small):
     target, source = kv(spark, ("a", "1"), ("b", "2")), kv(spark, ("b", "x"), ("c", "y"))
     got = merge(target, source, ["k"], matched_set={"v": F.concat(tgt("v"), src("v"))},
-                insert_values={"k": F.col("k"), "v": F.col("v")}, small_source=small)
+                insert_values={"k": src("k"), "v": src("v")}, small_source=small)
     assert rows(got) == [("a", "1"), ("b", "2x"), ("c", "y")]
 
 
 def test_null_keys_never_match(spark):
     target, source = kv(spark, (None, "1")), kv(spark, (None, "x"), (None, "y"))
     got = merge(target, source, ["k"], matched_set={"v": src("v")},
-                insert_values={"k": F.col("k"), "v": F.col("v")})
+                insert_values={"k": src("k"), "v": src("v")})
     assert rows(got) == [(None, "1"), (None, "x"), (None, "y")]
 
 
 def test_null_values_are_updates_not_absences(spark):
     target, source = kv(spark, ("a", "1")), kv(spark, ("a", None))
     got = merge(target, source, ["k"], matched_set={"v": src("v")},
-                insert_values={"k": F.col("k"), "v": F.col("v")})
+                insert_values={"k": src("k"), "v": src("v")})
     assert rows(got) == [("a", None)]
 
 
@@ -47,7 +47,7 @@ def test_several_source_rows_for_one_target_row_fail(spark):
 def test_repeated_unmatched_source_rows_all_insert(spark):
     target, source = kv(spark, ("a", "1")), kv(spark, ("b", "x"), ("b", "y"))
     got = merge(target, source, ["k"], matched_set={"v": src("v")},
-                insert_values={"k": F.col("k"), "v": F.col("v")})
+                insert_values={"k": src("k"), "v": src("v")})
     assert rows(got) == [("a", "1"), ("b", "x"), ("b", "y")]
 
 
@@ -57,7 +57,7 @@ def test_extra_condition_with_insert_inserts_again(spark):
     update = merge(target, source, ["k"], matched_set={"v": src("v")}, extra_on=tgt("v") == "1")
     assert rows(update) == [("a", "x"), ("b", "2")]
     both = merge(target, source, ["k"], matched_set={"v": src("v")}, extra_on=tgt("v") == "1",
-                 insert_values={"k": F.col("k"), "v": F.col("v")})
+                 insert_values={"k": src("k"), "v": src("v")})
     assert rows(both) == [("a", "x"), ("b", "2"), ("b", "y")]
 
 
@@ -81,7 +81,7 @@ def test_unique_keys_take_one_full_join(spark, tmp_path, conf):
         kv(spark, *[(str(i), name) for i in range(50)]).write.parquet(str(tmp_path / name))
     target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("t", "s"))
     plan = planned(merge(target, source, ["k"], matched_set={"v": src("v")},
-                         insert_values={"k": F.col("k"), "v": F.col("v")},
+                         insert_values={"k": src("k"), "v": src("v")},
                          unique_source=True, unique_target=True))
     assert plan.count("Exchange hashpartitioning") == 2 and "FullOuter" in plan
     assert "PushedFilters: [IsNull(k)]" in plan  # the way around for NULL keys
@@ -140,8 +140,8 @@ def test_merge_against_brute_force(spark, case, how):
         matched_if=(tgt("flag") == 1) & (src("v") > 3) if case == "conditions" else None,
         extra_on=tgt("flag") == 0 if case == "update_extra" else None,
         insert_values=None if insert is None else {
-            "g": F.col("g"), "k": F.col("k"), "v": F.col("v"), "flag": F.lit(0)},
-        insert_if=F.col("v") % 2 == 0 if case == "conditions" else None, **how)
+            "g": src("g"), "k": src("k"), "v": src("v"), "flag": F.lit(0)},
+        insert_if=src("v") % 2 == 0 if case == "conditions" else None, **how)
     assert rows(got) == _expected(target, source, extra, matched, insert)
 
 
