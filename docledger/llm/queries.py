@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docledger.llm.ann import search
+from docledger.llm.jaccard import jaccard_join
 from docledger.llm.packing import pack
 from docledger.llm.pii import replace_pii
 from docledger.llm.quality import quality
@@ -32,6 +33,12 @@ def model_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query
+def op2_jaccard_join(spark, sf_dir):
+    members, _ = jaccard_join(table(spark, sf_dir, "documents"))
+    return members.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     counts = count_tokens(table(spark, sf_dir, "documents"), model_path())
