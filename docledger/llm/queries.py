@@ -14,6 +14,7 @@ from docledger.llm.quality import quality
 from docledger.llm.secret_scan import scan
 from docledger.llm.text import table
 from docledger.llm.tokens import count_tokens
+from docledger.llm.toxicity import score, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +62,12 @@ def op6_pii(spark, sf_dir):
     return replace_pii(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+@query
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op8_secret_scan(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents")).drop("found")
