@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docledger.llm.ann import search
 from docledger.llm.jaccard import jaccard_join
+from docledger.llm.lm import lm_scores
 from docledger.llm.packing import pack
 from docledger.llm.pii import replace_pii
 from docledger.llm.quality import quality
@@ -34,6 +35,11 @@ def model_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query
+def op1_lm_scores(spark, sf_dir):
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_jaccard_join(spark, sf_dir):
     members, _ = jaccard_join(table(spark, sf_dir, "documents"))

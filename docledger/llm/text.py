@@ -131,7 +131,7 @@ def _pieces(data: bytes) -> Iterator[bytes]:
     yield data[at:]
 
 
-def _hash_piece(data: bytes) -> np.ndarray:
+def _hash_piece(data: bytes, tails: bool = False) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
     word = ~_blank[raw]
     edge = np.diff(np.concatenate(([False], word, [False])).astype(np.int8))
@@ -140,14 +140,21 @@ def _hash_piece(data: bytes) -> np.ndarray:
     prefix = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:len(raw)], out=prefix[1:])
     h = (prefix[ends] - prefix[starts]) * inverses[starts]
-    return mixed(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    h = mixed(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    if not tails:
+        return h
+    last = raw[ends - 1].astype(np.uint64)
+    before = np.where(ends - starts > 1, raw[np.maximum(ends - 2, 0)], 0).astype(np.uint64)
+    return np.stack([h, before << np.uint64(8) | last], axis=1)
 
 
-def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], lower: bool = True,
+                tails: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, one after another, and where each text begins.
 
-    The second array has one entry more than there are texts. Work memory follows BLOCK, not the
-    length of a text.
+    The second array has one entry more than there are texts. With ``tails`` the first has two
+    columns, the hash and the last two bytes of the word. Work memory follows BLOCK, not the length
+    of a text.
     """
     out, bounds, group, size = [], [0], [], 0
 
@@ -156,7 +163,7 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.
         if not group:
             return
         joined = b"\n".join(group)
-        h = _hash_piece(joined.lower() if lower else joined)
+        h = _hash_piece(joined.lower() if lower else joined, tails)
         raw = np.frombuffer(joined, np.uint8)
         word = ~_blank[raw]
         first = np.flatnonzero(word & np.concatenate(([True], ~word[:-1])))
@@ -169,7 +176,7 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.
     for text in texts:
         if len(text) > BLOCK:
             flush()
-            parts = [_hash_piece(p.lower() if lower else p) for p in _pieces(text)]
+            parts = [_hash_piece(p.lower() if lower else p, tails) for p in _pieces(text)]
             out.extend(parts)
             bounds.append(bounds[-1] + sum(map(len, parts)))
             continue
@@ -178,7 +185,8 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.
         group.append(text)
         size += len(text) + 1
     flush()
-    return np.concatenate(out or [np.zeros(0, np.uint64)]), np.asarray(bounds, np.int64)
+    return (np.concatenate(out or [np.zeros((0, 2) if tails else 0, np.uint64)]),
+            np.asarray(bounds, np.int64))
 
 
 def windows(h: np.ndarray, k: int) -> np.ndarray:
