@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docledger.llm.ann import search
 from docledger.llm.jaccard import jaccard_join
+from docledger.llm.lattice import encoding_sums, pieces
 from docledger.llm.lm import lm_scores
 from docledger.llm.packing import pack
 from docledger.llm.pii import replace_pii
@@ -79,6 +80,11 @@ def op8_secret_scan(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+@query
+def op9_sentencepiece(spark, sf_dir):
+    return encoding_sums(table(spark, sf_dir, "documents"), pieces(model_path()))
+
+
 @query
 def op10_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")

@@ -131,16 +131,21 @@ def _pieces(data: bytes) -> Iterator[bytes]:
     yield data[at:]
 
 
+def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes."""
+    powers, inverses = _tables(len(raw) + 1)
+    prefix = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:len(raw)], out=prefix[1:])
+    h = (prefix[ends] - prefix[starts]) * inverses[starts]
+    return mixed(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def _hash_piece(data: bytes, tails: bool = False) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
     word = ~_blank[raw]
     edge = np.diff(np.concatenate(([False], word, [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    powers, inverses = _tables(len(raw) + 1)
-    prefix = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:len(raw)], out=prefix[1:])
-    h = (prefix[ends] - prefix[starts]) * inverses[starts]
-    h = mixed(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    h = range_hashes(raw, starts, ends)
     if not tails:
         return h
     last = raw[ends - 1].astype(np.uint64)
