@@ -21,10 +21,12 @@ import datetime
 import hashlib
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.llm.text import map_documents
+from docledger.session import ship
 
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date")
 ROUNDS = 10
@@ -252,12 +254,10 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id",
 
 def with_pseudonyms(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """``docs`` with its text replaced, all other columns as they were; a null text stays null."""
-    from docledger.session import ship
-
     ship(docs.sparkSession)
 
     @F.pandas_udf("string")
-    def changed(texts: "pd.Series") -> "pd.Series":  # noqa: F821
+    def changed(texts: pd.Series) -> pd.Series:
         feistel = Feistel(key)
         return texts.map(lambda t: None if t is None else pseudonymise(t, feistel)[0])
 
