@@ -292,13 +292,13 @@ def known_words(counts: DataFrame) -> Words:
 def start_model(docs: DataFrame, words: Words, texts: int = START_TEXTS, turns: int = 3,
                 id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, list]:
     """A model fitted on the driver, on ``texts`` whole training texts that arrive one by one."""
-    id_text = F.col(f"`{id_col}`").cast("string")
-    ids = (docs.where(id_text.isNotNull() & (F.crc32(id_text) % 10 != 0))
-           .select(F.col(f"`{id_col}`").alias("start_id")).distinct()
+    rows = docs.select(F.col(f"`{id_col}`").alias("start_id"),
+                       F.coalesce(f"`{text_col}`", F.lit("")).alias("start_text"))
+    id_text = F.col("start_id").cast("string")
+    ids = (rows.where(id_text.isNotNull() & (F.crc32(id_text) % 10 != 0)).select("start_id").distinct()
            .orderBy(F.xxhash64("start_id"), "start_id").limit(texts))
     # At most ``texts`` ids.
-    sample = docs.join(F.broadcast(ids), F.col(f"`{id_col}`") == F.col("start_id")).select(
-        "start_id", F.coalesce(f"`{text_col}`", F.lit("")).alias("start_text"))
+    sample = rows.join(F.broadcast(ids), "start_id")
     trainer = Trainer(new_model(words), words.noise, 1)
     rows = ((row.start_id, row.start_text.encode()) for row in stored(sample, "start").toLocalIterator())
     for group in _groups(rows):

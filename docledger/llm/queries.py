@@ -30,6 +30,31 @@ def query(function):
     return function
 
 
+ORACLES["op2_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))) END AS g
+  FROM words),
+entries AS (SELECT doc_id, unnest(g) AS gram FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM entries a JOIN entries b USING (gram)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sets x ON a = x.doc_id JOIN sets y ON b = y.doc_id
+  WHERE 100 * n >= 80 * (len(x.g) + len(y.g) - n)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON r.other = l.a),
+smallest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, component_id,
+  CASE WHEN len(s.g) = 0 THEN s.doc_id ELSE min(s.doc_id) OVER (PARTITION BY s.g) END AS class_id
+FROM sets s JOIN smallest USING (doc_id)"""
+
+
 def model_path() -> str:
     import public_tokenizers
 

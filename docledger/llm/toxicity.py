@@ -192,12 +192,14 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most: in
     spark = docs.sparkSession
     chosen = stored(
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-        .groupBy(F.col(id_col).alias("label_id")).agg(F.max(label_col).cast("int").alias("label"))
+        .groupBy(F.col(id_col).alias("label_id"))
+        .agg(F.when(F.max(label_col) > 0, 1).otherwise(0).alias("label"))
         .orderBy(F.xxhash64("label_id"), "label_id").limit(examples), "labelled")
     # The examples are bounded, so this broadcast is.
-    texts = stored(docs.join(F.broadcast(chosen), F.col(f"`{id_col}`") == F.col("label_id"))
+    texts = stored(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("body"))
+                   .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
                    .select("label_id", F.concat(F.col("label").cast("string"),
-                                                F.coalesce(f"`{text_col}`", F.lit(""))).alias("text"))
+                                                F.coalesce("body", F.lit(""))).alias("text"))
                    .repartition(12), "examples")
     names = {"id_col": "label_id", "text_col": "text"}
 
