@@ -7,8 +7,9 @@ predicts them in this order and the given label last; every link sees the words
 probabilities of the links before it. Links are fitted on out-of-fold probabilities, so a link never
 learns from predictions that have seen their own answer.
 
-Features are whole words and the first 3 to 8 letters of words, lower-case, present or not; those
-that tell the labels apart best are kept.
+Features are whole words and the first 3 to 8 letters of words, lower-case, present or not. Kept are
+those that toxic texts hold more often, by more than chance explains, the clearest first; so a text
+without any of them, an empty one too, is never toxic.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,12 +31,14 @@ CATEGORIES = ("word", "stem", "severe", "toxic")
 EXAMPLES = 20_000
 #: Features kept.
 FEATURES = 4_096
+#: Least chi-squared of presence against label.
+CHANCE = 30.0
 FOLDS = 5
 #: A feature is typical of toxic texts from this ratio of the two shares on.
 TYPICAL = 20.0
-#: Typical words that make a stem.
+#: Words of toxic texts that make a typical beginning of words a stem.
 FAMILY = 3
-#: Typical words from which a text is severe.
+#: Typical words and stems from which a text is severe.
 SEVERE = 4
 THRESHOLD = 0.5
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -120,7 +122,7 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 
 def _fit(found: list[list[int]], before: np.ndarray, wanted: np.ndarray, size: int,
-         turns: int = 300, rate: float = 0.5, decay: float = 1e-5) -> Link:
+         turns: int = 300, rate: float = 0.5, decay: float = 3e-5) -> Link:
     """Logistic regression by full steps with per-weight rates (Adagrad).
 
     Rows of the rarer answer weigh more, by the root of the ratio of the two.
@@ -163,13 +165,14 @@ def fit_chain(names: list[str], found: list[list[int]], wanted: np.ndarray, fold
     return Chain(names, links)
 
 
-def categories(names: list[str], ratios: list[float], found: list[list[int]],
+def categories(names: list[str], ratios: list[float], under: dict[str, int], found: list[list[int]],
                toxic: np.ndarray) -> np.ndarray:
-    """The derived categories and the label itself, a column each."""
+    """The derived categories and the label itself, a column each.
+
+    ``under`` has the number of words of toxic texts that begin with a stem.
+    """
     typical = {i for i, ratio in enumerate(ratios) if ratio >= TYPICAL}
-    words = [names[i][:-1] for i in typical if names[i].endswith("$")]
-    under = Counter(word[:n] for word in words for n in STEMS if n < len(word))
-    stems = {i for i in typical if not names[i].endswith("$") and under[names[i]] >= FAMILY}
+    stems = {i for i in typical if under.get(names[i], 0) >= FAMILY}
     heads = {names[i] for i in stems}
     alone = {i for i in typical if names[i].endswith("$")
              and not any(names[i][:n] in heads for n in STEMS)}
@@ -177,7 +180,7 @@ def categories(names: list[str], ratios: list[float], found: list[list[int]],
     out = np.zeros((len(found), len(CATEGORIES)))
     for row, has in enumerate(found):
         out[row] = (any(i in alone for i in has), any(i in stems for i in has),
-                    sum(i in whole for i in has) >= SEVERE, 1)
+                    sum(i in whole or i in stems for i in has) >= SEVERE, 1)
     return out * toxic[:, None]
 
 
@@ -219,14 +222,21 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most: in
         return Chain([], [Link(np.zeros(0), np.zeros(c), -30.0) for c in range(len(CATEGORIES))])
     counted = map_documents(texts, "name string, clean bigint, toxic bigint", count,
                             batch_rows=20_000, **names)
-    counted = counted.groupBy("name").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = stored(counted.groupBy("name").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "counted")
+    whole = counted.where("toxic > clean AND endswith(name, '$')").select(F.expr("rtrim('$', name)").alias("word"))
     total = clean_rows + toxic_rows
-    # Chi-squared of presence against label.
-    counted = counted.where("clean + toxic >= 3").withColumn(
-        "chi", F.expr(f"power(toxic * {clean_rows}D - clean * {toxic_rows}D, 2) / "
-                      f"((clean + toxic) * ({total + 1}D - clean - toxic))"))
+    counted = counted.where(f"clean + toxic >= 3 AND toxic * {clean_rows}D > clean * {toxic_rows}D").withColumn(
+        "chi", F.expr(f"power(toxic * {clean_rows}D - clean * {toxic_rows}D, 2) * {total / clean_rows / toxic_rows}D"
+                      f" / ((clean + toxic) * ({total + 1}D - clean - toxic))")).where(f"chi >= {CHANCE}")
     rows = counted.orderBy(F.desc("chi"), "name").limit(most).collect()
     kept = [r["name"] for r in rows]
+    beginnings = spark.createDataFrame([(name,) for name in kept if not name.endswith("$")], "stem string")
+    sizes = F.array(*[F.lit(n) for n in STEMS])
+    under = {r["stem"]: r["count"] for r in whole.select(
+        F.explode(F.filter(sizes, lambda n: n < F.length("word"))).alias("n"), "word").select(
+        F.expr("substring(word, 1, n)").alias("stem")).join(F.broadcast(beginnings), "stem")
+        .groupBy("stem").count().collect()}
     ratios = [(r.toxic / toxic_rows) / ((r.clean + 0.5) / clean_rows) if r.toxic >= 3 else 0.0
               for r in rows]
     known = Known(kept)
@@ -240,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most: in
                          **names).collect()
     rows.sort(key=lambda r: (str(r.doc_id), r.found))
     found = [list(r.found) for r in rows]
-    wanted = categories(kept, ratios, found, np.array([r.label for r in rows], float))
+    wanted = categories(kept, ratios, under, found, np.array([r.label for r in rows], float))
     return fit_chain(kept, found, wanted, np.array([r.fold for r in rows]))
 
 
