@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,8 @@ EXAMPLES = 20_000
 FEATURES = 4_096
 #: Least chi-squared of presence against label.
 CHANCE = 30.0
+#: Least ratio of the share of toxic texts that hold a feature to that of clean ones.
+RATIO = 3
 FOLDS = 5
 #: A feature is typical of toxic texts from this ratio of the two shares on.
 TYPICAL = 20.0
@@ -40,7 +43,7 @@ TYPICAL = 20.0
 FAMILY = 3
 #: Typical words and stems from which a text is severe.
 SEVERE = 4
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 LETTERS = re.compile(r"[^\W\d_]+")
 STEMS = range(3, 9)
 
@@ -206,29 +209,41 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most: in
                    .repartition(12), "examples")
     names = {"id_col": "label_id", "text_col": "text"}
 
-    def count(documents):
-        seen: dict[str, list[int]] = {}
-        for _, raw in documents:
-            text = raw.decode()
-            side = int(text[0] != "0")
-            for name in features(text[1:]):
-                seen.setdefault(name, [0, 0])[side] += 1
-        yield from ((name, clean, toxic) for name, (clean, toxic) in seen.items())
+    def count(wanted: bool, only: set[str] | None = None):
+        """Texts of one label that hold a feature; all features, or those given."""
+        def each(documents):
+            seen = Counter()
+            for _, raw in documents:
+                text = raw.decode()
+                if (text[0] != "0") == wanted:
+                    seen.update(features(text[1:]) if only is None else features(text[1:]) & only)
+                if len(seen) > 300_000:
+                    yield from seen.items()
+                    seen = Counter()
+            yield from seen.items()
+
+        found = map_documents(texts, "name string, n bigint", each, batch_rows=20_000, **names)
+        return found.groupBy("name").agg(F.sum("n").alias("n"))
 
     totals = texts.groupBy(F.substring("text", 1, 1) != "0").count().collect()
     n = {bool(r[0]): r[1] for r in totals}
     clean_rows, toxic_rows = n.get(False, 0), n.get(True, 0)
     if not clean_rows or not toxic_rows:
         return Chain([], [Link(np.zeros(0), np.zeros(c), -30.0) for c in range(len(CATEGORIES))])
-    counted = map_documents(texts, "name string, clean bigint, toxic bigint", count,
-                            batch_rows=20_000, **names)
-    counted = stored(counted.groupBy("name").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "counted")
-    whole = counted.where("toxic > clean AND endswith(name, '$')").select(F.expr("rtrim('$', name)").alias("word"))
+    in_toxic = stored(count(True), "toxic")
     total = clean_rows + toxic_rows
-    counted = counted.where(f"clean + toxic >= 3 AND toxic * {clean_rows}D > clean * {toxic_rows}D").withColumn(
+    # What even without a clean text would be chance is not looked for in clean ones.
+    least = next((n for n in range(3, toxic_rows + 1) if CHANCE <= n * clean_rows * total / (
+        toxic_rows * (total + 1 - n))), toxic_rows + 1)
+    often = in_toxic.where(F.col("n") >= least)
+    in_clean = count(False, {r["name"] for r in often.collect()})
+    counted = often.withColumnRenamed("n", "toxic").join(in_clean, "name", "left").select(
+        "name", "toxic", F.coalesce("n", F.lit(0)).alias("clean"))
+    # Chi-squared of presence against label.
+    counted = counted.where(f"toxic * {clean_rows}D > {RATIO} * clean * {toxic_rows}D").withColumn(
         "chi", F.expr(f"power(toxic * {clean_rows}D - clean * {toxic_rows}D, 2) * {total / clean_rows / toxic_rows}D"
                       f" / ((clean + toxic) * ({total + 1}D - clean - toxic))")).where(f"chi >= {CHANCE}")
+    whole = in_toxic.where("endswith(name, '$')").select(F.expr("rtrim('$', name)").alias("word"))
     rows = counted.orderBy(F.desc("chi"), "name").limit(most).collect()
     kept = [r["name"] for r in rows]
     beginnings = spark.createDataFrame([(name,) for name in kept if not name.endswith("$")], "stem string")
