@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import re
 import sys
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, functions as F
 
 SEP = "\\"
@@ -48,23 +50,32 @@ def normalise_path(c: Column | str, strip: bool = True) -> Column:
 def path_allowed(c: Column | str, patterns: Sequence[str]) -> Column:
     """True when any pattern matches from the first character, whatever the case.
 
-    Blank patterns are ignored, patterns that do not compile are skipped, and a list without
-    any pattern is a configuration error. A NULL path is not allowed.
+    Blank patterns are ignored, patterns that the JVM, which runs them, cannot compile are skipped,
+    and a list without any pattern is a configuration error. A NULL path is not allowed.
     """
     given = [p for p in patterns if p and p.strip()]
     if not given:
         raise ValueError("no path patterns configured")
     allowed = F.lit(False)
     for pattern in given:
-        try:
-            re.compile(pattern)
-        except re.error:
-            continue
         # U: letters and digits of any script; d: only a line feed ends a line.
-        allowed = allowed | _col(c).rlike(f"(?iUd)^(?:{pattern})")
+        whole = f"(?iUd)^(?:{pattern})"
+        if _compiles(pattern) and _compiles(whole):
+            allowed = allowed | _col(c).rlike(whole)
     return F.coalesce(allowed, F.lit(False))
 
 
+def _compiles(pattern: str) -> bool:
+    context = SparkContext._active_spark_context
+    if context is None:
+        raise RuntimeError("patterns are compiled by Spark: start a session first")
+    try:
+        context._jvm.java.util.regex.Pattern.compile(pattern)
+    except (Py4JJavaError, IllegalArgumentException):
+        return False
+    return True
+
+
 def parse_unc(c: Column | str) -> Column:
     r"""``\\server\share\rest`` as struct(server, share, relative); NULL if not of that form."""
     path = _col(c)

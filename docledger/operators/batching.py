@@ -17,9 +17,9 @@ DEFAULT_BATCH = 5000
 _POSITION_BITS = 33
 
 
-def num_batches(rows: int, size: int) -> int:
-    """Ceiling division."""
-    return -(-rows // size)
+def num_batches(df: DataFrame, size: int) -> DataFrame:
+    """One row, ``batches``: how many batches of ``size`` rows a table makes."""
+    return df.agg(F.ceil(F.count("*") / size).cast("bigint").alias("batches"))
 
 
 def assign_batches(df: DataFrame, size: int = DEFAULT_BATCH,

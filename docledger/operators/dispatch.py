@@ -7,7 +7,9 @@ Reading replies, classifying them and choosing messages and codes happens in Spa
 from __future__ import annotations
 
 import random
+import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import nullcontext
@@ -76,12 +78,14 @@ _CALL = [
 ]
 
 
-def _call(send: Callable, client: Any, row: dict, policy: AttemptPolicy) -> dict:
-    """One row through the transport. Never raises."""
+def _call(send: Callable, client: Any, row: dict, policy: AttemptPolicy,
+          take: Callable[[], None] = lambda: None) -> dict:
+    """One row through the transport, waiting for a token before every attempt. Never raises."""
     started = datetime.now(timezone.utc)
     clock = time.perf_counter()
     for n in range(max(1, policy.attempts)):
         reply, kind, text, code, body, hint = None, None, None, None, None, None
+        take()
         try:
             reply = send(client, row)
             code, body = reply.code, reply.body
@@ -104,19 +108,34 @@ def _call(send: Callable, client: Any, row: dict, policy: AttemptPolicy) -> dict
 
 
 class _Throttle:
-    """At most ``rate`` calls per second in this task; no limit without a rate."""
+    """At most ``rate`` calls per second in this task, whatever its threads; no limit without a rate."""
 
     def __init__(self, rate: float | None, sleep: Callable[[float], None] = time.sleep):
         self.gap = 1.0 / rate if rate else 0.0
         self.sleep = sleep
         self.next = time.monotonic()
+        self.lock = threading.Lock()
 
     def take(self) -> None:
-        if self.gap:
+        if not self.gap:
+            return
+        with self.lock:
             now = time.monotonic()
-            if self.next > now:
-                self.sleep(self.next - now)
-            self.next = max(self.next, now) + self.gap
+            mine = max(self.next, now)
+            self.next = mine + self.gap
+        if mine > now:
+            self.sleep(mine - now)
+
+
+def _window(pool: ThreadPoolExecutor, one: Callable, rows: list[dict], width: int) -> Iterator[dict]:
+    """Results in order, with at most ``width`` rows handed to the pool and not yet taken."""
+    waiting: deque = deque()
+    for row in rows:
+        if len(waiting) >= width:
+            yield waiting.popleft().result()
+        waiting.append(pool.submit(one, row))
+    while waiting:
+        yield waiting.popleft().result()
 
 
 def _parcels(results: Iterator[dict], limit: int = 16 * 1024 * 1024) -> Iterator[list[dict]]:
@@ -143,18 +162,14 @@ def _caller(send: Callable, open_client: Callable | None, policy: AttemptPolicy,
                     return {**row, "code": row["reject_code"], "kind": st.HTTP, "attempts": 0,
                             "body": row["reject_text"], "execution_time_ms": 0,
                             "started_at": now, "finished_at": now}
-                return _call(send, client, row, policy)
-
-            def paced(rows: list[dict]) -> Iterator[dict]:
-                for row in rows:
-                    throttle.take()
-                    yield row
+                return _call(send, client, row, policy, throttle.take)
 
             pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
             try:
                 for batch in batches:
-                    rows = paced(batch.to_pylist())
-                    for done in _parcels(pool.map(one, rows) if pool else map(one, rows)):
+                    rows = batch.to_pylist()
+                    results = _window(pool, one, rows, 2 * concurrency) if pool else map(one, rows)
+                    for done in _parcels(results):
                         yield pa.RecordBatch.from_pylist(done, schema=arrow_schema)
             finally:
                 if pool:
@@ -165,18 +180,21 @@ def _caller(send: Callable, open_client: Callable | None, policy: AttemptPolicy,
 def call_rows(worklist: DataFrame, send: Callable[[Any, dict], Reply], *,
               open_client: Callable | None = None, partitions: int | None = None,
               policy: AttemptPolicy = AttemptPolicy(), rate: float | None = None,
-              concurrency: int = 1) -> DataFrame:
+              concurrency: int = 1, rows_per_task: int = 20_000) -> DataFrame:
     """The worklist with what the transport returned. Lazy: each evaluation calls again.
 
-    Rows are dealt out evenly, whatever their keys. ``reject_code`` marks rows answered
-    without a call. ``rate`` limits the whole job; every task gets its share.
+    Rows are dealt out evenly, whatever their keys, ``rows_per_task`` to a task if ``partitions``
+    is not given; that takes a count of the worklist. ``reject_code`` marks rows answered without a
+    call. ``rate`` limits attempts, repeated ones too, over the whole job: tasks that can run at
+    the same time share it.
     """
     if "reject_code" not in worklist.columns:
         worklist = worklist.withColumns({"reject_code": F.lit(None).cast("int"),
                                          "reject_text": F.lit(None).cast("string")})
-    tasks = partitions or worklist.sparkSession.sparkContext.defaultParallelism
+    slots = worklist.sparkSession.sparkContext.defaultParallelism
+    tasks = partitions or max(slots, -(-worklist.count() // rows_per_task))
     schema = StructType(worklist.schema.fields + _CALL)
-    run = _caller(send, open_client, policy, rate / tasks if rate else None, concurrency,
+    run = _caller(send, open_client, policy, rate / min(tasks, slots) if rate else None, concurrency,
                   to_arrow_schema(schema))
     return worklist.repartition(tasks).mapInArrow(run, schema)
 

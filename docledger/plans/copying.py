@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docledger.functions.paths import base_name, parse_unc, target_key, unc_error
+from docledger.functions.paths import base_name, parse_unc, path_allowed, target_key, unc_error
 from docledger.functions.status import OTHER
 from docledger.operators.dispatch import AttemptPolicy, dispatch
 from docledger.sources.files import FileCopy, overwrite_guard
@@ -14,11 +15,14 @@ from docledger.sources.staging import stage
 
 
 def source_file(path: Column | str) -> Column:
-    r"""Place of ``\\server\share\rest`` in a tree of mounted shares: ``server/share/rest``."""
+    r"""Place of ``\\server\share\rest`` in a tree of mounted shares: ``server/share/rest``.
+
+    Path modes that join with two separators name the same file as those that join with one.
+    """
     parts = parse_unc(path)
     slash = F.lit("/")
     return F.concat(parts["server"], slash, parts["share"], slash,
-                    F.translate(parts["relative"], "\\", "/"))
+                    F.ltrim(F.regexp_replace(parts["relative"], r"\\+", "/"), slash))
 
 
 def locate(worklist: DataFrame, prefix: str, template: str = "prefix/ar/file") -> DataFrame:
@@ -32,23 +36,38 @@ def locate(worklist: DataFrame, prefix: str, template: str = "prefix/ar/file") -
     })
 
 
+def _refused(located: DataFrame, where: Column, code: int, text: str) -> DataFrame:
+    """Give rows that nothing has refused yet this code and text."""
+    refused = F.col("reject_code").isNull() & where
+    return located.withColumns({
+        "reject_code": F.when(refused, F.lit(code)).otherwise(F.col("reject_code")),
+        "reject_text": F.when(refused, F.lit(text)).otherwise(F.col("reject_text")),
+    })
+
+
 def copy_files(worklist: DataFrame, source_root: str, target_root: str, *, stage_path: str,
                correlation_id: str, prefix: str = "documents", template: str = "prefix/ar/file",
                overwrite: bool = True, policy: AttemptPolicy | None = None,
-               **calling: Any) -> DataFrame:
+               allowed: Sequence[str] | None = None, **calling: Any) -> DataFrame:
     """Copy every file of the worklist and return the staged outcomes.
 
-    Without ``overwrite``, targets found before the run starts are refused. That look-up is
-    staged first: a task that runs again must not take its own earlier copy for a foreign one.
+    Without ``overwrite``, targets found before the run starts are refused, and of several rows
+    with one target all but one. The look-up is staged first: a task that runs again must not
+    take its own earlier copy for a foreign one. ``allowed`` lists patterns of paths that may be
+    copied; others are refused with 403.
     """
     located = locate(worklist, prefix, template)
+    if allowed is not None:
+        located = _refused(located, ~path_allowed("full_path", allowed), 403, "Path not allowed")
     if not overwrite:
-        guarded = stage(overwrite_guard(located, target_root), f"{stage_path}-guard")
-        blocked = F.col("reject_code").isNull() & F.col("blocked_code").isNotNull()
-        located = guarded.withColumns({
-            "reject_code": F.when(blocked, F.col("blocked_code")).otherwise(F.col("reject_code")),
-            "reject_text": F.when(blocked, F.lit("Target exists")).otherwise(F.col("reject_text")),
-        }).drop("blocked_code")
+        guarded = overwrite_guard(located, target_root).withColumn("_row", F.monotonically_increasing_id())
+        guarded = stage(guarded, f"{stage_path}-guard")
+        open_targets = guarded.where("reject_code IS NULL AND blocked_code IS NULL")
+        first = open_targets.groupBy("target_key").agg(F.min("_row").alias("_first"))
+        located = _refused(
+            guarded.join(first, "target_key", "left"),
+            F.col("blocked_code").isNotNull() | (F.col("_row") != F.col("_first")), 500, "Target exists",
+        ).select(*located.columns)
     transport = FileCopy(source_root, target_root)
     return dispatch(located, transport, stage_path=stage_path, correlation_id=correlation_id,
                     errors="storage", open_client=transport.open_client,

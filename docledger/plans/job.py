@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -58,11 +59,15 @@ def transfer_job(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers, dis
     """Copy what is due and record it; returns total, successes and failures.
 
     A failed run may be repeated with the same ``run_id`` and ``work_dir``: finished batches are
-    recognised by their staged outcomes, and committing them again changes nothing.
+    recognised by their staged outcomes, and committing them again changes nothing. Another run
+    may use the same ``work_dir``; each has a folder of its own there.
     """
     options = options or JobOptions()
-    work = options.work_dir or fresh_dir(spark, f"run-{options.run_id}")
-    batches = max(1, min(options.batches, ledgers.failure.buckets))
+    work = run_folder(options.work_dir or fresh_dir(spark, "runs"), options.run_id)
+    batches = options.batches
+    if not 1 <= batches <= ledgers.failure.buckets:
+        raise ValueError(f"{batches} batches asked, but batches are cut by bucket and the ledgers "
+                         f"have {ledgers.failure.buckets}")
     totals = {"total": 0, "successes": 0, "failures": 0}
     if options.database:
         ensure_tables(spark, database=options.database)
@@ -84,6 +89,11 @@ def transfer_job(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers, dis
     return totals
 
 
+def run_folder(work_dir: str, run_id: str) -> str:
+    """Where a run keeps its staged results: no other run id leads there."""
+    return f"{work_dir.rstrip('/')}/run={quote(run_id, safe='')}"
+
+
 def _stage_batches(due: DataFrame, ledgers: Ledgers, batches: int, path: str) -> DataFrame:
     """The worklist written once, a folder per batch, so that each batch reads only its own."""
     spark = due.sparkSession

@@ -91,14 +91,15 @@ def failure_append(failure: DataFrame, failed: DataFrame) -> DataFrame:
     return failure.unionByName(failed.select(*failure.columns))
 
 
-def mark_reprocessed(failure: DataFrame, succeeded: DataFrame, guarded: bool = True) -> DataFrame:
+def mark_reprocessed(failure: DataFrame, succeeded: DataFrame, guarded: bool = True,
+                     dated: bool | None = None) -> DataFrame:
     """Set the flag of failures that have now succeeded; update-only.
 
-    Guarded, only rows with flag 0 change, and their updated date with them; unguarded, every
-    match gets the flag and keeps its dates.
+    Guarded, only rows with flag 0 change, unguarded every match. ``dated`` says whether the updated
+    date changes with the flag; by default it does where the mark is guarded.
     """
     changed = {"reprocess_success": F.lit(1)}
-    if guarded:
+    if guarded if dated is None else dated:
         changed["date_updated"] = src("date_updated")
     return merge(failure, succeeded, KEYS, matched_set=changed,
                  extra_on=tgt("reprocess_success") == 0 if guarded else None)

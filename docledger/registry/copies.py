@@ -118,3 +118,36 @@ def overwrite_guard(spark, sf_dir):
     again = copy_files(rows, root, target, stage_path=fresh_dir(spark, "outcomes"),
                        correlation_id="run-6", overwrite=False)
     return again.select("document_id", "ok", "error_code", "error_message")
+
+
+@query("overwrite_guard_same_run", f"""{_NAMED} SELECT ar_number, count(*) AS files,
+  CAST(1 AS BIGINT) AS copied, count(*) - 1 AS refused FROM named GROUP BY ar_number""")
+def overwrite_guard_same_run(spark, sf_dir):
+    """All files of a source have the same target: one is copied, the others are refused."""
+    rows, root = shared_files(spark, sf_dir)
+    again = copy_files(rows.withColumn("document_id", F.lit("DOC")), root, fresh_dir(spark, "copied"),
+                       stage_path=fresh_dir(spark, "outcomes"), correlation_id="run-7", overwrite=False,
+                       template="prefix/ar")
+    return again.groupBy("ar_number").agg(
+        F.count("*").alias("files"), F.count_if("ok").alias("copied"),
+        F.count_if((F.col("error_code") == 500) & (F.col("error_message") == "Target exists")).alias("refused"))
+
+
+@query("copy_files_path_modes", f"""{_NAMED} SELECT document_id, TRUE AS ok, bytes, sha256 FROM named""")
+def copy_files_path_modes(spark, sf_dir):
+    """Paths joined with two separators are the same files."""
+    rows, root = shared_files(spark, sf_dir)
+    doubled = F.concat(F.lit("\\\\"), F.regexp_replace(F.substring("full_path", 3, 10_000), r"\\(?=[^\\]*$)", r"\\\\"))
+    outcomes = copy_files(rows.withColumn("full_path", doubled), root, fresh_dir(spark, "copied"),
+                          stage_path=fresh_dir(spark, "outcomes"), correlation_id="run-5")
+    return outcomes.select("document_id", "ok", "bytes", "sha256")
+
+
+@query("copy_files_allowed", f"""{_NAMED} SELECT document_id, doc_id % 3 = 1 AS ok,
+  CAST(CASE WHEN doc_id % 3 <> 1 THEN 403 END AS INTEGER) AS error_code FROM named""")
+def copy_files_allowed(spark, sf_dir):
+    """Only paths on the list; a pattern that only Python accepts is skipped."""
+    rows, root = shared_files(spark, sf_dir)
+    outcomes = copy_files(rows, root, fresh_dir(spark, "copied"), stage_path=fresh_dir(spark, "outcomes"),
+                          correlation_id="run-5", allowed=[r"\\\\SRV1\\", "(?P<name>x"])
+    return outcomes.select("document_id", "ok", "error_code")

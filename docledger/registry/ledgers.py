@@ -88,6 +88,15 @@ def failure_upsert_source(spark, sf_dir):
     return plans.failure_upsert_source(derived(spark, sf_dir, "failure"), carried)
 
 
+@query("failure_upsert_source_plain", _updated(FAILURE, "failure", _SOURCE, {
+    c: (_HIT, f"s.{c}") for c in ("retry_count", "full_path", "reprocess_success")})
+    + f" UNION ALL SELECT {_columns(FAILURE)} FROM {_SOURCE} s WHERE {_absent('s', 'failure')}")
+def failure_upsert_source_plain(spark, sf_dir):
+    """Without the error and the updated date."""
+    carried = derived(spark, sf_dir, "bad").withColumn("retry_count", F.lit(3))
+    return plans.failure_upsert_source(derived(spark, sf_dir, "failure"), carried, with_error=False)
+
+
 @query("failure_upsert_all", _updated(FAILURE, "failure", "bad", {
     c: (_HIT, f"s.{c}") for c in FAILURE.fieldNames() if c not in KEYS})
     + f" UNION ALL {_NEW_FAILURE}")
@@ -117,6 +126,13 @@ def mark_reprocessed_unguarded(spark, sf_dir):
                                   guarded=False)
 
 
+@query("mark_reprocessed_unguarded_dated", _updated(FAILURE, "failure", "good", {
+    "reprocess_success": (_HIT, "1"), "date_updated": (_HIT, "s.date_updated")}))
+def mark_reprocessed_unguarded_dated(spark, sf_dir):
+    return plans.mark_reprocessed(derived(spark, sf_dir, "failure"), derived(spark, sf_dir, "good"),
+                                  guarded=False, dated=True)
+
+
 @query("reprocessed_rows", f"""SELECT auth_request_id, document_id, correlation_id AS
   latest_correlation_id, CAST(2 AS INTEGER) AS retry_count, full_path,
   CAST(1 AS INTEGER) AS reprocess_success, CAST(NULL AS VARCHAR) AS latest_error_message,

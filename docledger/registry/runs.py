@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docledger.functions.timing import instant, iso_text
 from docledger.operators.dispatch import AttemptPolicy, Reply, dispatch
-from docledger.operators.worklist import worklist
+from docledger.operators.worklist import RetryPolicy, worklist
 from docledger.plans.job import JobOptions, sending, tagged_ledgers, transfer_job
 from docledger.registry.inputs import CREATED, RUN_AT, derived, query
 from docledger.registry.ledgers import applied_sql
@@ -19,6 +19,7 @@ from docledger.sources.ledger import Ledgers, write_version
 from docledger.streaming.microbatch import per_batch_apply, transfer_stream
 
 NO_WAIT = AttemptPolicy(sleep=lambda seconds: None)
+NO_RETRY = RetryPolicy(limit=-1)
 
 
 def answer(client, row):
@@ -92,9 +93,22 @@ def transfer_job_batches(spark, sf_dir):
     return tagged_ledgers(spark, ledgers)
 
 
+@query("transfer_job_two_runs", applied_sql(_DUE))
+def transfer_job_two_runs(spark, sf_dir):
+    """Two runs that share a work folder: the first over half of the manifest, its calls not repeated."""
+    ledgers, work = filled_ledgers(spark, sf_dir), fresh_dir(spark, "shared-work")
+    manifest = derived(spark, sf_dir, "manifest")
+    empty = Ledgers.at(fresh_dir(spark, "ledgers"), 4)
+    transfer_job(spark, manifest.where("length(document_id) % 2 = 0"), empty, sending(answer, policy=NO_WAIT),
+                 JobOptions(run_id="run-8", at=instant(RUN_AT), work_dir=work))
+    transfer_job(spark, manifest, ledgers, sending(answer, policy=NO_WAIT),
+                 JobOptions(run_id="run-9", at=instant(RUN_AT), work_dir=work))
+    return tagged_ledgers(spark, ledgers)
+
+
 def _without_run_number(df):
     """Micro-batches number the run id; which one a row fell into is not part of the result."""
-    return df.withColumns({c: F.regexp_replace(c, "^run-9-[0-9]+$", "run-9")
+    return df.withColumns({c: F.regexp_replace(c, "^run-9-([0-9]+|retry)$", "run-9")
                            for c in ("correlation_id", "latest_correlation_id")})
 
 
@@ -110,6 +124,25 @@ def transfer_stream_query(spark, sf_dir):
     return _without_run_number(tagged_ledgers(spark, ledgers))
 
 
+@query("transfer_stream_retries", applied_sql(_DUE))
+def transfer_stream_retries(spark, sf_dir):
+    """A run without any new file retries what is due; the run before it takes the new documents."""
+    ledgers = filled_ledgers(spark, sf_dir)
+    work = fresh_dir(spark, "stream")
+    derived(spark, sf_dir, "manifest").write.parquet(f"{work}/manifest")
+    new = Ledgers.at(fresh_dir(spark, "ledgers"), 4)
+    for name in ("success", "failure", "details"):
+        write_version(spark, getattr(new, name), derived(spark, sf_dir, name).limit(0))
+    send = sending(answer, policy=NO_WAIT)
+    transfer_stream(spark, f"{work}/manifest", new, send, run_id="run-9-0", work_dir=work,
+                    at=instant(RUN_AT)).awaitTermination()
+    transfer_stream(spark, f"{work}/manifest", ledgers, send, run_id="run-9", work_dir=work,
+                    at=instant(RUN_AT)).awaitTermination()
+    transfer_job(spark, derived(spark, sf_dir, "manifest"), ledgers, send,
+                 JobOptions(run_id="run-9", at=instant(RUN_AT), work_dir=work, policy=NO_RETRY))
+    return _without_run_number(tagged_ledgers(spark, ledgers))
+
+
 @query("per_batch_apply", "SELECT * FROM manifest")
 def per_batch_apply_query(spark, sf_dir):
     """A folder of files taken two at a time, each batch finished before the next."""
@@ -147,17 +180,21 @@ def ledger_round_trip(spark, sf_dir):
 
 @query("csv_manifest", "SELECT full_path, auth_request_id, document_id AS annotation_id FROM located")
 def csv_manifest(spark, sf_dir):
+    """Columns in another order, and one that is not asked for."""
     path = fresh_dir(spark, "csv")
     rows = derived(spark, sf_dir, "located").select(
-        "full_path", "auth_request_id", F.col("document_id").alias("annotation_id"))
+        F.col("document_id").alias("annotation_id"), "ar_number", "auth_request_id", "full_path")
     rows.write.csv(path, header=True, escape='"')
     return tables.read_manifest_csv(spark, path)
 
 
-@query("csv_audit", """SELECT file_name, full_path, auth_request_id, document_id AS annotation_id,
-  '2024-02-01T00:00:00' AS uploaded_at FROM located""")
+@query("csv_audit", """SELECT ' '||file_name||chr(10)||'"x" ' AS file_name, full_path, auth_request_id,
+  document_id AS annotation_id, '2024-02-01T00:00:00' AS uploaded_at FROM located""")
 def csv_audit(spark, sf_dir):
-    rows = derived(spark, sf_dir, "located").withColumn("annotation_id", F.col("document_id"))
+    """Names with blanks at both ends, a line feed and quotes."""
+    rows = derived(spark, sf_dir, "located").withColumns({
+        "annotation_id": F.col("document_id"),
+        "file_name": F.concat(F.lit(" "), "file_name", F.lit('\n"x" '))})
     return tables.write_audit_csv(tables.audit_rows(rows, iso_text(instant(RUN_AT))),
                                   fresh_dir(spark, "audit-csv"), instant(RUN_AT))
 

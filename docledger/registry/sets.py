@@ -209,9 +209,7 @@ def assign_batches(spark, sf_dir):
 
 @query("num_batches", "SELECT CAST(CEIL(COUNT(*) / 1000.0) AS BIGINT) AS batches FROM manifest")
 def num_batches(spark, sf_dir):
-    rows = summary.count_rows(derived(spark, sf_dir, "manifest"))
-    return spark.range(1).select(F.lit(batching.num_batches(rows, 1000)).cast("bigint")
-                                 .alias("batches"))
+    return batching.num_batches(derived(spark, sf_dir, "manifest"), 1000)
 
 
 @query("batch_progress", f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from docledger.functions.timing import stamped_name
 from docledger.schemas import CROSS_REFERENCE, CSV_AUDIT, CSV_MANIFEST
@@ -23,12 +23,30 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
-def read_manifest_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV manifest with a header line, one file or a folder of them."""
-    return spark.read.csv(path, header=True, schema=CSV_MANIFEST, escape='"')
+# Text stays as it is: blanks at either end, quotes, and line feeds where ``multiline`` is set.
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def write_audit_csv(df: DataFrame, folder: str, ts: Column) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, wanted: StructType, multiline: bool) -> DataFrame:
+    names = spark.read.csv(path, multiLine=multiline, **_CSV).columns
+    if missing := [name for name in wanted.fieldNames() if name not in names]:
+        raise ValueError(f"the header of {path} lacks {missing}")
+    found = StructType([StructField(name, StringType()) for name in names])
+    # enforceSchema off: every file's own header is compared with the first one.
+    rows = spark.read.csv(path, schema=found, enforceSchema=False, multiLine=multiline, **_CSV)
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted.fields])
+
+
+def read_manifest_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """CSV manifest with a header line, one file or a folder of them with the same header.
+
+    Columns are found by their names, in any order and among others. ``multiline`` allows line
+    feeds inside quoted values; such a file is read by one task. Without it files are split.
+    """
+    return _read_csv(spark, path, CSV_MANIFEST, multiline)
+
+
+def write_audit_csv(df: DataFrame, folder: str, ts: Column, multiline: bool = True) -> DataFrame:
     """Write the audit rows as CSV with header under a run-stamped folder; returns them re-read.
 
     The stamp is computed by Spark from ``ts`` so that it agrees with the column expressions.
@@ -36,8 +54,8 @@ def write_audit_csv(df: DataFrame, folder: str, ts: Column) -> DataFrame:
     spark = df.sparkSession
     name = spark.range(1).select(stamped_name(ts).alias("name")).first()["name"]
     target = f"{folder.rstrip('/')}/{name}.csv"
-    df.select(*CSV_AUDIT.fieldNames()).write.csv(target, header=True, escape='"')
-    return spark.read.csv(target, header=True, schema=CSV_AUDIT, escape='"')
+    df.select(*CSV_AUDIT.fieldNames()).write.csv(target, **_CSV)
+    return _read_csv(spark, target, CSV_AUDIT, multiline)
 
 
 def from_records(spark: SparkSession, rows: Sequence, schema: StructType) -> DataFrame:

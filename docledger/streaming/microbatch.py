@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from docledger.operators.worklist import TARGET_COUNTED, RetryPolicy, worklist
-from docledger.plans.job import Dispatcher
+from docledger.plans.job import Dispatcher, run_folder
 from docledger.plans.ledgers import commit_outcomes, is_small
 from docledger.schemas import KEYS, MANIFEST
 from docledger.sources.ledger import Ledgers, read_ledger
@@ -37,20 +37,34 @@ def transfer_stream(spark: SparkSession, manifest_folder: str, ledgers: Ledgers,
                     every: str | None = None) -> StreamingQuery:
     """The transfer job per micro-batch, with the ledgers as its only state.
 
-    Every micro-batch takes its own new documents. Failures of earlier runs are due once per
-    run: the first micro-batch takes them, and after it they carry this run's id. A micro-batch
-    that is replayed finds its staged outcomes and calls nothing again. A micro-batch that is
-    small, as most are, is looked up in the ledgers without shuffling them.
+    Failures that earlier runs left are due once per run, whether or not a file is new: they are
+    retried before the first micro-batch (``retry_due``). Micro-batches take their own new
+    documents. A micro-batch that is replayed finds its staged outcomes and calls nothing again,
+    and so does a restart under the same run id. A micro-batch that is small, as most are, is
+    looked up in the ledgers without shuffling them. For a query that never ends, call
+    ``retry_due`` under further run ids from time to time.
     """
+    folder = f"{run_folder(work_dir, run_id)}/outcomes"
+    retry_due(spark, ledgers, dispatcher, run_id=run_id, work_dir=work_dir, at=at, policy=policy,
+              path_mode=path_mode)
+
     def one(rows: DataFrame, batch_id: int) -> None:
         session = rows.sparkSession
-        correlation = f"{run_id}-{batch_id}"
-        of_this_run = F.coalesce(F.col("latest_correlation_id").startswith(f"{run_id}-"), F.lit(False))
         due = worklist(rows, read_ledger(session, ledgers.success),
                        read_ledger(session, ledgers.failure), policy=policy, path_mode=path_mode,
-                       small_docs=is_small(rows.select(*KEYS)), retry_only_if=~of_this_run)
-        outcomes = dispatcher(due, f"{work_dir}/outcomes/batch={batch_id}", correlation)
+                       small_docs=is_small(rows.select(*KEYS)), retry_only_if=F.lit(False))
+        outcomes = dispatcher(due, f"{folder}/batch={batch_id}", f"{run_id}-{batch_id}")
         commit_outcomes(session, ledgers, outcomes, at)
 
     return per_batch_apply(spark, manifest_folder, MANIFEST, one, f"{work_dir}/checkpoint",
                            files_per_batch=files_per_batch, every=every)
+
+
+def retry_due(spark: SparkSession, ledgers: Ledgers, dispatcher: Dispatcher, *, run_id: str,
+              work_dir: str, at: Column | None = None, policy: RetryPolicy = TARGET_COUNTED,
+              path_mode: str = "single") -> dict[str, int]:
+    """Retry every failure that is due, without any manifest; returns the counters."""
+    due = worklist(spark.createDataFrame([], MANIFEST), read_ledger(spark, ledgers.success),
+                   read_ledger(spark, ledgers.failure), policy=policy, path_mode=path_mode)
+    outcomes = dispatcher(due, f"{run_folder(work_dir, run_id)}/outcomes/retry", f"{run_id}-retry")
+    return commit_outcomes(spark, ledgers, outcomes, at)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docledger.operators.dispatch import (
+    _call,
     AttemptPolicy, Reply, ServiceError, _parcels, _Throttle, call_rows, dispatch, read_calls,
     split_outcomes,
 )
@@ -194,3 +195,62 @@ def test_large_replies_are_handed_on_in_parcels():
     results = [{"body": "x" * n} for n in (3, 3, 10, 1, 0)] + [{"body": None}]
     assert [len(p) for p in _parcels(iter(results), 6)] == [2, 1, 3]
     assert list(_parcels(iter([]), 6)) == []
+
+
+# --- limits ---------------------------------------------------------------------------------
+
+def test_rate_is_shared_by_tasks_that_run(spark):
+    """More tasks than slots: the limit is neither exceeded nor divided by waiting tasks."""
+    import time as clock
+
+    rows = spark.createDataFrame([(str(i), "d", "AR", "p", 0, 0) for i in range(40)],
+                                 "auth_request_id string, document_id string, ar_number string, "
+                                 "full_path string, retry_count int, reprocess_success int")
+    calls = call_rows(rows, lambda client, row: Reply(200, str(clock.time())), partitions=20, rate=20.0)
+    at = sorted(float(r.body) for r in calls.select("body").collect())
+    assert 1.0 <= at[-1] - at[0] <= 5.0
+
+
+def test_every_attempt_takes_a_token():
+    taken = []
+    policy = AttemptPolicy(attempts=3, sleep=lambda seconds: None)
+
+    def failing(client, row):
+        raise ServiceError(503)
+
+    done = _call(failing, None, {}, policy, lambda: taken.append(1))
+    assert done["attempts"] == len(taken) == 3
+
+
+def test_calls_are_not_read_ahead():
+    from concurrent.futures import ThreadPoolExecutor
+
+    from docledger.operators.dispatch import _window
+
+    started = []
+    with ThreadPoolExecutor(2) as pool:
+        results = _window(pool, lambda row: started.append(row) or row, list(range(1000)), 4)
+        assert next(results) == 0
+        assert len(started) <= 5
+        assert list(results) == list(range(1, 1000))
+
+
+def test_threads_share_the_limit():
+    import threading
+    import time as clock
+
+    from docledger.operators.dispatch import _Throttle
+
+    throttle, at = _Throttle(100.0), []
+
+    def work():
+        for _ in range(5):
+            throttle.take()
+            at.append(clock.monotonic())
+
+    threads = [threading.Thread(target=work) for _ in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert max(at) - min(at) >= 0.17

@@ -142,8 +142,9 @@ def test_assign_batches_of_nothing(spark):
         batching.assign_batches(manifest(spark), 0)
 
 
-def test_num_batches():
-    assert [batching.num_batches(n, 5) for n in (0, 1, 5, 6, 10, 11)] == [0, 1, 1, 2, 2, 3]
+def test_num_batches(spark):
+    assert [batching.num_batches(spark.range(n), 5).first()["batches"]
+            for n in (0, 1, 5, 6, 10, 11)] == [0, 1, 1, 2, 2, 3]
 
 
 def test_running_totals_over_blocks(spark, monkeypatch):
