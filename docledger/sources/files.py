@@ -1,7 +1,7 @@
 """File content: bytes, digests, and the chunked, verified copy of one file.
 
-Paths are URIs or mounted paths; tasks open them through ``pyarrow.fs``, so local, HDFS and
-object-store roots work alike.
+Paths are URIs or mounted paths; tasks open them through ``pyarrow.fs``. Only local roots are
+tested; whether a rename replaces an existing target differs between file systems.
 """
 
 from __future__ import annotations
