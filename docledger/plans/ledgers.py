@@ -242,8 +242,8 @@ def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,
                     at: Column | None = None) -> dict[str, int]:
     """Write the next version of each ledger from staged outcomes; returns the run's counters.
 
-    Success and details get only their new rows. Of the failure ledger, the buckets the batch
-    falls into are read and rewritten. Sides without rows are skipped. Success is written first,
+    Success and details get only their new rows. Of the failure ledger, the buckets that hold a new
+    failure or one that has now succeeded are rewritten. Sides without rows are skipped. Success is written first,
     so a run that dies in between never retries what it has copied; committing again adds only
     what is missing.
     """
@@ -258,8 +258,10 @@ def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,
         known = read_ledger(spark, ledgers.success, buckets)
         write_version(spark, ledgers.success,
                       rows_to_insert(known, succeeded, KEYS, small_source=small))
-    failure = read_ledger(spark, ledgers.failure, buckets)
-    if counts["failures"] or not failure.isEmpty():
+    changed = _changed_buckets(read_ledger(spark, ledgers.failure, buckets), succeeded, failed,
+                               ledgers.failure, small)
+    if changed:
+        failure = read_ledger(spark, ledgers.failure, changed)
         write_version(spark, ledgers.failure,
                       merge_failures(failure, succeeded, failed, small_source=small))
     if counts["failures"]:
@@ -269,6 +271,15 @@ def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,
     return counts
 
 
+def _changed_buckets(failure: DataFrame, succeeded: DataFrame, failed: DataFrame, ledger: Ledger,
+                     small: bool) -> list[int]:
+    """Buckets of new failures and of known ones that succeeded; at most ``ledger.buckets`` numbers."""
+    keys = succeeded.select(*KEYS)
+    settled = failure.join(F.broadcast(keys) if small else keys, list(KEYS), "left_semi")
+    found = failed.select(*KEYS).union(settled.select(*KEYS)).select(ledger.bucket_of().alias("bucket"))
+    return [row["bucket"] for row in found.distinct().collect()]
+
+
 def read_state(spark: SparkSession, ledgers: Ledgers) -> LedgerState:
     return LedgerState(read_ledger(spark, ledgers.success), read_ledger(spark, ledgers.failure),
                        read_ledger(spark, ledgers.details))

@@ -13,6 +13,7 @@ and rewrites only the buckets its keys fall into.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from docledger.schemas import ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
-from docledger.sources.staging import children, file_system
+from docledger.sources.staging import children, file_system, is_complete
 
 _VERSION = re.compile(r"^v=(\d+)$")
 _BUCKET = StructField("bucket", IntegerType())
@@ -112,14 +113,25 @@ def write_version(spark: SparkSession, ledger: Ledger, rows: DataFrame) -> int:
 
     For an updatable ledger the rows must be all rows of every bucket they fall into. The
     rebalance hint gathers a bucket into few files and lets a large bucket keep several tasks.
+    Rows are written aside and become a version by a rename, so two writers never mix: the
+    second to finish the same version gets an error.
     """
     done = versions(spark, ledger)
     version = done[0] + 1 if done else 0
+    target = f"{ledger.path}/v={version}/of={ledger.buckets}"
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in ledger.schema.fields]
     laid_out = (rows.select(*columns, ledger.bucket_of().alias("bucket"))
                 .hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket"))
     writer = laid_out.write.mode("overwrite")
     if ledger.updatable:
         writer = writer.partitionBy("bucket")
-    writer.parquet(f"{ledger.path}/v={version}/of={ledger.buckets}")
+    written = f"{ledger.path}/writing-{uuid.uuid4().hex}"
+    writer.parquet(written)
+    fs, place = file_system(spark, target)
+    if is_complete(spark, target):
+        raise RuntimeError(f"another writer has finished {target}; {written} was not made a version")
+    fs.delete(place, True)
+    fs.mkdirs(place.getParent())
+    if not fs.rename(file_system(spark, written)[1], place):
+        raise RuntimeError(f"{written} could not become {target}")
     return version

@@ -126,3 +126,28 @@ def test_large_commit_does_not_broadcast(spark, ledgers, monkeypatch):
     state = read_state(spark, ledgers)
     assert rows(state.failure, "document_id", "retry_count") == [("x", 1)]
     assert rows(state.success, "document_id") == [("y",)]
+
+
+def test_a_second_writer_of_the_same_version_fails(spark, tmp_path, monkeypatch):
+    """Both saw the same newest version; the rows of the first to finish stay."""
+    import docledger.sources.ledger as module
+
+    ledgers = Ledgers.at(str(tmp_path / "two"), 2)
+    write_version(spark, ledgers.success, success(spark, ("a", "x")))
+    monkeypatch.setattr(module, "versions", lambda spark, ledger: [])
+    with pytest.raises(RuntimeError, match="another writer"):
+        write_version(spark, ledgers.success, success(spark, ("a", "y")))
+    assert [r.document_id for r in read_ledger(spark, ledgers.success).collect()] == ["x"]
+
+
+def test_only_changed_buckets_of_the_failure_ledger_are_rewritten(spark, tmp_path):
+    ledgers = Ledgers.at(str(tmp_path / "few"), 8)
+    write_version(spark, ledgers.failure, failure(spark, *[("a", f"k{i}", 0, 0) for i in range(30)]))
+    before = versions(spark, ledgers.failure)
+    commit_outcomes(spark, ledgers, outcomes(spark, *[("a", f"new{i}", 200) for i in range(30)]))
+    assert versions(spark, ledgers.failure) == before
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "k3", 200), run="run-2"))
+    rows = {r.document_id: r.reprocess_success for r in read_ledger(spark, ledgers.failure).collect()}
+    assert rows == {f"k{i}": int(i == 3) for i in range(30)}
+    folder = tmp_path / "few" / "failure" / f"v={versions(spark, ledgers.failure)[0]}"
+    assert len(list(folder.glob("of=8/bucket=*"))) == 1
