@@ -109,7 +109,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < size:
-        size = max(size, BLOCK + 4096)
+        size = max(size, 2 * len(_powers))
         out = []
         for base in (MULTIPLIER, INVERSE):
             steps = np.full(size, base, np.uint64)
