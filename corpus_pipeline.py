@@ -17,8 +17,9 @@ from docledger.llm.jaccard import keep_one
 from docledger.llm.packing import pack
 from docledger.llm.pii import with_pseudonyms
 from docledger.llm.quality import drop_low_quality
-from docledger.llm.queries import PII_KEY
+from docledger.llm.queries import PII_KEY, model_path
 from docledger.llm.text import table
+from docledger.llm.tokens import TokensAndEnd
 from docledger.llm.toxicity import drop_toxic, train
 
 
@@ -48,8 +49,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each piece of each document: its bin and its place there."""
-    return pack(docs)
+    """A row for each piece of each document, by exact tokens: its bin and its place there."""
+    return pack(docs, count=TokensAndEnd(docs, model_path()))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -34,7 +34,7 @@ def cost(length: int) -> float:
 
 
 def words_and_end(raw: bytes) -> int:
-    """The default token count: words, and one end."""
+    """A count without any model: words, and one end."""
     return len(raw.split()) + 1
 
 

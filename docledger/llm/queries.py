@@ -15,7 +15,7 @@ from docledger.llm.pii import replace_pii
 from docledger.llm.quality import quality
 from docledger.llm.secret_scan import scan
 from docledger.llm.text import table
-from docledger.llm.tokens import count_tokens
+from docledger.llm.tokens import TokensAndEnd, count_tokens
 from docledger.llm.toxicity import score, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,7 +86,8 @@ def op4_quality_rules(spark, sf_dir):
 
 @query
 def op5_best_fit_packing(spark, sf_dir):
-    return pack(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, count=TokensAndEnd(docs, model_path()))
 
 
 @query

@@ -66,6 +66,25 @@ class Counter:
         return total + tokens - taken, chunks, widened
 
 
+class TokensAndEnd:
+    """Exact tokens of one text, and one end; the counter is built once by each task that uses it.
+
+    Chunks are long, as a text that is spliced costs about twice as much for each character.
+    """
+
+    def __init__(self, docs: DataFrame, model_path: str, chunk_chars: int = 262_144):
+        with open(model_path, "rb") as file:
+            self.model = docs.sparkSession.sparkContext.broadcast(file.read())
+        self.chunk_chars, self.counter = chunk_chars, None
+
+    def __call__(self, raw: bytes) -> int:
+        if self.counter is None:
+            self.counter = Counter(self.model.value, self.chunk_chars)
+        text = raw.decode()
+        whole = len(text) <= self.counter.chunk
+        return (self.counter.plain([text])[0] if whole else self.counter.spliced(text)[0]) + 1
+
+
 def count_tokens(
     docs: DataFrame, model_path: str, chunk_chars: int = 32_768, overlap_chars: int = 256,
     id_col: str = "doc_id", text_col: str = "text",

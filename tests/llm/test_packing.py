@@ -5,6 +5,7 @@ import llm_helpers as given
 import pytest
 
 from docledger.llm.packing import LENGTHS, Packer, bins, cost, pack
+from docledger.llm.queries import QUERIES, model_path
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -83,3 +84,24 @@ def test_tables(spark):
         assert at == used <= length
     assert {r.bin_id: len(r.pieces) for r in bins(packed).collect()} == {b: len(m) for b, m in inside.items()}
     assert pack(docs.limit(0)).count() == 0
+
+
+def test_query_packs_exact_tokens(spark, tmp_path):
+    """Texts without blanks too: their pieces cover all tokens of the model and the end, none is too long."""
+    import sentencepiece
+
+    rows = given.small(40) + [(7000, None), (7001, ""), (7002, "日本語の文章です。" * 3000), (7003, "q8Zx/" * 20_000)]
+    given.documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    encoder = sentencepiece.SentencePieceProcessor(model_file=model_path())
+    of = defaultdict(list)
+    for r in QUERIES["op5_best_fit_packing"](spark, str(tmp_path)).collect():
+        of[r.doc_id].append((r.piece, r.start, r.n_tokens))
+        assert r.n_tokens <= r.bin_used <= r.bin_length
+    assert set(of) == {i for i, _ in rows}
+    for i, text in rows:
+        at = 0
+        for n, (piece, start, size) in enumerate(sorted(of[i])):
+            assert (piece, start) == (n, at)
+            at += size
+        assert at == len(encoder.encode(text or "")) + 1
+    assert len(of[7002]) > 1 and len(of[7003]) > 1
