@@ -20,6 +20,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -212,6 +213,40 @@ def _email(found: str, feistel: Feistel) -> str | None:
     return "".join(text) + found[cut:]
 
 
+#: Characters of an IBAN by its country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29,
+    "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19,
+    "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24,
+    "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+    "YE": 30}
+
+
+def _shorter(kind: str, found: str) -> Iterator[str]:
+    """Starts of a match that end where it might have ended, the longest first; IBANs of known length only."""
+    if kind not in ("card", "iban"):
+        return
+    length = IBAN_LENGTHS.get(found[:2]) if kind == "iban" else None
+    for end in range(len(found) - 1, 0, -1):
+        if found[end - 1].isalnum() and not found[end].isalnum():
+            size = sum(map(str.isalnum, found[:end]))
+            if size < 13:
+                return
+            if length in (None, size):
+                yield found[:end]
+
+
+def _longer_inside(taken: str, found: str, feistel: Feistel) -> bool:
+    """Whether a card of more digits begins behind a blank in ``taken``: a number went before it."""
+    return any(len(_only_digits(other)) > len(_only_digits(taken)) and _card(other, feistel)
+               for blank in re.finditer(" ", taken)
+               for other in (found[blank.end():], *_shorter("card", found[blank.end():])))
+
+
 _CHANGE = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "phone": _phone,
            "ip": _ip, "date": _date}
 
@@ -222,15 +257,21 @@ def pseudonymise(text: str, feistel: Feistel) -> tuple[str, list[tuple[str, int,
         return text, []
     out, spans, done, at = [], [], 0, 0
     while found := _FIND.search(text, at):
-        kind, at = found.lastgroup, found.end()
-        new = _CHANGE[kind](found[0], feistel)
+        kind, taken = found.lastgroup, found[0]
+        new = _CHANGE[kind](taken, feistel)
+        if new is None:  # it may have taken a number or a word too many
+            for taken in _shorter(kind, found[0]):
+                if (new := _CHANGE[kind](taken, feistel)) is not None:
+                    if kind == "card" and _longer_inside(taken, found[0], feistel):
+                        new = None
+                    break
         if new is None:
             # Another kind may begin inside what this one wrongly took, but not inside its first number.
             at = found.start() + max(1, len(re.match(r"[A-Za-z0-9]*", found[0])[0]))
             continue
         out += [text[done:found.start()], new]
-        done = at
-        spans.append((kind, *found.span()))
+        done = at = found.start() + len(taken)
+        spans.append((kind, found.start(), at))
     return "".join(out) + text[done:], spans
 
 

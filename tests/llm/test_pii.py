@@ -41,6 +41,24 @@ def test_kinds(kind, text):
         assert luhn(re.sub("[^0-9]", "", value)) % 10 == 0
 
 
+@pytest.mark.parametrize("kind, text, after", [
+    ("card", "4111 1111 1111 1111", " 12/25"), ("card", "4111111111111111", " 2 items"),
+    ("card", "4111-1111-1111-1111", "-22"), ("card", "3782 822463 10005", " 999"),
+    ("iban", "ES9121000418450200051332", " EUR"), ("iban", "ES91 2100 0418 4502 0005 1332", " EUR"),
+    ("iban", "AT611904300234573201", " IBAN 2 OF 3"), ("iban", "PL61109010140000071219812874", " X"),
+    ("iban", "ES9121000418450200051332", " 4111 1111")])
+def test_values_before_short_numbers_and_words(kind, text, after):
+    new, spans = change(f"x {text}{after}")
+    assert spans == [(kind, 2, 2 + len(text))]
+    assert new[2:2 + len(text)] == change(text)[0] != text and new.endswith(after)
+
+
+def test_number_before_a_card():
+    first = next(n for n in range(20, 70) if luhn(f"{n}411111111111") % 10 == 0)
+    new, spans = change(f"{first} 4111 1111 1111 1111")
+    assert spans == [("card", 3, 22)] and new == f"{first} " + change("4111 1111 1111 1111")[0]
+
+
 def test_equal_values_in_other_shapes_stay_linked():
     digits = lambda t: re.sub("[^0-9]", "", t)
     assert digits(change("4111 1111 1111 1111")[0]) == digits(change("4111111111111111")[0])
