@@ -10,9 +10,8 @@ for each class add up to one.
 
 Every text is read: counts of all training words are gathered by a shuffle, the most frequent words
 are known to every task, and the counts of all others are joined to the texts that hold them. The
-model is fitted on a bounded start sample and then by every task on its share of the corpus, one in
-``stride`` groups of texts, so that what it learns from grows with the corpus; the parameters of all
-tasks are averaged by a shuffle.
+model is initialised by a bounded start sample and then learns every training text once, each task
+those it reads; the parameters of all tasks are averaged by a shuffle.
 
 Words are 64-bit hashes of lower-cased words; the end of a text is a word of its own.
 """
@@ -41,7 +40,8 @@ BEFORE, WIDTH = 4, 24
 #: Training texts of the start sample, those with the smallest hash of their id.
 START_TEXTS = 2_000
 NOISE, BATCH, RATE = 64, 1_024, 0.15
-STRIDE = 8
+#: Tasks learn from one in so many groups of their texts: all of them.
+STRIDE = 1
 _GROUP = 128
 
 

@@ -1,6 +1,7 @@
 import math
 import zlib
 from collections import Counter
+from functools import partial
 
 import llm_helpers as given
 import numpy as np
@@ -90,3 +91,18 @@ def test_batches_agree(spark):
 def test_empty_table(spark):
     assert lm.lm_scores(given.documents(spark, [(1, "a")]).limit(0)).count() == 0
     assert [r.n_known for r in lm.lm_scores(given.documents(spark, [(None, "a")])).collect()] == [0]
+
+
+def test_all_training_texts_are_learned(spark, monkeypatch):
+    """Words of the later groups of a partition reach the model too, though the start sample lacks them."""
+    monkeypatch.setattr(lm, "start_model", partial(lm.start_model, texts=1))
+    rows = [(i, "one two three four " * 5) for i in range(256)] + [(i, "red green blue " * 5) for i in range(256, 400)]
+    docs = given.documents(spark, rows, 1).coalesce(1).sortWithinPartitions("doc_id").localCheckpoint()
+    words = lm.known_words(lm.word_counts(docs).localCheckpoint())
+    start, _ = lm.start_model(docs, words)
+    learned = lm.fit(docs, words)
+    at = {w: int(words.look_up(*(x.astype(t) for x, t in zip(lm.word_hashes([w.encode()], tails=True)[0].T,
+                                                              (np.uint64, np.int64), strict=True)))[1][0])
+          for w in ("one", "red", "green")}
+    gain = {w: float(np.abs(learned.outputs[i] - start.outputs[i]).max()) for w, i in at.items()}
+    assert gain["red"] > 0.3 * gain["one"] and gain["green"] > 0.3 * gain["one"]
