@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, and the SQL for those it can express."""
+"""The operators as queries over the given tables, and the SQL for those it can express."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docledger.llm.ann import search
 from docledger.llm.jaccard import jaccard_join
 from docledger.llm.lattice import encoding_sums, pieces
+from docledger.llm.licenses import license_scan
 from docledger.llm.lm import lm_scores
 from docledger.llm.packing import pack
 from docledger.llm.pii import replace_pii
@@ -115,3 +116,8 @@ def op9_sentencepiece(spark, sf_dir):
 def op10_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query
+def op11_license_scan(spark, sf_dir):
+    return license_scan(table(spark, sf_dir, "documents"))
