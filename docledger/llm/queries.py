@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docledger.llm.ann import search
+from docledger.llm.conversations import damage, repair, sums
 from docledger.llm.jaccard import jaccard_join
 from docledger.llm.lattice import encoding_sums, pieces
 from docledger.llm.licenses import license_scan
@@ -55,6 +56,78 @@ SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, component_id,
   CASE WHEN len(s.g) = 0 THEN s.doc_id ELSE min(s.doc_id) OVER (PARTITION BY s.g) END AS class_id
 FROM sets s JOIN smallest USING (doc_id)"""
 
+#: Its first steps damage the rows as the query does: the CRC-32 of a key, byte by byte from a table.
+ORACLES["op12_conversation_repair"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fate
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM fated, range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (
+  SELECT *, substr(role, 1, 1) AS r, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+    coalesce(lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1)
+      NOT IN ('su', 'ua', 'au'), false) AS illegal FROM placed),
+faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (blank)::BIGINT AS blank, count(*) FILTER (seen AND NOT blank)::BIGINT AS duplicate,
+    count(*) FILTER (cut AND NOT seen AND NOT blank)::BIGINT AS truncated, count(*) FILTER (illegal)::BIGINT AS illegal,
+    max(i) AS n FROM judged GROUP BY conv_id),
+steps AS (  -- cheapest edits of the first i rows that end in each state: nothing, system, user, assistant
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {'c': 0::BIGINT, 'a': ''} AS g0, {'c': 1000000000::BIGINT, 'a': ''} AS g1,
+    {'c': 2::BIGINT, 'a': 'I'} AS g2, {'c': 4::BIGINT, 'a': 'II'} AS g3 FROM placed
+  UNION ALL
+  SELECT conv_id, i, h0, h1, h2, least(h3, {'c': h2.c + 2, 'a': h2.a || 'I'}) FROM (
+    SELECT conv_id, i, n0 AS h0, n1 AS h1, n3 AS h3, least(n2, {'c': n0.c + 2, 'a': n0.a || 'I'},
+      {'c': n1.c + 2, 'a': n1.a || 'I'}, {'c': n3.c + 2, 'a': n3.a || 'I'}) AS h2 FROM (
+      SELECT s.conv_id, j.i, {'c': g0.c + 3, 'a': g0.a || 'D'} AS n0,
+        least({'c': g1.c + 3, 'a': g1.a || 'D'}, {'c': g0.c + CASE WHEN free AND r = 's' THEN t ELSE 1000000000 END, 'a': g0.a || 'K'}) AS n1,
+        least({'c': g2.c + 3, 'a': g2.a || 'D'},
+          {'c': g0.c + CASE WHEN free AND r = 'u' THEN t ELSE 1000000000 END, 'a': g0.a || 'K'},
+          {'c': g1.c + CASE WHEN free AND r = 'u' THEN t ELSE 1000000000 END, 'a': g1.a || 'K'},
+          {'c': g3.c + CASE WHEN free AND r = 'u' THEN t ELSE 1000000000 END, 'a': g3.a || 'K'},
+          {'c': g0.c + CASE WHEN free THEN 2 + t ELSE 1000000000 END, 'a': g0.a || 'R'},
+          {'c': g1.c + CASE WHEN free THEN 2 + t ELSE 1000000000 END, 'a': g1.a || 'R'},
+          {'c': g3.c + CASE WHEN free THEN 2 + t ELSE 1000000000 END, 'a': g3.a || 'R'}) AS n2,
+        least({'c': g3.c + 3, 'a': g3.a || 'D'},
+          {'c': g2.c + CASE WHEN free AND r = 'a' THEN t ELSE 1000000000 END, 'a': g2.a || 'K'},
+          {'c': g2.c + CASE WHEN free THEN 2 + t ELSE 1000000000 END, 'a': g2.a || 'R'}) AS n3
+      FROM steps s JOIN (SELECT *, NOT blank AND NOT seen AS free, cut::BIGINT AS t FROM judged) j
+        ON s.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = s.i + 1))),
+best AS (
+  SELECT s.conv_id, least(g0, g3) AS b FROM steps s JOIN faults f
+    ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND s.i = f.n),
+letters AS (
+  SELECT conv_id, b.a AS audit, k, substr(b.a, k, 1) AS letter FROM best, unnest(range(1, len(b.a) + 1)) AS u(k)),
+turns AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS p,
+    count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id) AS m
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+repaired AS (
+  SELECT t.conv_id, string_agg(CASE WHEN letter = 'K' THEN j.role WHEN (p + m) % 2 = 1 THEN 'user' ELSE 'assistant' END
+      || ':' || CASE WHEN letter = 'I' THEN '' ELSE j.text END, chr(10) ORDER BY p) AS body
+  FROM turns t JOIN judged j ON t.conv_id IS NOT DISTINCT FROM j.conv_id AND greatest(t.i, 1) = j.i
+  WHERE letter <> 'D' GROUP BY t.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.c, 0)::BIGINT AS cost, coalesce(b.a, '') AS audit,
+  sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN faults f ON o.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN best x ON o.conv_id IS NOT DISTINCT FROM x.conv_id
+LEFT JOIN repaired y ON o.conv_id IS NOT DISTINCT FROM y.conv_id"""
+
 
 def model_path() -> str:
     import public_tokenizers
@@ -121,3 +194,9 @@ def op10_nearest_neighbours(spark, sf_dir):
 @query
 def op11_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return sums(repair(damage(rows), everyone=rows))
