@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docledger.llm.ann import search
 from docledger.llm.conversations import damage, repair, sums
+from docledger.llm.dual_tree import ranked_search
 from docledger.llm.jaccard import jaccard_join
 from docledger.llm.lattice import encoding_sums, pieces
 from docledger.llm.licenses import license_scan
@@ -128,6 +129,31 @@ LEFT JOIN faults f ON o.conv_id IS NOT DISTINCT FROM f.conv_id
 LEFT JOIN best x ON o.conv_id IS NOT DISTINCT FROM x.conv_id
 LEFT JOIN repaired y ON o.conv_id IS NOT DISTINCT FROM y.conv_id"""
 
+ORACLES["op13_ranked_search"] = r"""
+WITH wanted AS (
+  SELECT item_id, term, count(*) AS n FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY ALL),
+words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS terms FROM words WHERE len(w) > 0),
+sizes AS (SELECT r, doc_id, 25 + (75 * len(w) * docs) // terms AS m FROM words, totals WHERE len(w) > 0),
+held AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM words)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM held, totals GROUP BY term, docs),
+scores AS (
+  SELECT item_id, doc_id, r, sum(n * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN held USING (term) JOIN sizes USING (r) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
 
 def model_path() -> str:
     import public_tokenizers
@@ -200,3 +226,8 @@ def op11_license_scan(spark, sf_dir):
 def op12_conversation_repair(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
     return sums(repair(damage(rows), everyone=rows))
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

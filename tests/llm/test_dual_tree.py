@@ -1,0 +1,165 @@
+"""The search by two trees against scores of every pair."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_helpers import SMALL, clashing, documents, small
+
+from docledger.llm import dual_tree as dt
+from docledger.llm.queries import ORACLES, QUERIES
+
+ITEM = "item_id bigint, text string"
+
+
+def split(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower)
+
+
+def plain(docs, items, k=10):
+    """Every pair scored; docs and items are (id, text)."""
+    counted = [(i, split(t)) for i, t in docs]
+    counted = [(i, len(w), Counter(w)) for i, w in counted if w]
+    n, total = len(counted), sum(c[1] for c in counted)
+    df = Counter(t for *_, c in counted for t in c)
+    wanted = {}
+    for item, text in set(items):
+        wanted.setdefault(item, Counter()).update(split(text))
+    out = []
+    for item, of in wanted.items():
+        scored = []
+        for doc, size, tf in counted:
+            m = 25 + 75 * size * n // total
+            score = sum(c * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * tf[t] // (1000 * tf[t] + 8 * m))
+                        for t, c in of.items() if t in tf)
+            if score > 0:
+                scored.append((-score, doc is None, doc))
+        scored.sort(key=lambda s: (s[0], s[1], 0 if s[1] else s[2]))
+        out += [(item, rank, doc, -score) for rank, (score, _, doc) in enumerate(scored[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def got(df):
+    assert df.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_given_table(spark):
+    duckdb = pytest.importorskip("duckdb")
+    duck = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
+    wanted = sorted(map(tuple, duck.execute(ORACLES["op13_ranked_search"]).fetchall()), key=repr)
+    found = got(QUERIES["op13_ranked_search"](spark, SMALL))
+    assert found == wanted
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    assert found == plain(small(), items)
+
+
+def random_texts(rng, n, words, most):
+    return [" ".join(f"t{min(int(rng.paretovariate(0.6)), words)}" for _ in range(rng.randrange(1, most))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("k,most_terms,first", [(10, 50_000, 16), (3, 40, 4), (1, 50_000, 1), (50, 200, 1000)])
+def test_random_tables(spark, k, most_terms, first):
+    rng = random.Random(k)
+    docs = list(enumerate(random_texts(rng, 600, 300, 60)))
+    docs += [(i, docs[7][1]) for i in (9000, 8000, 7000)] + [(7, docs[7][1])]  # ties, a repeated row
+    items = list(enumerate(random_texts(rng, 40, 300, 20)))
+    found = dt.ranked_search(documents(spark, docs, 5), spark.createDataFrame(items, ITEM), k=k, most_terms=most_terms, first=first)
+    assert got(found) == plain(docs, items, k)
+
+
+def test_odd_rows(spark):
+    docs = [(1, None), (2, ""), (3, ".,;"), (4, "Alpha beta_gamma"), (4, "alpha"), (None, "alpha"), (5, "ALPHA"), (6, "naïve Ärger ärger"),
+            (7, "beta " * 400), (8, "delta")]
+    items = [(1, "alpha"), (1, "alpha"), (1, "beta beta"), (2, None), (3, ""), (None, "Ärger NAÏVE"), (4, "missing"), (5, "gamma alpha")]
+    table = clashing(documents(spark, docs))
+    wanted = spark.createDataFrame(items, ITEM).selectExpr("*", "1 AS term", "2 AS n", "3 AS doc_id", "4 AS score")
+    assert got(dt.ranked_search(table, wanted)) == plain(docs, items)
+    none = spark.createDataFrame([], ITEM)
+    assert got(dt.ranked_search(table, none)) == []
+    assert got(dt.ranked_search(table.limit(0), wanted)) == []
+    assert got(dt.ranked_search(table.where("doc_id < 4"), wanted)) == []
+
+
+def test_string_ids_and_columns(spark):
+    docs = [("b", "one two"), ("a", "two one"), ("c", "three one")]
+    df = spark.createDataFrame(docs, "key string, body string")
+    items = spark.createDataFrame([("x", "two")], "q string, words string")
+    found = dt.ranked_search(df, items, id_col="key", text_col="body", item_col="q", item_text="words")
+    assert got(found) == plain(docs, [("x", "two")])
+
+
+def test_long_text_in_parts():
+    text = ("ab cd-EF gh " * 50_000 + "x" * 3_000_000 + " tail").encode()
+    found = Counter(w for part in dt.terms(text * 3) for w in part)
+    assert found == Counter((text * 3).translate(dt._TERM).split())
+
+
+def test_term_bytes():
+    for code in range(0x300):
+        assert [w.decode() for part in dt.terms(f"a{chr(code)}b".encode()) for w in part] == split(f"a{chr(code)}b")
+
+
+def _world(seed, n=1500):
+    """Items and leaves of documents that keep to one subject each, as the tasks make them."""
+    rng = random.Random(seed)
+    rows = []
+    for item in range(64):
+        for term in rng.sample(range(40), 8):
+            rows.append({"item_id": item, "term": f"s{item % 8}_{term}".encode(), "n": rng.randrange(1, 3)})
+        rows.append({"item_id": item, "term": b"common", "n": 1})
+    items = dt.Items(rows)
+    tree = dt.ItemTree(items, np.array([rng.randrange(0, 9000) for _ in items.vocabulary], np.int64))
+    docs = []
+    for subject in range(8):
+        for _ in range(n // 8):
+            terms = {items.vocabulary.get(f"s{subject}_{rng.randrange(40)}".encode()) for _ in range(rng.randrange(1, 15))} - {None}
+            terms |= {items.vocabulary[b"common"]} if rng.random() < 0.9 else set()
+            if terms:
+                docs.append((len(docs), rng.randrange(20, 400), {t: rng.randrange(1, 6) for t in terms}))
+    total = sum(d[1] for d in docs)
+    leaves = []
+    for at in range(0, len(docs), 32):
+        part = docs[at:at + 32]
+        starts = np.cumsum([0] + [len(d[2]) for d in part])
+        leaves.append(dt.Leaf([d[0] for d in part], np.array([d[1] for d in part]), starts,
+                              np.array([t for d in part for t in d[2]]), np.array([c for d in part for c in d[2].values()]),
+                              len(docs), total, tree.kind))
+    return items, tree, leaves
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_bounds_and_pruning(seed):
+    items, tree, leaves = _world(seed)
+    search = dt.Search(tree, len(items.vocabulary), 10, np.zeros(len(items.ids), np.int64))
+    for at in range(0, len(leaves), 16):
+        search.add(leaves[at:at + 16])
+    every = {i: [] for i in range(len(items.ids))}
+    groups = [n for n in range(len(tree.items)) if not tree.children[n]]
+    for leaf in leaves:
+        for node in groups:
+            scores = leaf.scores(tree.bounds[node][0], tree.matrices[node])
+            most = np.zeros(len(items.vocabulary), tree.kind)
+            most[leaf.distinct] = leaf.most
+            assert scores.max() <= tree.bounds[node][1] @ most[tree.bounds[node][0]]
+            for column, i in enumerate(tree.items[node]):
+                every[i] += [(-int(s), leaf.ids[row]) for row, s in enumerate(scores[:, column]) if s > 0]
+    for i, best in enumerate(search.best):
+        assert [(key[0], document) for key, document in best] == sorted(every[i])[:10]
+    # Whole batches of pairs were left out.
+    assert search.scored < 0.5 * len(leaves) * len(groups)
+
+
+def test_large_weights_stay_exact(spark):
+    """Items whose scores need more than 53 bits are computed in integers."""
+    docs = [(1, "w " + "x " * 5), (2, "w w " + "y " * 90), (3, "z")]
+    items = [(1, "w " * 3_000_000)]
+    assert got(dt.ranked_search(documents(spark, docs), spark.createDataFrame(items, ITEM))) == plain(docs, items)
+    tree = dt.ItemTree(dt.Items([{"item_id": 1, "term": b"w", "n": 10**9}]), np.array([9], np.int64))
+    assert tree.kind is np.int64
