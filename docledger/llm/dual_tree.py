@@ -106,29 +106,35 @@ class Items:
         self.counts = [np.array([h[t] for t in sorted(h)], np.int64) for h in held]
         self.order = self._clustered()
 
-    def _clustered(self) -> list[list[int]]:
-        """Groups of at most ``ITEMS`` items that share terms, by halving at the two items least alike."""
+    def _clustered(self, turns: int = 8) -> list[list[int]]:
+        """Groups of at most ``ITEMS`` items that share terms, by halving around two centres again and again."""
         holders = np.zeros(len(self.vocabulary))
         for t in self.terms:
             holders[t] += 1
-        rarity = 1 / holders
+        vectors = [1 / holders[t] for t in self.terms]
+        vectors = [v / np.linalg.norm(v) for v in vectors]
+
+        def centre(group: list[int]) -> np.ndarray:
+            out = np.zeros(len(self.vocabulary))
+            for i in group:
+                out[self.terms[i]] += vectors[i]
+            return out / max(np.linalg.norm(out), 1e-9)
 
         def halves(group: list[int]) -> list[list[int]]:
             if len(group) <= ITEMS:
                 return [group]
-            scratch = np.zeros(len(self.vocabulary))
-
-            def likeness(to: int) -> np.ndarray:
-                scratch[self.terms[to]] = rarity[self.terms[to]]
-                out = np.array([scratch[self.terms[i]].sum() / math.sqrt(rarity[self.terms[i]].sum()) for i in group])
-                scratch[self.terms[to]] = 0
-                return out
-
-            one = group[int(likeness(group[0]).argmin())]
-            near = likeness(one)
-            other = group[int(near.argmin())]
-            ranked = [group[i] for i in np.argsort(likeness(other) - near, kind="stable")]
-            middle = len(ranked) // 2
+
+            def likeness(to: np.ndarray) -> np.ndarray:
+                return np.array([vectors[i] @ to[self.terms[i]] for i in group])
+
+            one = centre([group[int(likeness(centre(group[:1])).argmin())]])
+            other = centre([group[int(likeness(one).argmin())]])
+            for _ in range(turns):
+                nearer = likeness(one) - likeness(other)
+                ranked = [group[i] for i in np.argsort(-nearer, kind="stable")]
+                # Where the sign changes, but never far from the middle.
+                middle = min(max(int((nearer > 0).sum()), len(group) // 4), len(group) - len(group) // 4)
+                one, other = centre(ranked[:middle]), centre(ranked[middle:])
             return halves(ranked[:middle]) + halves(ranked[middle:])
 
         return halves(list(range(len(self.ids))))

@@ -111,11 +111,12 @@ def _world(seed, n=1500):
     rng = random.Random(seed)
     rows = []
     for item in range(64):
-        for term in rng.sample(range(40), 8):
+        for term in rng.sample(range(40), 16):
             rows.append({"item_id": item, "term": f"s{item % 8}_{term}".encode(), "n": rng.randrange(1, 3)})
         rows.append({"item_id": item, "term": b"common", "n": 1})
     items = dt.Items(rows)
-    tree = dt.ItemTree(items, np.array([rng.randrange(0, 9000) for _ in items.vocabulary], np.int64))
+    # A term of nearly all documents has a small weight, as always.
+    tree = dt.ItemTree(items, np.array([100 if t == b"common" else rng.randrange(2000, 9000) for t in items.vocabulary], np.int64))
     docs = []
     for subject in range(8):
         for _ in range(n // 8):
