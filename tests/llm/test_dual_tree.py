@@ -162,5 +162,9 @@ def test_large_weights_stay_exact(spark):
     docs = [(1, "w " + "x " * 5), (2, "w w " + "y " * 90), (3, "z")]
     items = [(1, "w " * 3_000_000)]
     assert got(dt.ranked_search(documents(spark, docs), spark.createDataFrame(items, ITEM))) == plain(docs, items)
-    tree = dt.ItemTree(dt.Items([{"item_id": 1, "term": b"w", "n": 10**9}]), np.array([9], np.int64))
+    tree = dt.ItemTree(dt.Items([{"item_id": 1, "term": b"w", "n": 10**9}]), np.array([9000], np.int64))
     assert tree.kind is np.int64
+    leaf = dt.Leaf([5], np.array([7]), np.array([0, 1]), np.array([0]), np.array([3]), 1, 7, tree.kind)
+    search = dt.Search(tree, 1, 10, np.zeros(1, np.int64))
+    search.add([leaf])
+    assert list(search.rows([1])) == [(1, 5, 9000 * 10**9 * (3 * 10**9 // (3000 + 800)))]
