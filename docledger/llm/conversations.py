@@ -280,8 +280,7 @@ def _timeline(rows: DataFrame, everyone: DataFrame | None) -> DataFrame:
              .select("conv_id", (F.col("kind") > 0).alias("row"), "turn", "role", "head", "digest", "kind", "text",
                      "blank", "n"))
     order = ["conv_id", "row", "turn", "role", "head", "digest"]
-    # The ranges are drawn from the table as written, so that a second reading cannot differ.
-    return stored(table, "timeline").repartitionByRange(*order).sortWithinPartitions(*order, "kind")
+    return table.repartitionByRange(*order).sortWithinPartitions(*order, "kind")
 
 
 def _chunks(timeline: DataFrame, chunk_rows: int) -> DataFrame:
