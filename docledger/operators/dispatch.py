@@ -21,22 +21,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
-    IntegerType, LongType, StringType, StructField, StructType, TimestampType,
+    DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 from docledger.functions import status as st
 from docledger.functions.messages import parse_reply
-from docledger.schemas import OUTCOME
+from docledger.schemas import CARRIED, OUTCOME
 from docledger.sources.staging import stage
 
 
 @dataclass
 class Reply:
-    """What a transport got back. ``elapsed_ms`` overrides the measured time."""
+    """What a transport got back. ``elapsed_ms`` overrides the measured time; a ``final`` one is not asked again."""
 
     code: int
     body: str | None = None
     elapsed_ms: int | None = None
+    final: bool = False
 
 
 class ServiceError(Exception):
@@ -49,11 +50,16 @@ class ServiceError(Exception):
 
 @dataclass(frozen=True)
 class AttemptPolicy:
-    """Up to ``attempts`` calls, waiting U(0, min(longest, first * 2**n)) seconds in between."""
+    """Up to ``attempts`` calls, waiting U(0, min(longest, first * 2**n)) seconds in between.
+
+    A service that asks for a longer pause than ``hold`` seconds ends the attempts: the outcome tells when it
+    wants to be called again (``retry_at``), and the task does not wait for it.
+    """
 
     attempts: int = 3
     first: float = 0.5
     longest: float = 8.0
+    hold: float = float("inf")
     codes: tuple[int, ...] = st.RETRYABLE_CODES
     other_kinds: tuple[str, ...] = ()
     sleep: Callable[[float], None] = time.sleep
@@ -70,11 +76,14 @@ class AttemptPolicy:
 _KINDS = ((TimeoutError, st.TIMEOUT), (ConnectionError, st.CONNECTION),
           (FileNotFoundError, st.NOT_FOUND), (PermissionError, st.DENIED), (ValueError, st.BAD_PATH))
 
+#: Seconds; a service cannot ask for more than ten years.
+LONGEST_PAUSE = 10 * 365 * 86_400.0
+
 _CALL = [
     StructField("code", IntegerType()), StructField("body", StringType()),
     StructField("kind", StringType()), StructField("failure_text", StringType()),
     StructField("attempts", IntegerType()), StructField("execution_time_ms", LongType()),
-    StructField("started_at", TimestampType()), StructField("finished_at", TimestampType()),
+    StructField("retry_after", DoubleType()), StructField("started_at", TimestampType()), StructField("finished_at", TimestampType()),
 ]
 
 
@@ -98,13 +107,15 @@ def _call(send: Callable, client: Any, row: dict, policy: AttemptPolicy,
             text = str(error)
         if kind is None or n + 1 >= policy.attempts or not policy.again(kind, code):
             break
+        if (reply is not None and reply.final) or (hint or 0) > policy.hold:
+            break
         policy.wait(n, hint)
     elapsed = int((time.perf_counter() - clock) * 1000)
     if reply is not None and reply.elapsed_ms is not None:
         elapsed = reply.elapsed_ms
     return {**row, "code": code, "body": body, "kind": kind, "failure_text": text,
-            "attempts": n + 1, "execution_time_ms": elapsed, "started_at": started,
-            "finished_at": datetime.now(timezone.utc)}
+            "attempts": n + 1, "execution_time_ms": elapsed, "retry_after": hint if kind else None,
+            "started_at": started, "finished_at": datetime.now(timezone.utc)}
 
 
 class _Throttle:
@@ -207,6 +218,8 @@ def read_calls(calls: DataFrame, correlation_id: str, mode: str = "code",
     ``not_failed`` turns down is stored as 500; one that ``strict`` turns down keeps its code.
     """
     reply = calls.withColumn("reply", parse_reply("body"))
+    pause = F.least(F.col("retry_after"), F.lit(LONGEST_PAUSE)).cast("decimal(18,6)")
+    asked = F.col("finished_at") + F.make_dt_interval(secs=pause)
     kind_code = (st.storage_error_code("kind", "failure_text") if errors == "storage"
                  else st.exception_code("kind", "code"))
     good = F.col("kind").isNull() & st.classify("code", F.col("reply.status"), mode)
@@ -225,7 +238,9 @@ def read_calls(calls: DataFrame, correlation_id: str, mode: str = "code",
         .alias("target_path"),
         F.when(F.col("ok"), F.col("reply.total_bytes").try_cast("bigint")).alias("bytes"),
         F.when(F.col("ok"), F.col("reply.sha256")).alias("sha256"),
-        "attempts", "execution_time_ms", "started_at", "finished_at")
+        "attempts", "execution_time_ms", "started_at", "finished_at",
+        (F.col("retry_count") if "retry_count" in calls.columns else F.lit(None)).cast("int").alias("retry_count"),
+        F.when(~F.col("ok"), asked).alias("retry_at"))
 
 
 def dispatch(worklist: DataFrame, send: Callable[[Any, dict], Reply], *, stage_path: str,
@@ -234,27 +249,33 @@ def dispatch(worklist: DataFrame, send: Callable[[Any, dict], Reply], *, stage_p
     """Call ``send(client, row)`` for every row and return the staged outcomes.
 
     A lost executor repeats the calls of its unfinished tasks, so a transport must give the
-    same result when a row is sent again. Further arguments are those of ``call_rows``.
+    same result when a row is sent again. Outcomes also carry the count their row came with and when the
+    service asked to be called again. Further arguments are those of ``call_rows``.
     """
     calls = call_rows(worklist, send, **calling)
     outcomes = read_calls(calls, correlation_id, mode, errors)
-    return stage(outcomes.select(*OUTCOME.fieldNames()), stage_path)
+    return stage(outcomes.select(*OUTCOME.fieldNames(), *CARRIED.fieldNames()), stage_path)
 
 
-def split_outcomes(outcomes: DataFrame, at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def split_outcomes(outcomes: DataFrame, at: Column | None = None,
+                   counted: bool = False) -> tuple[DataFrame, DataFrame]:
     """Successes and failures, each in the columns its ledger takes.
 
-    Rows are stamped ``at`` the given run time, or when their call finished.
+    Rows are stamped ``at`` the given run time, or when their call finished. With ``counted`` both
+    sides have ``retry_count``: what the attempt carried, and for a failure one more.
     """
     ok = F.coalesce(F.col("ok"), F.lit(False))
     moment = F.col("finished_at") if at is None else at
     dates = (moment.alias("date_created"), moment.alias("date_updated"))
+    count = F.coalesce(F.col("retry_count"), F.lit(0)) if counted else None
     good = outcomes.filter(ok).select(
         "auth_request_id", "document_id", "correlation_id", "full_path", "target_path",
-        "execution_time_ms", *dates, "ar_number")
+        "execution_time_ms", *dates, "ar_number",
+        *([count.cast("int").alias("retry_count")] if counted else []))
     bad = outcomes.filter(~ok).select(
         "auth_request_id", "document_id", F.col("correlation_id").alias("latest_correlation_id"),
         "full_path", F.lit(0).alias("reprocess_success"),
         F.col("error_message").alias("latest_error_message"),
-        F.col("error_code").alias("latest_error_code"), *dates, "ar_number")
+        F.col("error_code").alias("latest_error_code"), *dates, "ar_number",
+        *([(count + 1).cast("int").alias("retry_count")] if counted else []))
     return good, bad

@@ -22,11 +22,20 @@ class RetryPolicy:
 
     The two named policies belong to the two ways of counting: ``TARGET_COUNTED`` goes with a
     ledger that adds one on every repeated failure (7 attempts in all), ``SOURCE_COUNTED`` with
-    a ledger that stores the count the attempt carried (5 attempts in all).
+    a ledger that stores the count the attempt carried (5 attempts in all). ``counted`` names the way; where
+    it does not fit the limit's kind, one attempt too many or too few would result, and that is refused.
     """
 
     limit: int = 5
     inclusive: bool = True
+    counted: str = ""
+
+    def __post_init__(self) -> None:
+        fits = "target" if self.inclusive else "source"
+        if self.counted not in ("", fits):
+            raise ValueError(f"a limit that is {'in' if self.inclusive else 'ex'}clusive goes with {fits}-counted "
+                             f"ledgers, not with {self.counted}-counted ones")
+        object.__setattr__(self, "counted", fits)
 
     def eligible(self, count: Column, reprocessed: Column) -> Column:
         below = count <= self.limit if self.inclusive else count < self.limit

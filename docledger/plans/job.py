@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 from urllib.parse import quote
 
@@ -13,11 +14,11 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from docledger.operators.dispatch import dispatch
 from docledger.operators.worklist import TARGET_COUNTED, RetryPolicy, multiply_rows, worklist
-from docledger.plans.ledgers import commit_outcomes
-from docledger.schemas import WORKLIST
+from docledger.plans.ledgers import claim_counting, commit_outcomes, read_failures
+from docledger.schemas import CARRIED, KEYS, OUTCOME, WORKLIST
 from docledger.session import fresh_dir
 from docledger.sources.ledger import Ledgers, read_ledger
-from docledger.sources.staging import is_complete
+from docledger.sources.staging import children, is_complete
 from docledger.sources.tables import ensure_tables
 
 # dispatcher(worklist, stage_path, correlation_id) -> staged outcomes
@@ -35,6 +36,8 @@ def sending(send: Callable, **options: Any) -> Dispatcher:
 class JobOptions:
     """Settings and switches of a run.
 
+    policy      which failures are due, and by that the way of counting: ``TARGET_COUNTED`` adds one
+                in the ledger, ``SOURCE_COUNTED`` stores the count the attempt carried, plus one
     batches     cut the run into that many commits, each over its own buckets of the ledgers, so
                 that the commits together read and write every bucket once
     copy        without it the run does everything but call the service
@@ -58,9 +61,11 @@ def transfer_job(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers, dis
                  options: JobOptions | None = None) -> dict[str, int]:
     """Copy what is due and record it; returns total, successes and failures.
 
-    A failed run may be repeated with the same ``run_id`` and ``work_dir``: finished batches are
-    recognised by their staged outcomes, and committing them again changes nothing. Another run
-    may use the same ``work_dir``; each has a folder of its own there.
+    The worklist is written once and fixed for the run. A failed run may be repeated with the same
+    ``run_id`` and ``work_dir``, also with another number of ``batches``: finished batches, of
+    whatever cut, are recognised by their staged outcomes and committed (again), which changes nothing that was
+    committed before; their rows are not called again, and all other rows of the run's worklist are. Another
+    run may use the same ``work_dir``; each has a folder of its own there.
     """
     options = options or JobOptions()
     work = run_folder(options.work_dir or fresh_dir(spark, "runs"), options.run_id)
@@ -75,17 +80,22 @@ def transfer_job(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers, dis
         manifest = multiply_rows(manifest, options.multiply)
     if not options.copy:
         return totals
-    due = worklist(manifest, read_ledger(spark, ledgers.success),
-                   read_ledger(spark, ledgers.failure), policy=options.policy,
-                   path_mode=options.path_mode,
-                   skip_succeeded_retries=options.skip_succeeded_retries)
-    if batches > 1:
-        due = _stage_batches(due, ledgers, batches, f"{work}/worklist")
+    claim_counting(spark, ledgers, options.policy.counted)
+
+    def commit(outcomes: DataFrame) -> None:
+        counts = commit_outcomes(spark, ledgers, outcomes, options.at, counted=options.policy.counted)
+        for name in totals:
+            totals[name] += counts[name]
+
+    staged = _staged_worklist(spark, manifest, ledgers, work, options)
+    finished = _outcomes_of_other_cuts(spark, work, batches)
+    for outcomes in finished:
+        commit(outcomes)
     for batch in range(batches):
-        rows = due if batches == 1 else due.filter(F.col("batch") == batch).drop("batch")
-        outcomes = dispatcher(rows, f"{work}/outcomes/batch={batch}", options.run_id)
-        counts = commit_outcomes(spark, ledgers, outcomes, options.at)
-        totals = {name: totals[name] + counts[name] for name in totals}
+        rows = staged.filter(F.col("batch") == batch).drop("batch")
+        if finished:
+            rows = _without_finished(rows, finished)
+        commit(dispatcher(rows, f"{work}/outcomes/of={batches}/batch={batch}", options.run_id))
     return totals
 
 
@@ -94,15 +104,54 @@ def run_folder(work_dir: str, run_id: str) -> str:
     return f"{work_dir.rstrip('/')}/run={quote(run_id, safe='')}"
 
 
-def _stage_batches(due: DataFrame, ledgers: Ledgers, batches: int, path: str) -> DataFrame:
-    """The worklist written once, a folder per batch, so that each batch reads only its own."""
-    spark = due.sparkSession
-    batch = (ledgers.failure.bucket_of() % batches).alias("batch")
+def _cuts(spark: SparkSession, folder: str) -> list[str]:
+    return [f"{folder}/{name}" for name in children(spark, folder) if name.startswith("of=")]
+
+
+def _staged_worklist(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers, work: str,
+                     options: JobOptions) -> DataFrame:
+    """The run's worklist, written once, a folder per batch, so that each batch reads only its own.
+
+    An earlier try of the run that cut it otherwise has written the same rows: these are cut anew,
+    because the ledgers may have changed since.
+    """
+    schema = StructType(WORKLIST.fields + [StructField("batch", IntegerType())])
+    folder, path = f"{work}/worklist", f"{work}/worklist/of={options.batches}"
     if not is_complete(spark, path):
-        (due.select("*", batch).hint("rebalance", F.col("batch"))
-         .write.mode("overwrite").partitionBy("batch").parquet(path))
-    return spark.read.schema(StructType(WORKLIST.fields + [StructField("batch", IntegerType())])
-                             ).parquet(path)
+        earlier = [cut for cut in _cuts(spark, folder) if is_complete(spark, cut)]
+        if earlier:
+            due = spark.read.schema(schema).parquet(earlier[0]).drop("batch")
+        else:
+            due = worklist(manifest, read_ledger(spark, ledgers.success), read_failures(spark, ledgers),
+                           policy=options.policy, path_mode=options.path_mode,
+                           skip_succeeded_retries=options.skip_succeeded_retries)
+        batch = (ledgers.failure.bucket_of() % options.batches).alias("batch")
+        cut = due.select("*", batch)
+        if options.batches > 1:
+            cut = cut.hint("rebalance", F.col("batch"))
+        cut.write.mode("overwrite").partitionBy("batch").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _outcomes_of_other_cuts(spark: SparkSession, work: str, batches: int) -> list[DataFrame]:
+    """What earlier tries with other numbers of batches have finished, batch by batch."""
+    found = []
+    for cut in _cuts(spark, f"{work}/outcomes"):
+        if cut.endswith(f"/of={batches}"):
+            continue
+        found += [f"{cut}/{name}" for name in children(spark, cut)
+                  if name.startswith("batch=") and is_complete(spark, f"{cut}/{name}")]
+    return [spark.read.schema(StructType(OUTCOME.fields + CARRIED.fields)).parquet(path) for path in found]
+
+
+def _without_finished(rows: DataFrame, finished: list[DataFrame]) -> DataFrame:
+    """Rows that no finished batch has an outcome for; NULL keys are told apart by path."""
+    columns = [*KEYS, "full_path"]
+    known = reduce(DataFrame.unionAll, [f.select(*columns) for f in finished])
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}"))
+    return rows.alias("r").join(known.alias("k"), same, "left_anti")
 
 
 def tagged_ledgers(spark: SparkSession, ledgers: Ledgers) -> DataFrame:

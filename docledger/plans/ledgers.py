@@ -3,7 +3,9 @@
 Two ways of counting retries exist and must not be mixed. Target-counted: a first failure stores
 0 and every further one adds 1 (``failure_upsert_increment`` with ``TARGET_COUNTED``).
 Source-counted: the attempt carries its count, a first failure stores 1
-(``failure_upsert_source`` with ``SOURCE_COUNTED``).
+(``failure_upsert_source`` with ``SOURCE_COUNTED``). Source-counted failures may also be kept as history, a
+row for each attempt and one when the document succeeds at last; ``latest_failures`` reduces it.
+``commit_outcomes`` does all three; a ledger keeps the way it was begun with (``claim_counting``).
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from docledger.operators.merge import merge, rows_to_insert, src, tgt
 from docledger.operators.summary import counters
 from docledger.schemas import AUDIT, ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
 from docledger.sources.ledger import Ledger, Ledgers, read_ledger, write_version
+from docledger.sources.staging import children, file_system
 
 # Rows whose measured size is below this may be broadcast.
 SMALL_BYTES = 64 * 1024 * 1024
@@ -209,6 +212,39 @@ def merge_failures(failure: DataFrame, succeeded: DataFrame, failed: DataFrame,
                  small_source=small_source)
 
 
+def merge_counted_failures(failure: DataFrame, succeeded: DataFrame, failed: DataFrame, *,
+                           small_source: bool = False) -> DataFrame:
+    """``failure_upsert_source`` and the unguarded, dated ``mark_reprocessed`` in one pass over the ledger.
+
+    ``failed`` has the counts to be stored. The keys of both sources together must be unique.
+    """
+    marks = succeeded.select(*KEYS, "date_updated").withColumn("_ok", F.lit(True))
+    states = failed.withColumn("_ok", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    taken = ("retry_count", "full_path", "latest_error_message", "latest_error_code")
+    changes = {name: F.when(src("_ok"), tgt(name)).otherwise(src(name)) for name in taken}
+    changes["reprocess_success"] = F.when(src("_ok"), F.lit(1)).otherwise(src("reprocess_success"))
+    changes["date_updated"] = src("date_updated")
+    return merge(failure, states, KEYS, matched_set=changes, insert_values=_same(FAILURE),
+                 insert_if=~src("_ok"), unique_source=True, unique_target=True,
+                 small_source=small_source)
+
+
+def latest_failures(history: DataFrame) -> DataFrame:
+    """The newest row of each document in a failure history.
+
+    Newest by updated date; of equal dates a success counts as later, then the higher count. ``max_by`` is
+    a partial aggregate: a document with very many attempts collapses before the shuffle. Rows
+    with a NULL key are documents of their own and stay.
+    """
+    complete = F.lit(True)
+    for key in KEYS:
+        complete = complete & F.col(key).isNotNull()
+    order = F.struct("date_updated", "reprocess_success", "retry_count", F.xxhash64(*history.columns))
+    newest = (history.filter(complete).groupBy(*KEYS)
+              .agg(F.max_by(F.struct(*history.columns), order).alias("row")).select("row.*"))
+    return newest.unionByName(history.filter(~complete))
+
+
 def apply_outcomes(state: LedgerState, outcomes: DataFrame, at: Column | None = None) -> LedgerState:
     """The ledgers after a batch, as plans. ``outcomes`` must be staged, one per document."""
     succeeded, failed = split_outcomes(outcomes, at)
@@ -239,31 +275,38 @@ def measure(outcomes: DataFrame, ledger: Ledger) -> dict:
 
 
 def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,
-                    at: Column | None = None) -> dict[str, int]:
+                    at: Column | None = None, counted: str = "target") -> dict[str, int]:
     """Write the next version of each ledger from staged outcomes; returns the run's counters.
 
     Success and details get only their new rows. Of the failure ledger, the buckets that hold a new
-    failure or one that has now succeeded are rewritten. Sides without rows are skipped. Success is written first,
-    so a run that dies in between never retries what it has copied; committing again adds only
-    what is missing.
+    failure or one that has now succeeded are rewritten; kept as history, it gets new rows only. Sides without
+    rows are skipped. Success is written first, so a run that dies in between never retries what it has
+    copied; committing again adds only what is missing. ``counted`` tells who counts attempts, see
+    above; source-counted outcomes must carry ``retry_count``.
     """
+    claim_counting(spark, ledgers, counted)
+    if counted == "source" and "retry_count" not in outcomes.columns:
+        raise ValueError("source-counted outcomes must carry retry_count")
     counts = measure(outcomes, ledgers.failure)
     small, buckets = counts.pop("size") <= SMALL_BYTES, counts.pop("buckets")
     if counts["total"] == 0:
         return counts
     if has_copies(outcomes):
         outcomes = one_per_key(outcomes)
-    succeeded, failed = split_outcomes(outcomes, at)
+    succeeded, failed = split_outcomes(outcomes, at, counted=counted == "source")
     if counts["successes"]:
         known = read_ledger(spark, ledgers.success, buckets)
         write_version(spark, ledgers.success,
                       rows_to_insert(known, succeeded, KEYS, small_source=small))
-    changed = _changed_buckets(read_ledger(spark, ledgers.failure, buckets), succeeded, failed,
-                               ledgers.failure, small)
-    if changed:
-        failure = read_ledger(spark, ledgers.failure, changed)
-        write_version(spark, ledgers.failure,
-                      merge_failures(failure, succeeded, failed, small_source=small))
+    if ledgers.failure.updatable:
+        changed = _changed_buckets(read_ledger(spark, ledgers.failure, buckets), succeeded, failed,
+                                   ledgers.failure, small)
+        if changed:
+            failure = read_ledger(spark, ledgers.failure, changed)
+            combine = merge_failures if counted == "target" else merge_counted_failures
+            write_version(spark, ledgers.failure, combine(failure, succeeded, failed, small_source=small))
+    else:
+        _append_history(spark, ledgers.failure, succeeded, failed, buckets, small)
     if counts["failures"]:
         known = read_ledger(spark, ledgers.details, buckets)
         write_version(spark, ledgers.details,
@@ -271,6 +314,19 @@ def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,
     return counts
 
 
+def _append_history(spark: SparkSession, ledger: Ledger, succeeded: DataFrame, failed: DataFrame,
+                    buckets: list[int], small: bool) -> None:
+    """A row for each failed attempt, and one for each document that had failed and has now succeeded.
+
+    Rows are told apart by document, run and flag, so committing again adds only what is missing.
+    """
+    known = read_ledger(spark, ledger, buckets)
+    again = reprocessed_rows(succeeded, latest_failures(known))
+    new = failed.select(*FAILURE.fieldNames()).unionByName(again.select(*FAILURE.fieldNames()))
+    keys = (*KEYS, "latest_correlation_id", "reprocess_success")
+    write_version(spark, ledger, rows_to_insert(known, new, keys, small_source=small))
+
+
 def _changed_buckets(failure: DataFrame, succeeded: DataFrame, failed: DataFrame, ledger: Ledger,
                      small: bool) -> list[int]:
     """Buckets of new failures and of known ones that succeeded; at most ``ledger.buckets`` numbers."""
@@ -280,6 +336,31 @@ def _changed_buckets(failure: DataFrame, succeeded: DataFrame, failed: DataFrame
     return [row["bucket"] for row in found.distinct().collect()]
 
 
+def read_failures(spark: SparkSession, ledgers: Ledgers) -> DataFrame:
+    """One row for each document that has failed, as it stands."""
+    failure = read_ledger(spark, ledgers.failure)
+    return failure if ledgers.failure.updatable else latest_failures(failure)
+
+
+def claim_counting(spark: SparkSession, ledgers: Ledgers, counted: str) -> None:
+    """Note in the failure ledger who counts attempts; another way than it was begun with is an error.
+
+    The two ways give the same number different meanings, so a ledger that saw both would allow too many
+    attempts for some documents and too few for others.
+    """
+    if counted not in ("target", "source"):
+        raise ValueError(f"attempts are counted by target or source, not {counted}")
+    if counted == "target" and not ledgers.failure.updatable:
+        raise ValueError("a failure history has no row to add one to: its attempts are source-counted")
+    begun = [name for name in children(spark, ledgers.failure.path) if name.startswith("_counted_by_")]
+    if not begun:
+        fs, marker = file_system(spark, f"{ledgers.failure.path}/_counted_by_{counted}")
+        fs.mkdirs(marker.getParent())
+        fs.create(marker, True).close()
+    elif begun != [f"_counted_by_{counted}"]:
+        raise ValueError(f"{ledgers.failure.path} is {begun[0].strip('_')}, this run counts by {counted}")
+
+
 def read_state(spark: SparkSession, ledgers: Ledgers) -> LedgerState:
-    return LedgerState(read_ledger(spark, ledgers.success), read_ledger(spark, ledgers.failure),
+    return LedgerState(read_ledger(spark, ledgers.success), read_failures(spark, ledgers),
                        read_ledger(spark, ledgers.details))

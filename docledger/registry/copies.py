@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from docledger.plans.copying import copy_files, locate
 from docledger.registry.inputs import load, query
+from docledger.schemas import CARRIED
 from docledger.session import fresh_dir
 from docledger.sources import files
 
@@ -72,7 +73,7 @@ def copy_files_query(spark, sf_dir):
     outcomes = copy_files(rows.drop("source_file", "target_key", "reject_code", "reject_text"), root,
                           fresh_dir(spark, "copied"), stage_path=fresh_dir(spark, "outcomes"),
                           correlation_id="run-5")
-    return outcomes.drop("execution_time_ms", "started_at", "finished_at")
+    return outcomes.drop("execution_time_ms", "started_at", "finished_at", *CARRIED.fieldNames())
 
 
 @query("verify_copy", f"""{_NAMED} SELECT source_file, target_key, bytes AS source_length,

@@ -228,15 +228,32 @@ def _tagged(success, failure, details):
                                side("details", FAILURE_DETAILS, details)))
 
 
-def applied_sql(outcomes_cte):
-    """All three ledgers after the outcomes of a CTE named ``due``."""
-    marked = "(" + _updated(FAILURE, "failure", "due_good", {
-        "reprocess_success": (_OPEN, "1"), "date_updated": (_OPEN, "s.date_updated")}) + ")"
-    counted = _updated(FAILURE, marked, "due_bad", {
-        "retry_count": (_COUNTED, "t.retry_count + 1"),
-        **{c: (_COUNTED, f"s.{c}") for c in ("latest_error_message", "latest_error_code",
-                                             "latest_correlation_id", "date_updated")}})
+def applied_sql(outcomes_cte, counted="target", history=False):
+    """All three ledgers after the outcomes of a CTE named ``due``.
+
+    Source-counted outcomes have a ``retry_count``; with ``history`` failures are kept as rows of their own.
+    """
+    first = "0" if counted == "target" else "retry_count + 1"
+    if counted == "target":
+        marked = "(" + _updated(FAILURE, "failure", "due_good", {
+            "reprocess_success": (_OPEN, "1"), "date_updated": (_OPEN, "s.date_updated")}) + ")"
+        kept = _updated(FAILURE, marked, "due_bad", {
+            "retry_count": (_COUNTED, "t.retry_count + 1"),
+            **{c: (_COUNTED, f"s.{c}") for c in ("latest_error_message", "latest_error_code",
+                                                 "latest_correlation_id", "date_updated")}})
+    else:
+        marked = "(" + _updated(FAILURE, "failure", "due_good", {
+            "reprocess_success": (_HIT, "1"), "date_updated": (_HIT, "s.date_updated")}) + ")"
+        kept = _updated(FAILURE, marked, "due_bad", {
+            c: (_HIT, f"s.{c}") for c in ("retry_count", "full_path", "reprocess_success", "latest_error_message",
+                                          "latest_error_code", "date_updated")})
     fresh = f"SELECT {_columns(FAILURE)} FROM due_bad s WHERE {_absent('s', 'failure')}"
+    if history:
+        kept = f"SELECT {_columns(FAILURE)} FROM failure"
+        fresh = f"""SELECT {_columns(FAILURE)} FROM due_bad UNION ALL SELECT auth_request_id, document_id,
+  correlation_id, CAST(retry_count AS INTEGER), full_path, CAST(1 AS INTEGER), CAST(NULL AS VARCHAR),
+  CAST(NULL AS INTEGER), finished_at, finished_at, ar_number FROM due s WHERE ok
+  AND EXISTS (SELECT 1 FROM failure t WHERE {_on('t', 's')} AND t.reprocess_success = 0)"""
     good = f"SELECT {_columns(SUCCESS)} FROM due_good s WHERE {_absent('s', 'success')}"
     due_details = _BAD_DETAILS.replace("FROM bad", "FROM due_bad")
     details = (f"SELECT {_columns(FAILURE_DETAILS)} FROM ({due_details}) s WHERE "
@@ -245,11 +262,11 @@ def applied_sql(outcomes_cte):
   correlation_id, full_path, target_path, execution_time_ms, finished_at AS date_created,
   finished_at AS date_updated, ar_number FROM due WHERE ok),
 due_bad AS (SELECT auth_request_id, document_id, correlation_id AS latest_correlation_id,
-  CAST(0 AS INTEGER) AS retry_count, full_path, CAST(0 AS INTEGER) AS reprocess_success,
+  CAST({first} AS INTEGER) AS retry_count, full_path, CAST(0 AS INTEGER) AS reprocess_success,
   error_message AS latest_error_message, error_code AS latest_error_code,
   finished_at AS date_created, finished_at AS date_updated, ar_number FROM due WHERE NOT ok)
 {_tagged(f"SELECT {_columns(SUCCESS)} FROM success UNION ALL {good}",
-         f"{counted} UNION ALL {fresh}",
+         f"{kept} UNION ALL {fresh}",
          f"SELECT {_columns(FAILURE_DETAILS)} FROM details UNION ALL {details}")}"""
 
 

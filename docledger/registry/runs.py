@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from docledger.functions.timing import instant, iso_text
 from docledger.operators.dispatch import AttemptPolicy, Reply, dispatch
-from docledger.operators.worklist import RetryPolicy, worklist
+from docledger.operators.worklist import SOURCE_COUNTED, RetryPolicy, worklist
 from docledger.plans.job import JobOptions, sending, tagged_ledgers, transfer_job
 from docledger.registry.inputs import CREATED, RUN_AT, derived, query
 from docledger.registry.ledgers import applied_sql
 from docledger.registry.sets import WORKLIST_SQL
-from docledger.schemas import MANIFEST, OUTCOME
+from docledger.schemas import CARRIED, MANIFEST, OUTCOME
 from docledger.session import fresh_dir
 from docledger.sources import tables
 from docledger.sources.ledger import Ledgers, write_version
@@ -54,7 +54,7 @@ def _due(spark, sf_dir):
 def dispatch_query(spark, sf_dir):
     outcomes = dispatch(_due(spark, sf_dir), answer, stage_path=fresh_dir(spark, "outcomes"),
                         correlation_id="run-9", policy=NO_WAIT)
-    return outcomes.drop("bytes", "sha256", "started_at", "finished_at")
+    return outcomes.drop("bytes", "sha256", "started_at", "finished_at", *CARRIED.fieldNames())
 
 
 @query("dispatch_concurrent", f"""WITH {_DUE} SELECT document_id, ok, error_code, target_path,
@@ -67,9 +67,9 @@ def dispatch_concurrent(spark, sf_dir):
     return outcomes.select("document_id", "ok", "error_code", "target_path", "execution_time_ms")
 
 
-def filled_ledgers(spark, sf_dir, buckets=4):
+def filled_ledgers(spark, sf_dir, buckets=4, history=False):
     """Ledgers on disk as earlier runs left them."""
-    ledgers = Ledgers.at(fresh_dir(spark, "ledgers"), buckets)
+    ledgers = Ledgers.at(fresh_dir(spark, "ledgers"), buckets, history)
     for ledger, name in ((ledgers.success, "success"), (ledgers.failure, "failure"),
                          (ledgers.details, "details")):
         write_version(spark, ledger, derived(spark, sf_dir, name))
@@ -106,6 +106,53 @@ def transfer_job_two_runs(spark, sf_dir):
     return tagged_ledgers(spark, ledgers)
 
 
+@query("transfer_job_rebatched", applied_sql(_DUE))
+def transfer_job_rebatched(spark, sf_dir):
+    """A run in four batches that died after the first, repeated in two and, dying again, in one."""
+    ledgers, work = filled_ledgers(spark, sf_dir), fresh_dir(spark, "work")
+    manifest, whole = derived(spark, sf_dir, "manifest"), sending(answer, policy=NO_WAIT)
+
+    def dies_after(calls):
+        left = [calls]
+
+        def run(rows, stage_path, correlation_id):
+            if not left[0]:
+                raise InterruptedError("died")
+            left[0] -= 1
+            return whole(rows, stage_path, correlation_id)
+        return run
+
+    for batches, dispatcher in ((4, dies_after(1)), (2, dies_after(1)), (1, whole)):
+        try:
+            transfer_job(spark, manifest, ledgers, dispatcher,
+                         JobOptions(run_id="run-9", at=instant(RUN_AT), batches=batches, work_dir=work))
+        except InterruptedError:
+            pass
+    return tagged_ledgers(spark, ledgers)
+
+
+_DUE_SOURCE = (f"due AS ({_ANSWERED.replace('SELECT', 'SELECT w.retry_count,', 1)} FROM "
+               f"({WORKLIST_SQL.replace('<= 5', '< 5')}) w JOIN docs USING (document_id))")
+
+
+@query("transfer_job_source_counted", applied_sql(_DUE_SOURCE, counted="source"))
+def transfer_job_source_counted(spark, sf_dir):
+    """Attempts carry their count; the ledger stores it, plus one."""
+    ledgers = filled_ledgers(spark, sf_dir)
+    transfer_job(spark, derived(spark, sf_dir, "manifest"), ledgers, sending(answer, policy=NO_WAIT),
+                 JobOptions(run_id="run-9", at=instant(RUN_AT), policy=SOURCE_COUNTED))
+    return tagged_ledgers(spark, ledgers)
+
+
+@query("transfer_job_history", applied_sql(_DUE_SOURCE, counted="source", history=True))
+def transfer_job_history(spark, sf_dir):
+    """Failures kept as a row for each attempt, and one for each document that succeeds at last; in two batches."""
+    ledgers = filled_ledgers(spark, sf_dir, history=True)
+    transfer_job(spark, derived(spark, sf_dir, "manifest"), ledgers, sending(answer, policy=NO_WAIT),
+                 JobOptions(run_id="run-9", at=instant(RUN_AT), policy=SOURCE_COUNTED, batches=2))
+    return tagged_ledgers(spark, ledgers)
+
+
 def _without_run_number(df):
     """Micro-batches number the run id; which one a row fell into is not part of the result."""
     return df.withColumns({c: F.regexp_replace(c, "^run-9-([0-9]+|retry)$", "run-9")

@@ -32,6 +32,9 @@ OUTCOME = _schema(
     execution_time_ms="bigint", started_at="timestamp", finished_at="timestamp",
 )
 
+# What an attempt carries beside its outcome: the count it was started with, and when the service asked to be called again.
+CARRIED = _schema(retry_count="int", retry_at="timestamp")
+
 SUCCESS = _schema(
     auth_request_id="string", document_id="string", correlation_id="string", full_path="string",
     target_path="string", execution_time_ms="bigint", date_created="timestamp",

@@ -49,11 +49,12 @@ class Ledgers:
     details: Ledger
 
     @staticmethod
-    def at(root: str, buckets: int = 32) -> "Ledgers":
+    def at(root: str, buckets: int = 32, history: bool = False) -> "Ledgers":
+        """``history`` keeps a row for each failed attempt instead of one for each document."""
         root = root.rstrip("/")
         return Ledgers(
             Ledger(f"{root}/success", SUCCESS, KEYS, False, buckets),
-            Ledger(f"{root}/failure", FAILURE, KEYS, True, buckets),
+            Ledger(f"{root}/failure", FAILURE, KEYS, not history, buckets),
             Ledger(f"{root}/failure_details", FAILURE_DETAILS, ATTEMPT_KEYS, False, buckets))
 
 

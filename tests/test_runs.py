@@ -2,20 +2,22 @@
 
 import os
 import uuid
+from datetime import datetime
+from functools import reduce
 
 import pytest
-from pyspark.sql import Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from docledger.functions.timing import instant
 from docledger.operators import batching, summary
 from docledger.operators.dispatch import AttemptPolicy, Reply
-from docledger.operators.worklist import SOURCE_COUNTED, worklist
+from docledger.operators.worklist import SOURCE_COUNTED, RetryPolicy, worklist
 from docledger.plans.job import JobOptions, sending, tagged_ledgers, transfer_job
-from docledger.plans.ledgers import failure_upsert_source, read_state
+from docledger.plans.ledgers import commit_outcomes, failure_upsert_source, latest_failures, read_state
 from docledger.schemas import AUDIT, CROSS_REFERENCE, MANIFEST, OUTCOME
 from docledger.session import shared_dir
 from docledger.sources import tables
-from docledger.sources.ledger import Ledgers
+from docledger.sources.ledger import Ledgers, read_ledger
 from docledger.streaming.microbatch import per_batch_apply, transfer_stream
 from tests.helpers import T0, failure, manifest, outcomes, rows, success
 
@@ -225,3 +227,132 @@ def test_switches(spark, tmp_path):
     ids = spark.createDataFrame([("1-2-3-4-abcd", "5-6-7-8-efgh", "AR", "r", "c", "f")], MANIFEST)
     assert transfer_job(spark, ids, ledgers, service(), option(1, multiply=20))["total"] == 20
     assert read_state(spark, ledgers).success.select("document_id").distinct().count() == 20
+
+
+# --- runs that die, and cuts that change ------------------------------------------------------
+
+def dying(broken=(), calls=1):
+    """A dispatcher that ends the run after ``calls`` batches."""
+    inner, left = service(broken), [calls]
+
+    def run(rows, stage_path, correlation_id):
+        if not left[0]:
+            raise RuntimeError("the run dies here")
+        left[0] -= 1
+        return inner(rows, stage_path, correlation_id)
+    return run
+
+
+def logged(folder, broken=()):
+    """A dispatcher whose calls leave a file each."""
+    os.makedirs(folder, exist_ok=True)
+
+    def send(client, row):
+        open(f"{folder}/{row['document_id']}-{uuid.uuid4().hex}", "w").close()
+        if row["document_id"] in broken:
+            return Reply(500, '{"message":"down"}', 1)
+        return Reply(200, '{"azure_blob_path":"t/%s"}' % row["document_id"], 1)
+    return sending(send, policy=NO_WAIT)
+
+
+@pytest.mark.parametrize("cuts", [(4, 2), (4, 1), (1, 4), (4, 2, 4), (2, 4, 1)])
+def test_no_row_is_lost_when_batches_change(spark, tmp_path, cuts):
+    ledgers, work, log = Ledgers.at(str(tmp_path / "l"), buckets=4), str(tmp_path / "w"), str(tmp_path / "calls")
+    broken = [f"d{i}" for i in range(0, 60, 7)]
+    inner = logged(log, broken)
+    for batches in cuts[:-1]:
+        left = [1]
+
+        def run(rows, stage_path, correlation_id):
+            if not left[0]:
+                raise RuntimeError("the run dies here")
+            left[0] -= 1
+            return inner(rows, stage_path, correlation_id)
+
+        try:
+            transfer_job(spark, docs(spark, 60), ledgers, run, option(0, work_dir=work, batches=batches))
+        except RuntimeError as error:
+            assert "dies here" in str(error)
+    totals = transfer_job(spark, docs(spark, 60), ledgers, inner, option(0, work_dir=work, batches=cuts[-1]))
+    assert totals == {"total": 60, "successes": 60 - len(broken), "failures": len(broken)}
+    state = read_state(spark, ledgers)
+    assert state.success.count() == 60 - len(broken)
+    assert rows(state.failure, "document_id", "retry_count") == sorted((d, 0) for d in broken)
+    assert state.details.count() == len(broken)
+    called = sorted(name.split("-")[0] for name in os.listdir(log))
+    assert called == sorted(f"d{i}" for i in range(60))  # finished batches were not called again
+
+
+def test_null_keys_over_changed_cuts(spark, tmp_path):
+    ledgers = Ledgers.at(str(tmp_path / "l"), buckets=4)
+    some = docs(spark, 20).union(manifest(spark, ("a", None), (None, "x"), (None, None)))
+    with pytest.raises(RuntimeError):
+        transfer_job(spark, some, ledgers, dying(), option(0, work_dir=str(tmp_path / "w"), batches=4))
+    assert transfer_job(spark, some, ledgers, service(), option(0, work_dir=str(tmp_path / "w")))["total"] == 23
+
+
+def test_the_worklist_of_a_run_is_fixed(spark, tmp_path):
+    """What becomes due while a run is down waits for the next run."""
+    ledgers, work = Ledgers.at(str(tmp_path / "l"), buckets=4), str(tmp_path / "w")
+    with pytest.raises(RuntimeError):
+        transfer_job(spark, docs(spark, 40), ledgers, dying(["d3"]), option(0, work_dir=work, batches=4))
+    assert transfer_job(spark, docs(spark, 50), ledgers, service(["d3"]), option(0, work_dir=work, batches=2))["total"] == 40
+    assert transfer_job(spark, docs(spark, 50), ledgers, service(), option(1, work_dir=work))["total"] == 11
+
+
+# --- source-counted runs ------------------------------------------------------------------------
+
+@pytest.mark.parametrize("history", [False, True])
+def test_five_attempts_in_source_counted_runs(spark, tmp_path, history):
+    ledgers = Ledgers.at(str(tmp_path), buckets=2, history=history)
+    tried = [transfer_job(spark, docs(spark, 2), ledgers, service(["d0"]), option(i, policy=SOURCE_COUNTED))["total"]
+             for i in range(7)]
+    assert tried == [2] + [1] * 4 + [0, 0]
+    assert rows(read_state(spark, ledgers).failure, "document_id", "retry_count") == [("d0", 5)]
+    assert read_ledger(spark, ledgers.failure).count() == (5 if history else 1)
+
+
+@pytest.mark.parametrize("history", [False, True])
+def test_a_success_ends_source_counted_retries(spark, tmp_path, history):
+    ledgers = Ledgers.at(str(tmp_path / "l"), buckets=2, history=history)
+    for i, broken in enumerate((["d0", "d1"], ["d0"], ["d0"])):
+        same = option(i, policy=SOURCE_COUNTED, work_dir=str(tmp_path / "w"))
+        transfer_job(spark, docs(spark, 3), ledgers, service(broken), same)
+        before = rows(tagged_ledgers(spark, ledgers))
+        transfer_job(spark, docs(spark, 3), ledgers, service(), same)  # committed again: nothing changes
+        assert rows(tagged_ledgers(spark, ledgers)) == before
+    state = read_state(spark, ledgers)
+    assert rows(state.failure, "document_id", "retry_count", "reprocess_success", "latest_correlation_id") == [
+        ("d0", 3, 0, "run-2" if history else "run-0"), ("d1", 1, 1, "run-1" if history else "run-0")]
+    if history:
+        assert rows(read_ledger(spark, ledgers.failure), "document_id", "retry_count", "reprocess_success") == [
+            ("d0", 1, 0), ("d0", 2, 0), ("d0", 3, 0), ("d1", 1, 0), ("d1", 1, 1)]
+
+
+def test_latest_failures_against_plain_reduction(spark):
+    import random
+    rng = random.Random(2)
+    some = [("a", f"d{rng.randrange(6)}", rng.randrange(4), rng.randrange(2)) for _ in range(60)]
+    table = reduce(DataFrame.unionAll, [
+        failure(spark, row, at=datetime(2024, 1, 1 + rng.randrange(5))) for row in some])
+    best = {}
+    for row in table.collect():
+        order = (row.date_updated, row.reprocess_success, row.retry_count)
+        if row.document_id not in best or order > best[row.document_id][0]:
+            best[row.document_id] = order, (row.document_id, row.retry_count, row.reprocess_success)
+    assert rows(latest_failures(table), "document_id", "retry_count", "reprocess_success") == sorted(b for _, b in best.values())
+    loose = failure(spark, (None, "x", 1, 0), (None, "x", 2, 0))
+    assert latest_failures(loose).count() == 2
+
+
+def test_counting_cannot_be_mixed(spark, tmp_path):
+    ledgers = Ledgers.at(str(tmp_path / "l"), buckets=2)
+    transfer_job(spark, docs(spark, 1), ledgers, service(["d0"]), option(0))
+    with pytest.raises(ValueError, match="counted_by_target"):
+        transfer_job(spark, docs(spark, 1), ledgers, service(), option(1, policy=SOURCE_COUNTED))
+    with pytest.raises(ValueError, match="history"):
+        transfer_job(spark, docs(spark, 1), Ledgers.at(str(tmp_path / "h"), 2, history=True), service(), option(1))
+    with pytest.raises(ValueError, match="inclusive"):
+        RetryPolicy(5, inclusive=True, counted="source")
+    with pytest.raises(ValueError, match="retry_count"):
+        commit_outcomes(spark, Ledgers.at(str(tmp_path / "n"), 2), outcomes(spark, ("a", "x", 500)), counted="source")
