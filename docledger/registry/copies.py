@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from docledger.functions.status import OTHER
+from docledger.operators.dispatch import AttemptPolicy
 from docledger.plans.copying import copy_files, locate
 from docledger.registry.inputs import load, query
 from docledger.schemas import CARRIED
@@ -121,6 +123,64 @@ def overwrite_guard(spark, sf_dir):
     return again.select("document_id", "ok", "error_code", "error_message")
 
 
+class Spoiled(files.FileCopy):
+    """A copy that changes a byte of every fifth document on its way."""
+
+    def _write(self, source_fs, source, target_fs, partial):
+        size, sha = super()._write(source_fs, source, target_fs, partial)
+        number = int(source.rsplit("_", 1)[1].split(".")[0])
+        if number % 5 == 0:
+            with target_fs.open_output_stream(partial) as out:
+                out.write(b"x" * size)
+        return size, sha
+
+
+class Intruded(files.FileCopy):
+    """A copy during which somebody else makes the target of every fifth document."""
+
+    def _write(self, source_fs, source, target_fs, partial):
+        written = super()._write(source_fs, source, target_fs, partial)
+        if int(source.rsplit("_", 1)[1].split(".")[0]) % 5 == 0:
+            with target_fs.open_output_stream(partial.rsplit(".", 2)[0]) as out:
+                out.write(b"somebody else's")
+        return written
+
+
+@query("overwrite_guard_during_run", f"""{_NAMED} SELECT document_id, NOT ({_MISSING}) AS ok,
+  CAST(CASE WHEN {_MISSING} THEN 500 END AS INTEGER) AS error_code,
+  CASE WHEN {_MISSING} THEN 'Target exists' END AS error_message, CAST(1 AS INTEGER) AS attempts,
+  CASE WHEN {_MISSING} THEN sha256('somebody else''s') ELSE sha256 END AS found FROM named""")
+def overwrite_guard_during_run(spark, sf_dir):
+    """Targets made by somebody else between the look-up and the end of the copy are refused, and stay as they are."""
+    rows, root = shared_files(spark, sf_dir)
+    target = fresh_dir(spark, "copied")
+    outcomes = copy_files(rows, root, target, stage_path=fresh_dir(spark, "outcomes"), correlation_id="run-8",
+                          overwrite=False, transport=Intruded)
+    seen = files.with_digest(rows.select("document_id", "target_key"), target, "target_key")
+    return outcomes.select("document_id", "ok", "error_code", "error_message", "attempts").join(
+        seen.select("document_id", F.col("sha256").alias("found")), "document_id")
+
+
+@query("discard_bad", f"""{_NAMED} SELECT document_id, NOT ({_MISSING}) AS ok,
+  CAST(CASE WHEN {_MISSING} THEN 500 END AS INTEGER) AS error_code,
+  CASE WHEN {_MISSING} THEN 'copy failed validation: '||target_key END AS error_message,
+  CAST(CASE WHEN {_MISSING} THEN 2 ELSE 1 END AS INTEGER) AS attempts,
+  NOT ({_MISSING}) AS target_is_there, CAST(0 AS BIGINT) AS partial_files FROM named""")
+def discard_bad(spark, sf_dir):
+    """A byte of every fifth copy goes wrong on the way: the copy is deleted, and leaves nothing behind."""
+    rows, root = shared_files(spark, sf_dir)
+    target = fresh_dir(spark, "copied")
+    outcomes = copy_files(rows, root, target, stage_path=fresh_dir(spark, "outcomes"), correlation_id="run-8",
+                          transport=Spoiled, policy=AttemptPolicy(attempts=2, sleep=lambda seconds: None, other_kinds=(OTHER,)))
+    sizes = files.with_file_size(rows.select("document_id", "target_key"), target, "target_key")
+    left = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(target)
+            .select(F.regexp_extract("path", r"doc_(\d+)\.txt\..*part$", 1).alias("number")).where("number <> ''")
+            .select(F.concat(F.lit("DOC-"), "number").alias("document_id")).groupBy("document_id").count())
+    return (outcomes.select("document_id", "ok", "error_code", "error_message", "attempts")
+            .join(sizes.select("document_id", F.col("file_size").isNotNull().alias("target_is_there")), "document_id")
+            .join(left.withColumnRenamed("count", "partial_files"), "document_id", "left").fillna(0, ["partial_files"]))
+
+
 @query("overwrite_guard_same_run", f"""{_NAMED} SELECT ar_number, count(*) AS files,
   CAST(1 AS BIGINT) AS copied, count(*) - 1 AS refused FROM named GROUP BY ar_number""")
 def overwrite_guard_same_run(spark, sf_dir):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -24,6 +25,8 @@ from docledger.operators.dispatch import Reply
 
 CHUNK = 1024 * 1024
 
+_REFUSED = Reply(500, '{"message":"Target exists"}', final=True)
+
 # File content held in a task before it is handed on.
 FLUSH = 32 * 1024 * 1024
 
@@ -51,6 +54,12 @@ def chunks(fs: pafs.FileSystem, path: str, size: int = CHUNK) -> Iterator[bytes]
             yield block
 
 
+def _write_all(fs: pafs.FileSystem, path: str, data: bytes) -> None:
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(path) as out:
+        out.write(data)
+
+
 def digest(fs: pafs.FileSystem, path: str, size: int = CHUNK) -> tuple[int, str]:
     """Size and SHA-256 of a file, read in chunks."""
     total, sha = 0, hashlib.sha256()
@@ -60,17 +69,55 @@ def digest(fs: pafs.FileSystem, path: str, size: int = CHUNK) -> tuple[int, str]
     return total, sha.hexdigest()
 
 
+def publish(fs: pafs.FileSystem, written: str, target: str) -> None:
+    """Give a finished file its name unless that name is taken, in one step of the file system.
+
+    Raises FileExistsError where it is: whoever comes first keeps the name, whatever was seen before. Mounted
+    file systems make a hard link, HDFS renames without replacing. Other file systems offer no such step through
+    ``pyarrow.fs``; ``PUBLISHERS`` takes one for them, such as a conditional put.
+    """
+    kind = fs.type_name
+    if kind not in PUBLISHERS:
+        raise NotImplementedError(f"no exclusive create for file systems of type {kind}: add one to PUBLISHERS")
+    PUBLISHERS[kind](fs, written, target)
+
+
+def _by_link(fs: pafs.FileSystem, written: str, target: str) -> None:
+    os.link(written, target)
+    os.unlink(written)
+
+
+def _by_rename(fs: pafs.FileSystem, written: str, target: str) -> None:
+    """HDFS refuses a rename to a name that is there, which is the check; the look-up only tells why."""
+    try:
+        fs.move(written, target)
+    except OSError as error:
+        if fs.get_file_info(target).type != pafs.FileType.NotFound:
+            raise FileExistsError(f"Target exists: {target}") from error
+        raise
+
+
+#: How a finished file becomes its target only if there is none, by type of file system.
+PUBLISHERS: dict[str, Callable[[pafs.FileSystem, str, str], None]] = {"local": _by_link, "hdfs": _by_rename}
+
+
 @dataclass(frozen=True)
 class FileCopy:
     """Transport that copies ``row['source_file']`` to ``row['target_key']`` and checks the copy.
 
     The copy is written under a temporary name, read back, compared by size and hash, and only
     then renamed; a bad copy is deleted. Sending a row twice therefore gives the same file.
+
+    With ``claims``, a folder below the target root that belongs to the run, a target is never replaced: one
+    that is there, or that somebody makes while the copy is under way, is refused with code 500, ``Target
+    exists``. Before a copy gets its name, a claim of its row is written there with the digest; a task
+    that runs again, because its executor was lost or its run died, knows its own copy by claim and content.
     """
 
     source_root: str
     target_root: str
     chunk: int = CHUNK
+    claims: str | None = None
 
     @contextmanager
     def open_client(self) -> Iterator[tuple]:
@@ -83,20 +130,59 @@ class FileCopy:
         target = below(target_base, row["target_key"])
         if source_fs.get_file_info(source).type != pafs.FileType.File:
             raise FileNotFoundError(f"File not found: {row['full_path']}")
+        claim = self._claim_of(target_base, row) if self.claims else None
+        if claim and (known := self._standing(target_fs, target, row, self._claimed(target_fs, claim))):
+            return known
         partial = f"{target}.{uuid.uuid4().hex}.part"
         target_fs.create_dir(target.rpartition("/")[0], recursive=True)
         try:
             size, sha = self._write(source_fs, source, target_fs, partial)
             if digest(target_fs, partial, self.chunk) != (size, sha):
                 raise RuntimeError(f"copy failed validation: {row['target_key']}")
-            target_fs.move(partial, target)
+            if claim is None:
+                target_fs.move(partial, target)
+                return self._copied(row, size, sha)
+            _write_all(target_fs, claim, json.dumps([size, sha]).encode())
+            try:
+                publish(target_fs, partial, target)
+            except FileExistsError:
+                target_fs.delete_file(partial)
+                return self._standing(target_fs, target, row, (size, sha)) or _REFUSED
+            return self._copied(row, size, sha)
         except BaseException:
             if target_fs.get_file_info(partial).type != pafs.FileType.NotFound:
                 target_fs.delete_file(partial)
             raise
+
+    def _copied(self, row: dict, size: int, sha: str) -> Reply:
         return Reply(200, json.dumps({"status": "Success", "azure_blob_path": row["target_key"],
                                       "total_bytes": size, "sha256": sha}))
 
+    def _claim_of(self, base: str, row: dict) -> str:
+        """Where this row's claim is; a thousand folders or so share them."""
+        named = json.dumps([row.get(c) for c in ("auth_request_id", "document_id", "full_path", "target_key")])
+        name = hashlib.sha256(named.encode()).hexdigest()
+        return f"{below(base, self.claims)}/{name[:3]}/{name}"
+
+    def _claimed(self, fs: pafs.FileSystem, claim: str) -> tuple[int, str] | None:
+        """Size and hash that an earlier attempt of this row was about to publish."""
+        if fs.get_file_info(claim).type != pafs.FileType.File:
+            return None
+        try:
+            size, sha = json.loads(b"".join(chunks(fs, claim)))
+        except ValueError:  # cut off in writing, so nothing was published after it
+            return None
+        return size, sha
+
+    def _standing(self, fs: pafs.FileSystem, target: str, row: dict,
+                  claimed: tuple[int, str] | None) -> Reply | None:
+        """What is to be said of a target that is there: this row's own copy, or a foreign file; None if there is none."""
+        if fs.get_file_info(target).type == pafs.FileType.NotFound:
+            return None
+        if claimed is not None and digest(fs, target, self.chunk) == claimed:
+            return self._copied(row, *claimed)
+        return _REFUSED
+
     def _write(self, source_fs: pafs.FileSystem, source: str,
                target_fs: pafs.FileSystem, partial: str) -> tuple[int, str]:
         size, sha = 0, hashlib.sha256()
@@ -213,10 +299,8 @@ def write_text_files(df: DataFrame, root: str, key: str, text: str) -> DataFrame
             names, sizes = batch.column(key).to_pylist(), []
             for name, content in zip(names, batch.column(text).to_pylist()):
                 path, data = below(base, name), (content or "").encode()
-                fs.create_dir(path.rpartition("/")[0], recursive=True)
                 partial = f"{path}.{uuid.uuid4().hex}.part"
-                with fs.open_output_stream(partial) as out:
-                    out.write(data)
+                _write_all(fs, partial, data)
                 fs.move(partial, path)
                 sizes.append(len(data))
             yield pa.RecordBatch.from_arrays(

@@ -138,3 +138,119 @@ def test_uri_roots(share):
     assert files.digest(fs, f"{base}/srv/share/in/small.pdf")[0] == 5
     fs, base = files.open_root("file:" + str(share / "shares"))
     assert files.digest(fs, f"{base}/srv/share/in/small.pdf")[0] == 5
+
+
+# --- targets that are never replaced --------------------------------------------------------
+
+def test_a_target_made_during_the_run_is_refused_and_kept(spark, share):
+    class Intruding(files.FileCopy):
+        """Somebody else makes the target while the copy is under way."""
+
+        def _write(self, source_fs, source, target_fs, partial):
+            written = super()._write(source_fs, source, target_fs, partial)
+            if "small" in partial:
+                with target_fs.open_output_stream(partial.rsplit(".", 2)[0]) as out:
+                    out.write(b"foreign")
+            return written
+
+    out = copy(spark, share, ["small", "empty"], overwrite=False, transport=Intruding)
+    assert rows(out, "document_id", "ok", "error_code", "error_message", "attempts") == [
+        ("empty", True, None, None, 1), ("small", False, 500, "Target exists", 1)]
+    target = share / "out/documents/AR1"
+    assert (target / "small.pdf").read_bytes() == b"foreign"
+    assert sorted(os.listdir(target)) == ["empty.pdf", "small.pdf"]  # and no partial file is left
+
+
+def claiming(share, run="r", kind=files.FileCopy):
+    return kind(str(share / "shares"), str(share / "out"), claims=f".claims/{run}")
+
+
+ROW = {"auth_request_id": "a", "document_id": "small", "source_file": "srv/share/in/small.pdf", "target_key": "k/small.pdf",
+       "full_path": "p"}
+
+
+def send_one(transport, row=ROW):
+    with transport.open_client() as client:
+        return transport(client, row)
+
+
+def test_a_task_that_runs_again_knows_its_own_copy(share):
+    first = send_one(claiming(share))
+    assert send_one(claiming(share)) == first and first.code == 200
+    assert send_one(claiming(share, "another run")).code == 500
+    assert send_one(claiming(share), {**ROW, "document_id": "another row"}).code == 500
+    (share / "out/k/small.pdf").write_bytes(b"changed")
+    assert send_one(claiming(share)).code == 500
+
+
+def test_a_task_that_dies_before_publishing_copies_again(share):
+    class Dying(files.FileCopy):
+        def _copied(self, row, size, sha):
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):  # after the target got its name: the outcome is lost
+        send_one(claiming(share, kind=Dying))
+    assert send_one(claiming(share)).code == 200
+    os.remove(share / "out/k/small.pdf")  # before: there is a claim but no target
+    assert send_one(claiming(share)).code == 200
+    for folder, _, names in os.walk(share / "out/.claims"):
+        for name in names:
+            open(os.path.join(folder, name), "w").close()  # the claim itself was cut off
+    assert send_one(claiming(share)).code == 500
+
+
+def test_one_of_many_at_once_publishes(share):
+    from concurrent.futures import ThreadPoolExecutor
+
+    source = share / "shares/srv/share/in"
+    for i in range(16):
+        (source / f"n{i}.pdf").write_bytes(b"%d" % i * 1000)
+    with ThreadPoolExecutor(16) as pool:
+        replies = list(pool.map(lambda i: send_one(claiming(share), {
+            **ROW, "document_id": f"n{i}", "source_file": f"srv/share/in/n{i}.pdf"}), range(16)))
+    winner = [i for i, r in enumerate(replies) if r.code == 200]
+    assert len(winner) == 1 and sum(r.code == 500 and r.final for r in replies) == 15
+    assert (share / "out/k/small.pdf").read_bytes() == b"%d" % winner[0] * 1000
+    assert os.listdir(share / "out/k") == ["small.pdf"]
+
+
+def test_file_systems_without_exclusive_create_are_refused(share):
+    from pyarrow import fs as pafs
+
+    class Other:
+        type_name = "s3"
+
+    with pytest.raises(NotImplementedError, match="PUBLISHERS"):
+        files.publish(Other(), "a", "b")
+
+    class Hdfs:
+        """Renames without replacing."""
+        type_name = "hdfs"
+
+        def move(self, written, target):
+            if os.path.exists(target):
+                raise OSError("rename failed")
+            os.rename(written, target)
+
+        def get_file_info(self, path):
+            return pafs.LocalFileSystem().get_file_info(path)
+
+    a, b = share / "a", share / "b"
+    a.write_bytes(b"1")
+    files.publish(Hdfs(), str(a), str(b))
+    a.write_bytes(b"2")
+    with pytest.raises(FileExistsError):
+        files.publish(Hdfs(), str(a), str(b))
+    with pytest.raises(OSError, match="rename failed"):
+        class Failing(Hdfs):
+            def move(self, written, target):
+                raise OSError("rename failed")
+        files.publish(Failing(), str(a), str(share / "c"))
+    assert b.read_bytes() == b"1"
+
+
+def test_a_repeated_run_with_another_cut_keeps_its_copies(spark, share):
+    """Copies of a batch whose outcomes were lost are found again under another stage."""
+    copy(spark, share, ["small", "empty"], "of=4", overwrite=False)
+    out = copy(spark, share, ["small", "empty", "large"], "of=2", overwrite=False)
+    assert rows(out, "document_id", "ok") == [("empty", True), ("large", True), ("small", True)]
