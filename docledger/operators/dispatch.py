@@ -218,8 +218,9 @@ def read_calls(calls: DataFrame, correlation_id: str, mode: str = "code",
     ``not_failed`` turns down is stored as 500; one that ``strict`` turns down keeps its code.
     """
     reply = calls.withColumn("reply", parse_reply("body"))
-    pause = F.least(F.col("retry_after"), F.lit(LONGEST_PAUSE)).cast("decimal(18,6)")
-    asked = F.col("finished_at") + F.make_dt_interval(secs=pause)
+    # ``least`` passes over a NULL, which stands for no wish.
+    pause = F.when(F.col("retry_after").isNotNull(), F.least("retry_after", F.lit(LONGEST_PAUSE)))
+    asked = F.col("finished_at") + F.make_dt_interval(secs=pause.cast("decimal(18,6)"))
     kind_code = (st.storage_error_code("kind", "failure_text") if errors == "storage"
                  else st.exception_code("kind", "code"))
     good = F.col("kind").isNull() & st.classify("code", F.col("reply.status"), mode)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docledger.functions.paths import full_path, guid_parts, two_digits
 from docledger.functions.status import cast_code
 from docledger.operators.keys import not_succeeded, pending_only
-from docledger.schemas import WORKLIST
+from docledger.schemas import KEYS, WORKLIST
 
 WORKLIST_COLUMNS = tuple(WORKLIST.fieldNames())
 
@@ -42,6 +42,19 @@ class RetryPolicy:
         return below & (reprocessed == 0)
 
 
+@dataclass(frozen=True)
+class Backoff:
+    """When a failure is due again: ``first`` seconds after it, then ``factor`` times as long each time."""
+
+    first: float = 60.0
+    factor: float = 2.0
+    longest: float = 6 * 3600.0
+
+    def due_at(self, failed_at: Column, count: Column) -> Column:
+        pause = F.least(F.lit(self.first) * F.pow(F.lit(self.factor), F.greatest(count, F.lit(0))), F.lit(self.longest))
+        return failed_at + F.make_dt_interval(secs=pause.cast("decimal(18,6)"))
+
+
 TARGET_COUNTED = RetryPolicy(5, inclusive=True)
 SOURCE_COUNTED = RetryPolicy(5, inclusive=False)
 
@@ -68,6 +81,17 @@ def retryable(failure: DataFrame, policy: RetryPolicy = TARGET_COUNTED) -> DataF
     return failure.filter(policy.eligible(F.col("retry_count"), F.col("reprocess_success")))
 
 
+def due_failures(failure: DataFrame, asked: DataFrame, now: Column, backoff: Backoff) -> DataFrame:
+    """Failures whose time has come: the pause after the last attempt is over, and also what the service asked for.
+
+    ``asked`` has at most one ``retry_at`` for a document; one from before the last attempt has passed and
+    changes nothing.
+    """
+    pause_over = backoff.due_at(F.col("date_updated"), F.col("retry_count")) <= now
+    waiting = asked.filter(F.col("retry_at") > now)
+    return failure.filter(F.coalesce(pause_over, F.lit(True))).join(waiting.select(*KEYS), list(KEYS), "left_anti")
+
+
 def with_retry_defaults(df: DataFrame) -> DataFrame:
     return df.withColumns({"retry_count": F.lit(0), "reprocess_success": F.lit(0)})
 
@@ -135,14 +159,15 @@ def worklist(manifest: DataFrame, success: DataFrame, failure: DataFrame, *,
              policy: RetryPolicy = TARGET_COUNTED, path_mode: str = "single",
              repeated_keys: bool = False, small_docs: bool = False,
              skip_succeeded_retries: bool = False,
-             retry_only_if: Column | None = None) -> DataFrame:
+             retry_only_if: Column | None = None, retries: DataFrame | None = None) -> DataFrame:
     """New documents, and failed ones with retries left.
 
     A failed document that the success ledger holds too is still retried unless
-    ``skip_succeeded_retries``. ``retry_only_if`` narrows the failures that are retried.
+    ``skip_succeeded_retries``. ``retry_only_if`` narrows the failures that are retried, ``retries`` names
+    those that may be at all (``due_failures``).
     ``repeated_keys`` and ``small_docs`` are those of ``pending_only``.
     """
-    again = retryable(failure, policy)
+    again = retryable(failure if retries is None else retries, policy)
     if retry_only_if is not None:
         again = again.filter(retry_only_if)
     again = again.select(*WORKLIST_COLUMNS)

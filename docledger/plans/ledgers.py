@@ -19,7 +19,7 @@ from docledger.operators.dispatch import split_outcomes
 from docledger.operators.keys import previously_failed
 from docledger.operators.merge import merge, rows_to_insert, src, tgt
 from docledger.operators.summary import counters
-from docledger.schemas import AUDIT, ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
+from docledger.schemas import ASKED, AUDIT, ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
 from docledger.sources.ledger import Ledger, Ledgers, read_ledger, write_version
 from docledger.sources.staging import children, file_system
 
@@ -307,6 +307,8 @@ def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,
             write_version(spark, ledgers.failure, combine(failure, succeeded, failed, small_source=small))
     else:
         _append_history(spark, ledgers.failure, succeeded, failed, buckets, small)
+    if counts["failures"] and "retry_at" in outcomes.columns:
+        _note_asked(spark, ledgers.asked, outcomes, small)
     if counts["failures"]:
         known = read_ledger(spark, ledgers.details, buckets)
         write_version(spark, ledgers.details,
@@ -327,6 +329,17 @@ def _append_history(spark: SparkSession, ledger: Ledger, succeeded: DataFrame, f
     write_version(spark, ledger, rows_to_insert(known, new, keys, small_source=small))
 
 
+def _note_asked(spark: SparkSession, ledger: Ledger, outcomes: DataFrame, small: bool) -> None:
+    """Keep when services want to be called again, the latest for each document."""
+    new = outcomes.filter("NOT ok AND retry_at IS NOT NULL").select(*ASKED.fieldNames())
+    touched = [row["bucket"] for row in new.select(ledger.bucket_of().alias("bucket")).distinct().collect()]
+    if touched:
+        later = {"retry_at": F.greatest(tgt("retry_at"), src("retry_at"))}
+        write_version(spark, ledger, merge(
+            read_ledger(spark, ledger, touched), new, KEYS, matched_set=later, insert_values=_same(ASKED),
+            unique_source=True, unique_target=True, small_source=small))
+
+
 def _changed_buckets(failure: DataFrame, succeeded: DataFrame, failed: DataFrame, ledger: Ledger,
                      small: bool) -> list[int]:
     """Buckets of new failures and of known ones that succeeded; at most ``ledger.buckets`` numbers."""

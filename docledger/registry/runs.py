@@ -2,12 +2,13 @@
 
 import uuid
 from contextlib import nullcontext
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from docledger.functions.timing import instant, iso_text
-from docledger.operators.dispatch import AttemptPolicy, Reply, dispatch
-from docledger.operators.worklist import SOURCE_COUNTED, RetryPolicy, worklist
+from docledger.operators.dispatch import AttemptPolicy, Reply, ServiceError, dispatch
+from docledger.operators.worklist import SOURCE_COUNTED, Backoff, RetryPolicy, worklist
 from docledger.plans.job import JobOptions, sending, tagged_ledgers, transfer_job
 from docledger.registry.inputs import CREATED, RUN_AT, derived, query
 from docledger.registry.ledgers import applied_sql
@@ -190,6 +191,44 @@ def transfer_stream_retries(spark, sf_dir):
     return _without_run_number(tagged_ledgers(spark, ledgers))
 
 
+_LATER = "2024-03-20 00:00:00"
+_DUE_TWICE = f"""WITH base AS ({applied_sql(_DUE)}),
+again AS (SELECT * FROM base WHERE ledger = 'failure' AND retry_count <= 5 AND reprocess_success = 0
+  AND latest_error_code <> 429)
+SELECT * FROM base WHERE ledger <> 'failure' UNION ALL BY NAME
+SELECT b.* FROM base b WHERE ledger = 'failure'
+  AND NOT EXISTS (SELECT 1 FROM again a WHERE a.document_id = b.document_id) UNION ALL BY NAME
+SELECT * REPLACE (CAST(retry_count + 1 AS INTEGER) AS retry_count, 'run-10' AS latest_correlation_id,
+  TIMESTAMP '{_LATER}' AS date_updated) FROM again UNION ALL BY NAME
+SELECT auth_request_id, document_id, 'run-10' AS correlation_id, latest_error_code AS error_code,
+  latest_error_message AS error_message, TIMESTAMP '{_LATER}' AS date_created,
+  TIMESTAMP '{_LATER}' AS date_updated, ar_number, 'details' AS ledger FROM again"""
+
+
+def asking(client, row):
+    """The service, asking for some years of peace where it answers 429."""
+    reply = answer(client, row)
+    if reply.code == 429:
+        raise ServiceError(429, reply.body, retry_after=5 * 365 * 86_400.0)
+    return reply
+
+
+@query("transfer_stream_due", _DUE_TWICE)
+def transfer_stream_due(spark, sf_dir):
+    """Three runs by the clock: all is due, nothing is, and then what no service has put off."""
+    ledgers = filled_ledgers(spark, sf_dir)
+    work = fresh_dir(spark, "stream")
+    derived(spark, sf_dir, "manifest").repartition(2).write.parquet(f"{work}/manifest")
+    send = sending(asking, policy=AttemptPolicy(hold=60, sleep=lambda seconds: None))
+    for run, now in (("run-9", RUN_AT), ("run-none", "2024-02-01 06:00:00"), ("run-10", _LATER)):
+        at = datetime.fromisoformat(now).replace(tzinfo=timezone.utc)
+        transfer_stream(spark, f"{work}/manifest", ledgers, send, run_id=run, work_dir=work, at=instant(now),
+                        backoff=Backoff(first=86_400, longest=30 * 86_400), clock=lambda at=at: at).awaitTermination()
+    return tagged_ledgers(spark, ledgers).withColumns({
+        c: F.regexp_replace(c, "^(run-[0-9]+)-([0-9]+|retry)$", "$1")
+        for c in ("correlation_id", "latest_correlation_id")})
+
+
 @query("per_batch_apply", "SELECT * FROM manifest")
 def per_batch_apply_query(spark, sf_dir):
     """A folder of files taken two at a time, each batch finished before the next."""

@@ -47,6 +47,9 @@ FAILURE = _schema(
     latest_error_code="int", date_created="timestamp", date_updated="timestamp", ar_number="string",
 )
 
+# When a service wants to be called again for a document that failed.
+ASKED = _schema(auth_request_id="string", document_id="string", retry_at="timestamp")
+
 FAILURE_DETAILS = _schema(
     auth_request_id="string", document_id="string", correlation_id="string", error_code="int",
     error_message="string", date_created="timestamp", date_updated="timestamp", ar_number="string",

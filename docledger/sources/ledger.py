@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from docledger.schemas import ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
+from docledger.schemas import ASKED, ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
 from docledger.sources.staging import children, file_system, is_complete
 
 _VERSION = re.compile(r"^v=(\d+)$")
@@ -42,11 +42,12 @@ class Ledger:
 
 @dataclass(frozen=True)
 class Ledgers:
-    """The three ledgers of a transfer job below one folder."""
+    """The three ledgers of a transfer job below one folder, and what services asked for."""
 
     success: Ledger
     failure: Ledger
     details: Ledger
+    asked: Ledger
 
     @staticmethod
     def at(root: str, buckets: int = 32, history: bool = False) -> "Ledgers":
@@ -55,7 +56,8 @@ class Ledgers:
         return Ledgers(
             Ledger(f"{root}/success", SUCCESS, KEYS, False, buckets),
             Ledger(f"{root}/failure", FAILURE, KEYS, not history, buckets),
-            Ledger(f"{root}/failure_details", FAILURE_DETAILS, ATTEMPT_KEYS, False, buckets))
+            Ledger(f"{root}/failure_details", FAILURE_DETAILS, ATTEMPT_KEYS, False, buckets),
+            Ledger(f"{root}/asked", ASKED, KEYS, True, buckets))
 
 
 def _complete(spark: SparkSession, ledger: Ledger) -> dict[int, str]:

@@ -254,3 +254,22 @@ def test_threads_share_the_limit():
     for t in threads:
         t.join()
     assert max(at) - min(at) >= 0.17
+
+
+def test_what_a_service_asks_for_is_recorded(spark, tmp_path):
+    def send(client, row):
+        if row["document_id"] == "ok":
+            return Reply(200, "{}")
+        raise ServiceError(429, "busy", retry_after={"none": None, "soon": 0.5, "late": 90.0, "never": 1e12}[row["document_id"]])
+
+    out = run(spark, tmp_path, send, ["ok", "none", "soon", "late", "never"],
+              policy=AttemptPolicy(attempts=2, first=0.0, hold=60, sleep=lambda seconds: None))
+    got = {r.document_id: ((r.retry_at - r.finished_at).total_seconds() if r.retry_at else None, r.attempts, r.retry_count)
+           for r in out.collect()}
+    assert got == {"ok": (None, 1, 0), "none": (None, 2, 0), "soon": (0.5, 2, 0), "late": (90.0, 1, 0),
+                   "never": (10 * 365 * 86400.0, 1, 0)}
+
+
+def test_a_final_reply_is_not_asked_again(spark, tmp_path):
+    out = run(spark, tmp_path, lambda client, row: Reply(500, '{"message":"no"}', final=True), ["x"])
+    assert rows(out, "attempts", "error_code", "error_message") == [(1, 500, "no")]

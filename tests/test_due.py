@@ -1,0 +1,172 @@
+"""Retries by due time: pauses that hold no task, and queries that never end."""
+
+import glob
+import os
+import time
+import uuid
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from docledger.functions.timing import instant
+from docledger.operators.dispatch import AttemptPolicy, Reply, ServiceError
+from docledger.operators.worklist import Backoff, due_failures, retryable
+from docledger.plans.job import sending
+from docledger.plans.ledgers import commit_outcomes, read_state
+from docledger.schemas import ASKED, CARRIED, OUTCOME
+from docledger.sources.ledger import Ledgers, read_ledger
+from docledger.streaming.microbatch import retry_due, transfer_stream
+from tests.helpers import failure, manifest, outcomes, rows
+
+DAY = datetime(2024, 1, 1)
+
+
+def calls(folder, doc):
+    return len(glob.glob(f"{folder}/{doc}-*"))
+
+
+def busy(folder, refusals, ask=None):
+    """A service that answers 429 to a document's first calls, as many as ``refusals`` says."""
+    os.makedirs(folder, exist_ok=True)
+
+    def send(client, row):
+        doc = row["document_id"]
+        before = len([n for n in os.listdir(folder) if n.startswith(f"{doc}-")])
+        open(f"{folder}/{doc}-{uuid.uuid4().hex}", "w").close()
+        if before < refusals.get(doc, 0):
+            raise ServiceError(429, '{"message":"busy"}', retry_after=ask)
+        return Reply(200, '{"azure_blob_path":"t/%s"}' % doc)
+
+    def never(seconds):
+        raise AssertionError("a task waited")
+    return sending(send, policy=AttemptPolicy(attempts=3 if ask else 1, hold=60, sleep=never))
+
+
+def test_due_at(spark):
+    back = Backoff(first=60, factor=2, longest=600)
+    table = failure(spark, *[("a", f"d{n}", n, 0) for n in range(6)], at=DAY)
+    asked = spark.createDataFrame([("a", "d0", DAY + timedelta(hours=5)), ("a", "d1", DAY - timedelta(hours=1))], ASKED)
+
+    def due(seconds):
+        return [r[0] for r in rows(due_failures(table, asked, F.lit(DAY + timedelta(seconds=seconds)), back), "document_id")]
+    assert due(59) == []
+    assert due(60) == []  # d0's time has come, but its service asked for more
+    assert due(120) == ["d1"]
+    assert due(599) == ["d1", "d2", "d3"]
+    assert due(600) == ["d1", "d2", "d3", "d4", "d5"]
+    assert due(5 * 3600) == ["d0", "d1", "d2", "d3", "d4", "d5"]
+
+
+def test_due_with_nulls(spark):
+    table = failure(spark, (None, "x", 0, 0), ("a", "y", 0, 0), at=DAY).withColumn(
+        "date_updated", F.when(F.col("document_id") == "x", F.col("date_updated")))
+    none = spark.createDataFrame([], ASKED)
+    found = due_failures(retryable(table), none, F.lit(DAY), Backoff())
+    assert rows(found, "document_id") == [("y",)]  # a failure without a date is due
+
+
+def test_what_a_service_asks_for_is_kept(spark, tmp_path):
+    ledgers = Ledgers.at(str(tmp_path / "l"), buckets=2)
+
+    def fail(at, *asked):
+        part = outcomes(spark, *[("a", doc, 429) for doc, _ in asked], run=f"run-{at}")
+        times = dict(asked)
+        return spark.createDataFrame([tuple(r) + (0, times[r.document_id]) for r in part.collect()],
+                                     OUTCOME.fields and type(OUTCOME)(OUTCOME.fields + CARRIED.fields))
+    for _ in range(2):  # committed twice: nothing is added
+        commit_outcomes(spark, ledgers, fail(0, ("x", DAY), ("y", None), ("z", DAY)))
+    commit_outcomes(spark, ledgers, fail(1, ("x", DAY + timedelta(1)), ("z", DAY - timedelta(1))))
+    assert rows(read_ledger(spark, ledgers.asked), "document_id", "retry_at") == [("x", DAY + timedelta(1)), ("z", DAY)]
+
+
+def test_a_long_pause_holds_no_task(spark, tmp_path):
+    folder, ledgers = str(tmp_path / "calls"), Ledgers.at(str(tmp_path / "l"), buckets=2)
+    manifest(spark, ("a", "d0"), ("a", "d1")).write.parquet(str(tmp_path / "in"))
+    send, now = busy(folder, {"d1": 1}, ask=7200.0), [datetime.now(timezone.utc)]
+    def run(name):
+        transfer_stream(spark, str(tmp_path / "in"), ledgers, send, run_id=name, work_dir=str(tmp_path / "w"),
+                        backoff=Backoff(first=1), clock=lambda: now[0]).awaitTermination()
+    run("one")
+    assert (calls(folder, "d0"), calls(folder, "d1")) == (1, 1)  # not asked again within the task
+    now[0] += timedelta(hours=1)
+    run("two")
+    assert calls(folder, "d1") == 1
+    now[0] += timedelta(hours=2)
+    run("three")
+    assert calls(folder, "d1") == 2
+    state = read_state(spark, ledgers)
+    assert rows(state.success, "document_id") == [("d0",), ("d1",)]
+    assert rows(state.failure, "document_id", "retry_count", "reprocess_success") == [("d1", 0, 1)]
+
+
+def wait_for(condition, seconds=90):
+    end = time.time() + seconds
+    while not condition():
+        assert time.time() < end, "nothing happened"
+        time.sleep(0.2)
+
+
+def test_an_endless_query_retries_once_due(spark, tmp_path):
+    folder, ledgers = str(tmp_path / "calls"), Ledgers.at(str(tmp_path / "l"), buckets=2)
+    manifest(spark, ("a", "d0"), ("a", "d1")).write.parquet(str(tmp_path / "in"))
+    now, work = [datetime.now(timezone.utc)], str(tmp_path / "w")
+    query = transfer_stream(spark, str(tmp_path / "in"), ledgers, busy(folder, {"d1": 2}), run_id="endless", work_dir=work,
+                            every="300 milliseconds", backoff=Backoff(first=3600, factor=2), clock=lambda: now[0])
+
+    def ticks(n):
+        """Let some more batches end."""
+        last = query.lastProgress
+        begun = last["batchId"] if last else -1
+        wait_for(lambda: query.exception() is not None or (query.lastProgress and query.lastProgress["batchId"] >= begun + n))
+        assert query.exception() is None
+
+    try:
+        wait_for(lambda: calls(folder, "d1") == 1 and calls(folder, "d0") == 1)
+        ticks(3)
+        assert calls(folder, "d1") == 1  # nothing is due
+        now[0] += timedelta(minutes=80)
+        wait_for(lambda: calls(folder, "d1") == 2)  # without any new file
+        ticks(3)
+        assert calls(folder, "d1") == 2  # the pause has doubled: two hours
+        now[0] += timedelta(minutes=20)
+        ticks(3)
+        assert calls(folder, "d1") == 2
+        manifest(spark, ("a", "d2")).write.mode("append").parquet(str(tmp_path / "in"))
+        wait_for(lambda: calls(folder, "d2") == 1)
+        now[0] += timedelta(hours=3)
+        wait_for(lambda: calls(folder, "d1") == 3)
+        ticks(3)
+        assert (calls(folder, "d0"), calls(folder, "d1"), calls(folder, "d2")) == (1, 3, 1)
+    finally:
+        query.stop()
+    state = read_state(spark, ledgers)
+    assert rows(state.success, "document_id") == [("d0",), ("d1",), ("d2",)]
+    assert rows(state.failure, "document_id", "retry_count", "reprocess_success") == [("d1", 1, 1)]
+    # Ticks that found nothing left nothing behind.
+    staged = glob.glob(f"{work}/run=endless/outcomes/batch=*")
+    assert len(staged) <= 4
+
+
+def test_retry_due_without_backoff_takes_all(spark, tmp_path):
+    folder, ledgers = str(tmp_path / "calls"), Ledgers.at(str(tmp_path / "l"), buckets=2)
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "x", 500)))
+    options = dict(work_dir=str(tmp_path / "w"), at=instant("2024-02-01 00:00:00"))
+    later = Backoff(first=10 * 365 * 86400, longest=10 * 365 * 86400)
+    assert retry_due(spark, ledgers, busy(folder, {}), run_id="a", backoff=later, **options)["total"] == 0
+    assert retry_due(spark, ledgers, busy(folder, {}), run_id="b", **options)["total"] == 1
+
+
+@pytest.mark.parametrize("kind", ["source"])
+def test_due_times_in_source_counted_streams(spark, tmp_path, kind):
+    from docledger.operators.worklist import SOURCE_COUNTED
+
+    folder = str(tmp_path / "calls")
+    manifest(spark, ("a", "d0")).write.parquet(str(tmp_path / "in"))
+    ledgers, now = Ledgers.at(str(tmp_path / "l"), buckets=2, history=True), [datetime.now(timezone.utc)]
+    for run in range(4):
+        transfer_stream(spark, str(tmp_path / "in"), ledgers, busy(folder, {"d0": 2}), run_id=f"r{run}", policy=SOURCE_COUNTED,
+                        work_dir=str(tmp_path / "w"), backoff=Backoff(first=60), clock=lambda: now[0]).awaitTermination()
+        now[0] += timedelta(hours=12)
+    assert calls(folder, "d0") == 3
+    assert rows(read_ledger(spark, ledgers.failure), "retry_count", "reprocess_success") == [(1, 0), (2, 0), (2, 1)]
