@@ -6,10 +6,12 @@ NULL never equals NULL in a join here, as in SQL: a row with a NULL key matches
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from docledger.operators.bloom import maybe_known
 from docledger.schemas import KEYS
 
 
@@ -55,19 +57,48 @@ def collapse_copies(known: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return salted.distinct().select(*keys)
 
 
+def _without_keys_among(df: DataFrame, known: DataFrame, held: str) -> DataFrame:
+    """``without_keys`` for rows that a filter on ``held`` has left, and after that filter.
+
+    The optimiser moves an anti-join below the join that a filter needs, so that all rows would be
+    shuffled for it. A condition that needs the filter's value keeps it above.
+    """
+    on = F.col(f"d.{held}")
+    for key in KEYS:
+        on = on & (F.col(f"d.{key}") == F.col(f"k.{key}"))
+    return df.alias("d").join(known.select(*KEYS).alias("k"), on, "left_anti")
+
+
+@dataclass(frozen=True)
+class Seen:
+    """A Bloom filter over the keys of both ledgers: what it does not hold, neither ledger does."""
+
+    words: DataFrame
+    blocks: int
+
+
 def pending_only(docs: DataFrame, success: DataFrame, failure: DataFrame, *,
-                 repeated_keys: bool = False, small_docs: bool = False) -> DataFrame:
+                 repeated_keys: bool = False, small_docs: bool = False, seen: Seen | None = None) -> DataFrame:
     """Documents in neither ledger, by one anti-join against both.
 
     One join instead of two: ``docs`` is shuffled and sorted once, and both inputs of the join
     are plain shuffles. Set ``repeated_keys`` for ledgers kept as history, where a key may
     have any number of rows, and ``small_docs`` for documents measured to be few: the ledgers are
     then reduced to their keys in place and not shuffled.
+
+    With ``seen``, documents that the filter does not hold go around the join: they are neither shuffled nor
+    sorted. The others, known ones and few more, are joined exactly. ``docs`` is read twice for that, which is for
+    documents that come from files.
     """
     known = success.select(*KEYS).unionAll(failure.select(*KEYS))
     if small_docs:
         known = shared_keys(known, docs)
-    return without_keys(docs, collapse_copies(known) if repeated_keys else known)
+    known = collapse_copies(known) if repeated_keys else known
+    if seen is None:
+        return without_keys(docs, known)
+    marked = maybe_known(docs, seen.words, seen.blocks)
+    rest = _without_keys_among(marked.filter("_maybe"), known, "_maybe")
+    return marked.filter("NOT _maybe").unionByName(rest).drop("_maybe")
 
 
 def previously_failed(rows: DataFrame, failure: DataFrame) -> DataFrame:

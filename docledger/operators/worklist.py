@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docledger.functions.paths import full_path, guid_parts, two_digits
 from docledger.functions.status import cast_code
-from docledger.operators.keys import not_succeeded, pending_only
+from docledger.operators.keys import Seen, not_succeeded, pending_only
 from docledger.schemas import KEYS, WORKLIST
 
 WORKLIST_COLUMNS = tuple(WORKLIST.fieldNames())
@@ -146,12 +146,12 @@ def multiply_rows(df: DataFrame, n: int = 100,
 
 def new_documents(manifest: DataFrame, success: DataFrame, failure: DataFrame, *,
                   path_mode: str = "single", repeated_keys: bool = False,
-                  small_docs: bool = False) -> DataFrame:
+                  small_docs: bool = False, seen: Seen | None = None) -> DataFrame:
     """Manifest rows with a root folder that neither ledger knows, at zero retries."""
     docs = with_full_path(has_root(manifest), path_mode).select(
         "auth_request_id", "document_id", "ar_number", "full_path")
     fresh = with_retry_defaults(pending_only(docs, success, failure, repeated_keys=repeated_keys,
-                                             small_docs=small_docs))
+                                             small_docs=small_docs, seen=seen))
     return fresh.select(*WORKLIST_COLUMNS)
 
 
@@ -159,13 +159,14 @@ def worklist(manifest: DataFrame, success: DataFrame, failure: DataFrame, *,
              policy: RetryPolicy = TARGET_COUNTED, path_mode: str = "single",
              repeated_keys: bool = False, small_docs: bool = False,
              skip_succeeded_retries: bool = False,
-             retry_only_if: Column | None = None, retries: DataFrame | None = None) -> DataFrame:
+             retry_only_if: Column | None = None, retries: DataFrame | None = None,
+             seen: Seen | None = None) -> DataFrame:
     """New documents, and failed ones with retries left.
 
     A failed document that the success ledger holds too is still retried unless
     ``skip_succeeded_retries``. ``retry_only_if`` narrows the failures that are retried, ``retries`` names
     those that may be at all (``due_failures``).
-    ``repeated_keys`` and ``small_docs`` are those of ``pending_only``.
+    ``repeated_keys``, ``small_docs`` and ``seen`` are those of ``pending_only``.
     """
     again = retryable(failure if retries is None else retries, policy)
     if retry_only_if is not None:
@@ -174,5 +175,5 @@ def worklist(manifest: DataFrame, success: DataFrame, failure: DataFrame, *,
     if skip_succeeded_retries:
         again = not_succeeded(again, success)
     fresh = new_documents(manifest, success, failure, path_mode=path_mode,
-                          repeated_keys=repeated_keys, small_docs=small_docs)
+                          repeated_keys=repeated_keys, small_docs=small_docs, seen=seen)
     return fresh.unionByName(again)

@@ -17,7 +17,7 @@ from docledger.operators.worklist import TARGET_COUNTED, RetryPolicy, multiply_r
 from docledger.plans.ledgers import claim_counting, commit_outcomes, read_failures
 from docledger.schemas import CARRIED, KEYS, OUTCOME, WORKLIST
 from docledger.session import fresh_dir
-from docledger.sources.ledger import Ledgers, read_ledger
+from docledger.sources.ledger import Ledgers, read_ledger, read_seen
 from docledger.sources.staging import children, is_complete
 from docledger.sources.tables import ensure_tables
 
@@ -124,7 +124,8 @@ def _staged_worklist(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers,
         else:
             due = worklist(manifest, read_ledger(spark, ledgers.success), read_failures(spark, ledgers),
                            policy=options.policy, path_mode=options.path_mode,
-                           skip_succeeded_retries=options.skip_succeeded_retries)
+                           skip_succeeded_retries=options.skip_succeeded_retries,
+                           seen=read_seen(spark, ledgers.success, ledgers.failure))
         batch = (ledgers.failure.bucket_of() % options.batches).alias("batch")
         cut = due.select("*", batch)
         if options.batches > 1:

@@ -16,7 +16,7 @@ from docledger.registry.sets import WORKLIST_SQL
 from docledger.schemas import CARRIED, MANIFEST, OUTCOME
 from docledger.session import fresh_dir
 from docledger.sources import tables
-from docledger.sources.ledger import Ledgers, write_version
+from docledger.sources.ledger import Ledgers, read_ledger, read_seen, write_version
 from docledger.streaming.microbatch import per_batch_apply, transfer_stream
 
 NO_WAIT = AttemptPolicy(sleep=lambda seconds: None)
@@ -68,9 +68,9 @@ def dispatch_concurrent(spark, sf_dir):
     return outcomes.select("document_id", "ok", "error_code", "target_path", "execution_time_ms")
 
 
-def filled_ledgers(spark, sf_dir, buckets=4, history=False):
+def filled_ledgers(spark, sf_dir, buckets=4, **kind):
     """Ledgers on disk as earlier runs left them."""
-    ledgers = Ledgers.at(fresh_dir(spark, "ledgers"), buckets, history)
+    ledgers = Ledgers.at(fresh_dir(spark, "ledgers"), buckets, **kind)
     for ledger, name in ((ledgers.success, "success"), (ledgers.failure, "failure"),
                          (ledgers.details, "details")):
         write_version(spark, ledger, derived(spark, sf_dir, name))
@@ -85,6 +85,14 @@ def transfer_job_query(spark, sf_dir):
     return tagged_ledgers(spark, ledgers)
 
 
+@query("worklist_filtered", WORKLIST_SQL)
+def worklist_filtered(spark, sf_dir):
+    """Documents that a Bloom filter over both ledgers does not hold go around the join."""
+    ledgers = filled_ledgers(spark, sf_dir, filter_keys=20_000)
+    return worklist(derived(spark, sf_dir, "manifest"), read_ledger(spark, ledgers.success),
+                    read_ledger(spark, ledgers.failure), seen=read_seen(spark, ledgers.success, ledgers.failure))
+
+
 @query("transfer_job_batches", applied_sql(_DUE))
 def transfer_job_batches(spark, sf_dir):
     """The same run in two commits, each over half of the ledgers' buckets."""

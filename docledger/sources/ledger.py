@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from docledger.operators.bloom import ROWS, blocks_for, dense, filter_rows
+from docledger.operators.keys import Seen
 from docledger.schemas import ASKED, ATTEMPT_KEYS, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
 from docledger.sources.staging import children, file_system, is_complete
 
@@ -34,6 +36,7 @@ class Ledger:
     keys: tuple[str, ...]
     updatable: bool
     buckets: int = 32
+    blocks: int = 0
 
     def bucket_of(self) -> Column:
         """Bucket by document, so that all ledgers of a run are cut alike."""
@@ -50,12 +53,16 @@ class Ledgers:
     asked: Ledger
 
     @staticmethod
-    def at(root: str, buckets: int = 32, history: bool = False) -> "Ledgers":
-        """``history`` keeps a row for each failed attempt instead of one for each document."""
-        root = root.rstrip("/")
+    def at(root: str, buckets: int = 32, history: bool = False, filter_keys: int = 0) -> "Ledgers":
+        """``history`` keeps a row for each failed attempt instead of one for each document.
+
+        ``filter_keys`` keeps a Bloom filter beside each version of the success and failure ledgers, sized
+        for that many documents in all; it cannot change later.
+        """
+        root, blocks = root.rstrip("/"), blocks_for(filter_keys) if filter_keys else 0
         return Ledgers(
-            Ledger(f"{root}/success", SUCCESS, KEYS, False, buckets),
-            Ledger(f"{root}/failure", FAILURE, KEYS, not history, buckets),
+            Ledger(f"{root}/success", SUCCESS, KEYS, False, buckets, blocks),
+            Ledger(f"{root}/failure", FAILURE, KEYS, not history, buckets, blocks),
             Ledger(f"{root}/failure_details", FAILURE_DETAILS, ATTEMPT_KEYS, False, buckets),
             Ledger(f"{root}/asked", ASKED, KEYS, True, buckets))
 
@@ -137,4 +144,26 @@ def write_version(spark: SparkSession, ledger: Ledger, rows: DataFrame) -> int:
     fs.mkdirs(place.getParent())
     if not fs.rename(file_system(spark, written)[1], place):
         raise RuntimeError(f"{written} could not become {target}")
+    if ledger.blocks:
+        keys = spark.read.schema(ledger.schema).parquet(target).select(*KEYS)
+        filter_rows(keys, ledger.blocks).coalesce(1).write.mode("overwrite").parquet(_filter(ledger, version))
     return version
+
+
+def _filter(ledger: Ledger, version: int) -> str:
+    return f"{ledger.path}/filter/of={ledger.blocks}/v={version}"
+
+
+def read_seen(spark: SparkSession, *ledgers: Ledger) -> Seen | None:
+    """The filter over the keys of some ledgers; None where a version has none, so that a join must decide."""
+    paths, blocks = [], {ledger.blocks for ledger in ledgers}
+    if blocks == {0} or len(blocks) > 1:
+        return None
+    for ledger in ledgers:
+        for version in versions(spark, ledger):
+            path = _filter(ledger, version)
+            if not is_complete(spark, path):
+                return None
+            paths.append(path)
+    rows = spark.read.schema(ROWS).parquet(*paths) if paths else spark.createDataFrame([], ROWS)
+    return Seen(dense(rows), blocks.pop())
