@@ -87,6 +87,38 @@ def verify_copy(spark, sf_dir):
     return files.verify_copy(rows.select("source_file", "target_key"), root, target)
 
 
+_HEX = "hex(encode(text))"
+_STRETCHES = f"""{_NAMED}, stretches AS (SELECT document_id, source_file, target_key, text, part, part * 500 AS start,
+  least(500, bytes - part * 500) AS bytes, unhex(substr({_HEX}, part * 1000 + 1, 1000)) AS content
+  FROM named, unnest(range(0, greatest(1, (bytes + 499) // 500))) AS u(part))"""
+
+
+@query("tree_digest", f"""{_STRETCHES} SELECT document_id, CAST(sum(bytes) AS BIGINT) AS length,
+  sha256(string_agg(sha256(content), '' ORDER BY part)) AS tree_sha256 FROM stretches GROUP BY document_id""")
+def tree_digest(spark, sf_dir):
+    """Files read in stretches of 500 bytes by different tasks."""
+    rows, root = shared_files(spark, sf_dir)
+    return files.with_tree_digest(rows.select("document_id", "source_file"), root, "source_file", size=500).drop("source_file")
+
+
+@query("damaged_ranges", f"""{_STRETCHES} SELECT document_id, CAST(start AS BIGINT) AS start, CAST(bytes AS BIGINT) AS bytes,
+  'content' AS problem FROM stretches WHERE CAST(substr(document_id, 5) AS BIGINT) % 7 = 0
+  AND octet_length(encode(right(text, 1))) = 1 AND part = (
+    SELECT max(s.part) FROM stretches s WHERE s.document_id = stretches.document_id)
+UNION ALL SELECT document_id, NULL, NULL, 'target missing' FROM named WHERE doc_id % 7 = 1""")
+def damaged_ranges(spark, sf_dir):
+    """The last byte of every seventh copy is changed, and another seventh is gone."""
+    rows, root = shared_files(spark, sf_dir)
+    target = fresh_dir(spark, "copied")
+    changed = F.concat(F.expr("substr(text, 1, length(text) - 1)"), F.when(F.right("text", F.lit(1)) == "x", "y").otherwise("x"))
+    ends_in_a_byte = F.octet_length(F.right("text", F.lit(1))) == 1
+    content = locate(named(spark, sf_dir), "documents").where("doc_id % 7 <> 1").withColumn(
+        "text", F.when((F.col("doc_id") % 7 == 0) & ends_in_a_byte, changed).otherwise(F.col("text")))
+    files.write_text_files(content.select("target_key", "text"), target, "target_key", "text").agg(F.sum("written")).first()
+    found = files.damaged_ranges(rows.select("document_id", "source_file", "target_key"), root, target, size=500)
+    return found.select("document_id", "start", "bytes", "problem")
+
+
 _MISSING = "doc_id % 5 = 0"
 
 

@@ -27,6 +27,9 @@ CHUNK = 1024 * 1024
 
 _REFUSED = Reply(500, '{"message":"Target exists"}', final=True)
 
+#: Bytes of a large file that a task reads at once when its stretches are compared.
+RANGE = 256 * 1024 * 1024
+
 # File content held in a task before it is handed on.
 FLUSH = 32 * 1024 * 1024
 
@@ -275,6 +278,102 @@ def verify_copy(pairs: DataFrame, source_root: str, target_root: str,
         "source_sha256", "target_sha256")
 
 
+def byte_ranges(df: DataFrame, sizes: str, size: int = RANGE) -> DataFrame:
+    """A row for each stretch of ``size`` bytes of each row's file: ``part``, ``start`` and ``bytes``.
+
+    ``sizes`` names a column with the file's size. An empty file has one empty part, a missing one (NULL) none.
+    """
+    last = F.greatest(F.ceil(F.col(sizes) / F.lit(size)).cast("long") - 1, F.lit(0).cast("long"))
+    parts = df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    start = F.col("part") * size
+    return parts.withColumns({"start": start, "bytes": F.least(F.lit(size).cast("long"), F.col(sizes) - start)})
+
+
+def with_range_digest(ranges: DataFrame, root: str, column: str, name: str = "sha256") -> DataFrame:
+    """Add the SHA-256 of each stretch of bytes; NULL where the file ends before the stretch does.
+
+    Rows are read where they are: deal them out first.
+    """
+    schema = StructType(ranges.schema.fields + [StructField(name, StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = open_root(root)
+        for batch in batches:
+            found = [_range_digest(fs, base, *where) for where in zip(
+                *(batch.column(c).to_pylist() for c in (column, "start", "bytes")), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())],
+                                             names=[*batch.schema.names, name])
+
+    return ranges.mapInArrow(run, schema)
+
+
+def _range_digest(fs: pafs.FileSystem, base: str, relative: str, start: int, size: int) -> str | None:
+    try:
+        path = below(base, relative)
+    except ValueError:
+        return None
+    if fs.get_file_info(path).type != pafs.FileType.File:
+        return None
+    sha, left = hashlib.sha256(), size
+    with fs.open_input_file(path) as stream:
+        if start + size > stream.size():
+            return None
+        stream.seek(start)
+        while left and (block := stream.read(min(left, CHUNK))):
+            sha.update(block)
+            left -= len(block)
+    return None if left else sha.hexdigest()
+
+
+def _dealt(ranges: DataFrame, column: str, partitions: int | None) -> DataFrame:
+    """Stretches dealt out by file and number, so that those of one large file lie in many tasks."""
+    if partitions is None:
+        partitions = ranges.sparkSession.sparkContext.defaultParallelism
+    return ranges.repartition(partitions, column, "part")
+
+
+def with_tree_digest(df: DataFrame, root: str, column: str, size: int = RANGE,
+                     partitions: int | None = None) -> DataFrame:
+    """Add ``length`` and ``tree_sha256`` of each row's file, read by as many tasks as it has stretches.
+
+    A SHA-256 over a whole file has to be computed in order, by one task. The tree digest is the SHA-256 over the
+    digests of the file's stretches of ``size`` bytes, in order (as hex text), so that only digests meet: 64
+    characters for each stretch. Rows that name the same file share its reading; a missing file has NULLs.
+    """
+    sized = with_file_size(df.select(column).where(F.col(column).isNotNull()).distinct(), root, column, "length", partitions)
+    parts = with_range_digest(_dealt(byte_ranges(sized, "length", size), column, partitions), root, column)
+    listed = F.array_sort(F.collect_list(F.struct("part", "sha256")))
+    trees = parts.groupBy(column).agg(
+        F.first("length").alias("length"), F.count("*").alias("_parts"), F.count("sha256").alias("_read"),
+        F.sha2(F.array_join(F.transform(listed, lambda p: p["sha256"]), ""), 256).alias("tree_sha256"))
+    # A file that shrank while it was read has no digest.
+    whole = trees.select(column, "length", F.when(F.col("_parts") == F.col("_read"), F.col("tree_sha256")).alias("tree_sha256"))
+    return df.join(whole, column, "left")
+
+
+def damaged_ranges(pairs: DataFrame, source_root: str, target_root: str, size: int = RANGE,
+                   partitions: int | None = None) -> DataFrame:
+    """Where targets differ from their sources: a row for each stretch that does, with ``start`` and ``bytes``.
+
+    Like ``verify_copy``, for files too large for one task: every stretch of a file is read on both sides by
+    a task of its own, and a wrong byte is found to within ``size`` bytes. ``problem`` is ``content``; ``length``
+    for a target of another size, and then also its stretches are compared as far as both go;
+    ``source missing`` or ``target missing``, each a single row.
+    """
+    sized = with_file_size(with_file_size(pairs, source_root, "source_file", "_source", partitions),
+                           target_root, "target_key", "_target", partitions=0)
+    columns = [c for c in sized.columns if not c.startswith("_")]
+    missing = F.when(F.col("_source").isNull(), "source missing").when(F.col("_target").isNull(), "target missing")
+    uneven = F.col("_source") != F.col("_target")
+    whole = sized.withColumn("problem", F.coalesce(missing, F.when(uneven, F.lit("length")))).where("problem IS NOT NULL")
+    both = sized.where("_source IS NOT NULL AND _target IS NOT NULL").withColumn("_both", F.least("_source", "_target"))
+    parts = _dealt(byte_ranges(both, "_both", size), "source_file", partitions)
+    read = with_range_digest(with_range_digest(parts, source_root, "source_file", "_a"), target_root, "target_key", "_b")
+    wrong = read.where(~F.col("_a").eqNullSafe(F.col("_b")) | F.col("_a").isNull())
+    return wrong.select(*columns, "start", "bytes", F.lit("content").alias("problem")).unionByName(
+        whole.select(*columns, "problem"), allowMissingColumns=True)
+
+
 def source_exists(worklist: DataFrame, root: str, column: str = "source_file",
                   partitions: int | None = None) -> DataFrame:
     """Add ``missing_code``: 404 where the source file is not there."""

@@ -254,3 +254,55 @@ def test_a_repeated_run_with_another_cut_keeps_its_copies(spark, share):
     copy(spark, share, ["small", "empty"], "of=4", overwrite=False)
     out = copy(spark, share, ["small", "empty", "large"], "of=2", overwrite=False)
     assert rows(out, "document_id", "ok") == [("empty", True), ("large", True), ("small", True)]
+
+
+# --- files too large for one task -----------------------------------------------------------
+
+def tree(data, size):
+    parts = [data[i:i + size] for i in range(0, len(data), size)] or [b""]
+    return hashlib.sha256("".join(hashlib.sha256(p).hexdigest() for p in parts).encode()).hexdigest()
+
+
+def test_tree_digest(spark, share):
+    files_of = named(spark, "small", "empty", "large", "gone", "small").select("document_id", "source_file")
+    got = files.with_tree_digest(files_of, str(share / "shares"), "source_file", size=1000)
+    source = share / "shares/srv/share/in"
+    wanted = [(n, len(d), tree(d, 1000)) for n in ("small", "small", "empty", "large") for d in [(source / f"{n}.pdf").read_bytes()]]
+    assert rows(got, "document_id", "length", "tree_sha256") == sorted([*wanted, ("gone", None, None)], key=repr)
+
+
+def test_stretches_of_one_file_lie_in_many_tasks(spark, share):
+    from pyspark.sql import functions as F
+
+    one = files.with_file_size(named(spark, "large"), str(share / "shares"), "source_file", "length")
+    parts = files._dealt(files.byte_ranges(one, "length", 50_000), "source_file", 8)
+    read = files.with_range_digest(parts, str(share / "shares"), "source_file").withColumn("task", F.spark_partition_id())
+    assert read.count() == -(-(3 * files.CHUNK + 17) // 50_000)
+    assert read.select("task").distinct().count() == 8
+
+
+def test_a_flipped_byte_is_located(spark, share):
+    copy(spark, share, ["small", "empty", "large"])
+    pairs = named(spark, "small", "empty", "large", "gone").select("document_id", "source_file", "target_key")
+
+    def check(size=100_000):
+        found = files.damaged_ranges(pairs, str(share / "shares"), str(share / "out"), size)
+        return rows(found, "document_id", "start", "bytes", "problem")
+    gone = ("gone", None, None, "source missing")
+    assert check() == [gone]
+    target = share / "out/documents/AR1"
+    large = bytearray((target / "large.pdf").read_bytes())
+    large[1_234_567] ^= 1
+    large[-1] ^= 1
+    (target / "large.pdf").write_bytes(large)
+    os.remove(target / "empty.pdf")
+    end = 3 * files.CHUNK + 17
+    assert check() == sorted([
+        gone, ("empty", None, None, "target missing"), ("large", 1_200_000, 100_000, "content"),
+        ("large", 3_100_000, end - 3_100_000, "content")], key=repr)
+    (target / "small.pdf").write_bytes(b"hello!")
+    (target / "large.pdf").write_bytes(large[:100])
+    assert check() == sorted([
+        gone, ("empty", None, None, "target missing"), ("large", None, None, "length"), ("small", None, None, "length")], key=repr)
+    assert check(2) == sorted([
+        gone, ("empty", None, None, "target missing"), ("large", None, None, "length"), ("small", None, None, "length")], key=repr)
