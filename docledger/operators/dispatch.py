@@ -12,7 +12,6 @@ import time
 from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
@@ -26,6 +25,7 @@ from pyspark.sql.types import (
 
 from docledger.functions import status as st
 from docledger.functions.messages import parse_reply
+from docledger.operators.clients import kept_client, key_of
 from docledger.schemas import CARRIED, OUTCOME
 from docledger.sources.staging import stage
 
@@ -163,10 +163,12 @@ def _parcels(results: Iterator[dict], limit: int = 16 * 1024 * 1024) -> Iterator
 
 
 def _caller(send: Callable, open_client: Callable | None, policy: AttemptPolicy,
-            rate: float | None, concurrency: int, arrow_schema: pa.Schema) -> Callable:
+            rate: float | None, concurrency: int, keep_clients: float, arrow_schema: pa.Schema) -> Callable:
+    key = key_of(open_client, concurrency)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         throttle = _Throttle(rate, policy.sleep)
-        with (open_client() if open_client else nullcontext()) as client:
+        with kept_client(open_client, concurrency, key, keep_clients) as (client, pool):
             def one(row: dict) -> dict:
                 if row["reject_code"] is not None:
                     now = datetime.now(timezone.utc)
@@ -175,29 +177,26 @@ def _caller(send: Callable, open_client: Callable | None, policy: AttemptPolicy,
                             "started_at": now, "finished_at": now}
                 return _call(send, client, row, policy, throttle.take)
 
-            pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
-            try:
-                for batch in batches:
-                    rows = batch.to_pylist()
-                    results = _window(pool, one, rows, 2 * concurrency) if pool else map(one, rows)
-                    for done in _parcels(results):
-                        yield pa.RecordBatch.from_pylist(done, schema=arrow_schema)
-            finally:
-                if pool:
-                    pool.shutdown(cancel_futures=True)
+            for batch in batches:
+                rows = batch.to_pylist()
+                results = _window(pool, one, rows, 2 * concurrency) if pool else map(one, rows)
+                for done in _parcels(results):
+                    yield pa.RecordBatch.from_pylist(done, schema=arrow_schema)
     return run
 
 
 def call_rows(worklist: DataFrame, send: Callable[[Any, dict], Reply], *,
               open_client: Callable | None = None, partitions: int | None = None,
               policy: AttemptPolicy = AttemptPolicy(), rate: float | None = None,
-              concurrency: int = 1, rows_per_task: int = 20_000) -> DataFrame:
+              concurrency: int = 1, rows_per_task: int = 20_000,
+              keep_clients: float = 0.0) -> DataFrame:
     """The worklist with what the transport returned. Lazy: each evaluation calls again.
 
     Rows are dealt out evenly, whatever their keys, ``rows_per_task`` to a task if ``partitions``
     is not given; that takes a count of the worklist. ``reject_code`` marks rows answered without a
     call. ``rate`` limits attempts, repeated ones too, over the whole job: tasks that can run at
-    the same time share it.
+    the same time share it. ``open_client`` opens a client for each task; with ``keep_clients`` it
+    serves later tasks of its Python worker too, until it has been idle for that many seconds.
     """
     if "reject_code" not in worklist.columns:
         worklist = worklist.withColumns({"reject_code": F.lit(None).cast("int"),
@@ -206,7 +205,7 @@ def call_rows(worklist: DataFrame, send: Callable[[Any, dict], Reply], *,
     tasks = partitions or max(slots, -(-worklist.count() // rows_per_task))
     schema = StructType(worklist.schema.fields + _CALL)
     run = _caller(send, open_client, policy, rate / min(tasks, slots) if rate else None, concurrency,
-                  to_arrow_schema(schema))
+                  keep_clients, to_arrow_schema(schema))
     return worklist.repartition(tasks).mapInArrow(run, schema)
 
 

@@ -9,7 +9,7 @@ from docledger.registry.inputs import derived, query
 from docledger.schemas import AUDIT, FAILURE, FAILURE_DETAILS, KEYS, SUCCESS
 from docledger.session import fresh_dir
 from docledger.sources.staging import stage
-from docledger.sources.tables import append, read_path
+from docledger.sources.tables import append, append_once, read_appended, read_path
 
 
 def _columns(schema, alias=""):
@@ -168,11 +168,14 @@ def details_append(spark, sf_dir):
                                 plans.detail_rows(derived(spark, sf_dir, "bad")))
 
 
-@query("audit_append", """SELECT auth_request_id, document_id AS annotation_id, full_path,
+_AUDIT_SQL = """SELECT auth_request_id, document_id AS annotation_id, full_path,
   CASE WHEN ok THEN 'Success' ELSE 'Failed' END AS status,
   CAST(CASE WHEN ok THEN 200 ELSE error_code END AS BIGINT) AS status_code,
   target_path AS azure_blob_path, execution_time_ms, COALESCE(error_message, '') AS message
-FROM outcomes""")
+FROM outcomes"""
+
+
+@query("audit_append", _AUDIT_SQL)
 def audit_append(spark, sf_dir):
     """Written as two appends, successes and failures, and read back."""
     path = fresh_dir(spark, "audit")
@@ -182,6 +185,26 @@ def audit_append(spark, sf_dir):
     return read_path(spark, path, schema=AUDIT)
 
 
+@query("audit_append_once", _AUDIT_SQL)
+def audit_append_once(spark, sf_dir):
+    """Two batches of a run, the second of which died after its append and is repeated, as is the whole first run."""
+    path = fresh_dir(spark, "audit")
+    entries = [plans.audit_entries(derived(spark, sf_dir, "outcomes").filter(side)) for side in ("ok", "NOT ok")]
+    for batch in (0, 1, 1, 0):
+        append_once(entries[batch], path, "run-1", batch)
+    return read_appended(spark, path, AUDIT)
+
+
+@query("ledger_append_once", f"SELECT {_columns(FAILURE)} FROM failure UNION ALL SELECT {_columns(FAILURE)} FROM bad")
+def ledger_append_once(spark, sf_dir):
+    """A failure history as an append-only table; the same run appended three times is there once."""
+    path = fresh_dir(spark, "history")
+    append_once(derived(spark, sf_dir, "failure"), path, "run-0")
+    for _ in range(3):
+        append_once(derived(spark, sf_dir, "bad").withColumn("retry_count", F.lit(0)), path, "run-1")
+    return read_appended(spark, path, FAILURE)
+
+
 @query("split_outcomes", f"SELECT document_id, 'good' AS side, correlation_id, date_updated FROM good "
        "UNION ALL SELECT document_id, 'bad', latest_correlation_id, date_updated FROM bad")
 def split_outcomes_query(spark, sf_dir):

@@ -1,7 +1,7 @@
 """Dispatch, whole runs, streams and table round trips."""
 
 import uuid
-from contextlib import nullcontext
+from contextlib import contextmanager, nullcontext
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from docledger.registry.sets import WORKLIST_SQL
 from docledger.schemas import CARRIED, MANIFEST, OUTCOME
 from docledger.session import fresh_dir
 from docledger.sources import tables
+from docledger.sources.files import open_root
 from docledger.sources.ledger import Ledgers, read_ledger, read_seen, write_version
 from docledger.streaming.microbatch import per_batch_apply, transfer_stream
 
@@ -85,6 +86,35 @@ def transfer_job_query(spark, sf_dir):
     return tagged_ledgers(spark, ledgers)
 
 
+class Counted:
+    """A service whose connections leave a file each in a folder that all tasks share."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    @contextmanager
+    def open_client(self):
+        fs, base = open_root(self.folder)
+        fs.create_dir(base, recursive=True)
+        with fs.open_output_stream(f"{base}/{uuid.uuid4().hex}") as out:
+            out.write(b".")  # scans pass over empty files
+        yield base
+
+
+@query("client_reuse", f"""SELECT count(*) AS calls, TRUE AS all_ok_known, CAST(64 AS BIGINT) AS tasks,
+  TRUE AS fewer_connections_than_tasks FROM ({WORKLIST_SQL}) w""")
+def client_reuse(spark, sf_dir):
+    """Clients stay open in their Python workers: many tasks, few connections."""
+    service = Counted(fresh_dir(spark, "connections"))
+    outcomes = dispatch(_due(spark, sf_dir), answer, stage_path=fresh_dir(spark, "outcomes"), correlation_id="run-9",
+                        policy=NO_WAIT, open_client=service.open_client, partitions=64, concurrency=2, keep_clients=60)
+    opened = spark.read.format("binaryFile").load(service.folder).select(F.lit(1).alias("n"))
+    calls = outcomes.agg(F.count("*").alias("calls"), F.bool_and(F.col("ok").isNotNull()).alias("all_ok_known"))
+    few = opened.agg(F.count("n").alias("n")).select(
+        F.lit(64).cast("bigint").alias("tasks"), F.col("n").between(1, 63).alias("fewer_connections_than_tasks"))
+    return calls.withColumn("one", F.lit(1)).join(few.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 @query("worklist_filtered", WORKLIST_SQL)
 def worklist_filtered(spark, sf_dir):
     """Documents that a Bloom filter over both ledgers does not hold go around the join."""

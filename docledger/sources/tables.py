@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from docledger.functions.timing import stamped_name
 from docledger.schemas import CROSS_REFERENCE, CSV_AUDIT, CSV_MANIFEST
@@ -70,6 +70,24 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").save(path)
 
 
+def append_once(df: DataFrame, path: str, run_id: str, batch: int = 0) -> None:
+    """Append the rows of a run's batch; appending them again replaces them instead of adding copies.
+
+    They get a folder of their own, ``append_run=<run_id>/append_batch=<batch>``, and dynamic partition overwrite touches no
+    other. A run that dies after its append and is repeated therefore leaves each row once. Read with
+    ``read_appended``, which leaves the two columns out.
+    """
+    marked = df.withColumns({"append_run": F.lit(run_id), "append_batch": F.lit(batch)})
+    (marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("append_run", "append_batch").parquet(path))
+
+
+def read_appended(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All rows that ``append_once`` has written there."""
+    fields = [StructField("append_run", StringType()), StructField("append_batch", IntegerType())]
+    return spark.read.schema(StructType(schema.fields + fields)).parquet(path).select(*schema.fieldNames())
+
+
 def as_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
