@@ -30,8 +30,6 @@ SAMPLE = 16_384
 #: A query reads cells until they hold this share of all distinct vectors. Vectors without any
 #: structure, as in the given tables, need this much for a recall of 0.9; clustered ones need less.
 SHARE = 0.42
-#: ... but at least so many.
-LEAST = 5_000
 ROW_BLOCK, QUERY_BLOCK = 4_096, 8_192
 
 
@@ -95,7 +93,7 @@ def _vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def search(
     vectors: DataFrame, queries: DataFrame, k: int = 5, codes: int = CODES, share: float = SHARE,
-    least: int = LEAST, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding",
+    least: int = 0, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query its ``k`` nearest rows that the walk found.
 
@@ -137,7 +135,7 @@ def search(
     sizes = np.zeros((len(books[0]), len(books[1])), np.int64)
     for r in counted:
         sizes[r["a"], r["b"]] = r["count"]
-    enough = max(least, math.ceil(share * int(sizes.sum())))
+    enough = max(least, k + 1, math.ceil(share * int(sizes.sum())))
     row_blocks = np.maximum(1, -(-sizes.sum(1) // ROW_BLOCK)).tolist()
     query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
 
