@@ -20,7 +20,7 @@ BANDS = (
     (20_000, 0.26, 0.62),
 )
 CHUNK = 4096
-#: A shorter rest at the end of a text is no chunk.
+#: A shorter rest at the end of a text belongs to the chunk before it; a shorter text is judged as a whole only.
 LEAST_CHUNK = 2048
 CHUNK_BAND = (0.27, 0.72)
 #: A text with a larger share of chunks outside the band is rejected.
@@ -77,8 +77,8 @@ class Rules:
         n, repeats = len(h), _repeat_words(h)
         failed = n < 50 or 100 * repeats > 50 * n
         whole = self.ratio(raw)
-        chunks = [self.ratio(raw[i:i + CHUNK]) for i in range(0, len(raw), CHUNK)
-                  if len(raw) - i >= LEAST_CHUNK]
+        starts = [i for i in range(0, len(raw), CHUNK) if len(raw) - i >= LEAST_CHUNK]
+        chunks = [self.ratio(raw[i:end]) for i, end in zip(starts, [*starts[1:], len(raw)], strict=True)]
         bad = sum(not CHUNK_BAND[0] <= r <= CHUNK_BAND[1] for r in chunks)
         low, high = limits(len(raw), self.bands)
         reason = ("base" if failed else "repetitive" if whole < low else

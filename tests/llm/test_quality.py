@@ -68,3 +68,21 @@ def test_filter_keeps_columns(spark):
     assert kept.count() == verdicts.count()
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in verdicts.collect())
     assert drop_low_quality(docs.limit(0)).count() == 0
+
+
+def test_chunks_cover_the_whole_text():
+    """A short rest is part of the last chunk: junk there counts."""
+    import random
+
+    from docledger.llm.quality import CHUNK, LEAST_CHUNK, Rules
+    from docledger.llm.text import word_hashes
+
+    rng, rules, seen = random.Random(4), Rules(), []
+    rules.ratio = lambda raw: seen.append(raw) or 0.5
+    for size in (0, 1, LEAST_CHUNK - 1, LEAST_CHUNK, CHUNK, CHUNK + 1, CHUNK + LEAST_CHUNK - 1, CHUNK + LEAST_CHUNK, 5 * CHUNK + 77):
+        raw = bytes(rng.randrange(97, 123) for _ in range(size))
+        seen.clear()
+        rules.judge(1, raw, word_hashes([raw])[0])
+        assert seen[0] == raw
+        assert b"".join(seen[1:]) == (raw if size >= LEAST_CHUNK else b"")
+        assert all(LEAST_CHUNK <= len(chunk) < CHUNK + LEAST_CHUNK for chunk in seen[1:])
