@@ -78,7 +78,7 @@ class Rules:
         failed = n < 50 or 100 * repeats > 50 * n
         whole = self.ratio(raw)
         starts = [i for i in range(0, len(raw), CHUNK) if len(raw) - i >= LEAST_CHUNK]
-        chunks = [self.ratio(raw[i:end]) for i, end in zip(starts, [*starts[1:], len(raw)], strict=True)]
+        chunks = [self.ratio(raw[i:end]) for i, end in zip(starts, [*starts[1:], len(raw)])]
         bad = sum(not CHUNK_BAND[0] <= r <= CHUNK_BAND[1] for r in chunks)
         low, high = limits(len(raw), self.bands)
         reason = ("base" if failed else "repetitive" if whole < low else

@@ -52,7 +52,6 @@ def features(text: str) -> set[str]:
     """Whole words, marked by a final ``$``, and stems."""
     out = set()
     for word in set(LETTERS.findall(text.lower())):
-        word = word[:64]
         out.add(word + "$")
         out.update(word[:n] for n in STEMS if n < len(word))
     return out
@@ -71,7 +70,6 @@ class Known:
         for word in set(LETTERS.findall(text.lower())):
             if word[:3] not in heads:
                 continue
-            word = word[:64]
             if (i := at.get(word + "$")) is not None:
                 found.add(i)
             for n in self.lengths:
@@ -191,7 +189,8 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most: in
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Chain:
     """The chain, fitted on at most ``examples`` labelled rows.
 
-    Rows without an id or label do not count; a repeated id counts once, toxic if any label says so.
+    Rows without an id or label do not count; a repeated id counts once, toxic if any label says so, and so do
+    documents that repeat an id: of their texts the one with the smallest hash is learned from.
     Only counts of features and the chosen features of the examples reach the driver. Without
     labelled rows the chain finds nothing toxic.
     """
@@ -201,11 +200,11 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most: in
         .groupBy(F.col(id_col).alias("label_id"))
         .agg(F.when(F.max(label_col) > 0, 1).otherwise(0).alias("label"))
         .orderBy(F.xxhash64("label_id"), "label_id").limit(examples), "labelled")
-    # The examples are bounded, so this broadcast is.
-    texts = stored(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("body"))
+    # The examples are bounded, so this broadcast is; of the documents with one id a single text counts.
+    texts = stored(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("body"))
                    .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-                   .select("label_id", F.concat(F.col("label").cast("string"),
-                                                F.coalesce("body", F.lit(""))).alias("text"))
+                   .groupBy("label_id", "label").agg(F.min_by("body", F.struct(F.xxhash64("body"), "body")).alias("body"))
+                   .select("label_id", F.concat(F.col("label").cast("string"), "body").alias("text"))
                    .repartition(12), "examples")
     names = {"id_col": "label_id", "text_col": "text"}
 

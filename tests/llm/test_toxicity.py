@@ -90,3 +90,21 @@ def test_odd_rows(spark):
     nothing = score(docs, train(docs, table.limit(0)))
     assert nothing.where("toxic").count() == 0 and [f"p_{c}" in nothing.columns for c in CATEGORIES] == [True] * 4
     assert score(docs.limit(0), train(docs.limit(0), table)).count() == 0
+
+
+def test_documents_that_repeat_a_labelled_id_count_once(spark):
+    """As many rows as you like under one id teach the chain no more than one of them."""
+    rows, labels = corpus()
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    toxic = next(i for i, _, label in labels if label)
+    text = dict(rows)[toxic]
+    once = train(given.documents(spark, rows), marks)
+    often = train(given.documents(spark, rows + [(toxic, text)] * 500), marks)
+    assert once.names == often.names
+    assert all((a.weights == b.weights).all() and a.bias == b.bias for a, b in zip(once.links, often.links, strict=True))
+
+
+def test_long_words_are_whole():
+    long = "a" * 100
+    assert long + "$" in features(long) and Known([long + "$"])(f"x {long} y") == [0]
+    assert Known([long + "$"])("a" * 64) == Known([long + "$"])("a" * 101) == []
