@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,8 @@ NOISE, BATCH, RATE = 64, 1_024, 0.15
 #: Tasks learn from one in so many groups of their texts: all of them.
 STRIDE = 1
 _GROUP = 128
+#: Parameters of a block in which tasks hand over what they have learned.
+PARAMETERS = 8_192
 
 
 def held_out(doc_id) -> bool:
@@ -65,12 +69,34 @@ class Words:
     total: int
     distinct: int
 
+    def __post_init__(self) -> None:
+        """Where the hashes with the same leading bits begin; they are spread evenly, so few share them."""
+        self.shift = np.uint64(64 - max(1, len(self.hashes).bit_length()))
+        edges = np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(self.hashes, edges).astype(np.int32)
+        sizes = np.diff(np.append(self.first, len(self.hashes)))
+        self.most = int(sizes.max(initial=0))
+
+    def places(self, h: np.ndarray) -> np.ndarray:
+        """Where each hash stands, or would stand, among the sorted ones."""
+        at = self.first[h >> self.shift]
+        left = np.arange(len(h))
+        for _ in range(self.most):
+            # Only those whose place lies further on are looked at again.
+            inside = at[left] < len(self.hashes)
+            left = left[inside]
+            left = left[self.hashes[at[left]] < h[left]]
+            if not len(left):
+                break
+            at[left] += 1
+        return at
+
     def look_up(self, h: np.ndarray, tail: np.ndarray):
         """Context row, output row, count, and whether the word is among the frequent ones."""
         if not len(self.hashes):
             known = np.zeros(len(h), bool)
             return self.context_class[tail], self.output_class[tail], np.zeros(len(h), np.int64), known
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        at = np.minimum(self.places(h), len(self.hashes) - 1)
         known = self.hashes[at] == h
         return (np.where(known, self.context[at], self.context_class[tail]),
                 np.where(known, self.output[at], self.output_class[tail]),
@@ -116,6 +142,15 @@ def _added(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rows[starts], np.add.reduceat(values[order], starts, axis=0)
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place; beyond 30 nothing changes that counts."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class Trainer:
     """Noise-contrastive steps with a rate for each parameter (Adagrad)."""
 
@@ -136,14 +171,16 @@ class Trainer:
         noise = np.minimum(np.searchsorted(self.noise, self.rng.random(NOISE)), len(self.noise) - 1)
         vectors = m.contexts[before]
         q = (vectors * m.places).sum(1)
-        true = 1 / (1 + np.exp(-np.clip((q * m.outputs[wanted]).sum(1) + m.bias[wanted]
-                                        - self.shift[wanted], -30, 30))) - 1
-        false = 1 / (1 + np.exp(-np.clip(q @ m.outputs[noise].T + m.bias[noise] - self.shift[noise], -30, 30)))
-        dq = true[:, None] * m.outputs[wanted] + false @ m.outputs[noise]
+        of_true, of_noise = m.outputs[wanted], m.outputs[noise]
+        true = _sigmoid(np.einsum("ij,ij->i", q, of_true) + (m.bias[wanted] - self.shift[wanted])) - 1
+        false = q @ of_noise.T
+        false += m.bias[noise] - self.shift[noise]
+        false = _sigmoid(false)
+        dq = true[:, None] * of_true + false @ of_noise
         rows = np.concatenate([wanted, noise])
         at, slope = _added(rows, np.concatenate(
             [np.column_stack([true[:, None] * q, true]), np.column_stack([false.T @ q, false.sum(0)])]))
-        places = (dq[:, None] * vectors).sum(0) / n
+        places = np.einsum("ik,ijk->jk", dq, vectors) / n
         of, given = _added(before.ravel(), (dq[:, None] * m.places).reshape(-1, WIDTH))
         self._step(2, at, slope[:, :-1] / n)
         self._step(3, at, slope[:, -1] / n)
@@ -181,26 +218,34 @@ def positions(words: Words, texts: list[bytes]):
 
 
 def log_probabilities(model: Model, before: np.ndarray, output: np.ndarray,
-                      rows: int = 4_096) -> np.ndarray:
+                      rows: int = 2_048) -> np.ndarray:
     """Natural log of the normalised probability of each output after its context."""
     weighted = [model.contexts * place for place in model.places]
+    # One product gives the scores with their bias: contexts get a last coordinate of 1, outputs their bias.
+    outputs = np.concatenate([model.outputs.T, model.bias[None]]).astype(np.float32)
+    longest = float(np.sqrt((model.outputs ** 2).sum(1).max(initial=0)))
+    steepest = float(np.abs(model.bias).max(initial=0))
+    q = np.ones((rows, WIDTH + 1), np.float32)
+    scores = np.empty((rows, len(model.outputs)), np.float32)
     out = np.empty(len(output))
     for at in range(0, len(output), rows):
         ids = before[at:at + rows]
-        q = weighted[0][ids[:, 0]]
+        n = len(ids)
+        now, table = q[:n, :WIDTH], scores[:n]
+        now[:] = weighted[0][ids[:, 0]]
         for j in range(1, BEFORE):
-            q += weighted[j][ids[:, j]]
-        scores = q @ model.outputs.T
-        scores += model.bias
-        picked = scores[np.arange(len(ids)), output[at:at + rows]].astype(np.float64)
-        top = scores.max()
-        if top > 60 or scores.min() < -60:
-            peak = scores.max(1)
-            scores -= peak[:, None]
+            now += weighted[j][ids[:, j]]
+        np.matmul(q[:n], outputs, out=table)
+        picked = table[np.arange(n), output[at:at + rows]].astype(np.float64)
+        # No score can be larger than this, so that mostly none has to be looked at.
+        if longest * math.sqrt(float(np.einsum("ij,ij->i", now, now).max())) + steepest > 60:
+            peak = table.max(1)
+            table -= peak[:, None]
         else:
             peak = 0.0
-        np.exp(scores, out=scores)
-        out[at:at + rows] = picked - peak - np.log(scores.sum(1, dtype=np.float64))
+        np.exp(table, out=table)
+        # Sums of pairs of pairs: exact to a few units in the last place.
+        out[at:at + rows] = picked - peak - np.log(table.sum(1).astype(np.float64))
     return out
 
 
@@ -323,13 +368,30 @@ def fit(docs: DataFrame, words: Words, stride: int = STRIDE, **names) -> Model:
                 trainer.learn(before, output)
                 seen += len(output)
         if seen:
-            yield from ((i, v, seen) for i, v in enumerate(trainer.model.flat().tolist()))
-
-    trained = map_documents(docs, "i int, v double, w bigint", each, **names, batch_rows=50_000)
-    mean = trained.groupBy("i").agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("v")).toArrow()
-    values = model.flat().astype(np.float64)
-    values[mean.column("i").to_numpy()] = mean.column("v").to_numpy()
-    return model.unflat(values)
+            values = trainer.model.flat().astype(np.float64) * seen
+            yield from ((i, values[at:at + PARAMETERS].tolist(), seen)
+                        for i, at in enumerate(range(0, len(values), PARAMETERS)))
+
+    # A row for each block of parameters of a task; blocks are added up by the tasks that get them.
+    trained = map_documents(docs, "i int, v array<double>, w bigint", each, **names, batch_rows=16)
+    schema = trained.schema
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for i, v, w in zip(*(batch.column(c) for c in range(3)), strict=True):
+                held = sums.setdefault(i.as_py(), [0.0, 0])
+                held[0] = held[0] + v.values.to_numpy()
+                held[1] += w.as_py()
+        for i, (v, w) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([v.tolist()], pa.list_(pa.float64())),
+                                              pa.array([w], pa.int64())], names=schema.fieldNames())
+
+    blocks = trained.repartition("i").mapInArrow(summed, schema).toArrow().sort_by("i")
+    if not blocks.num_rows:
+        return model
+    values = [v.values.to_numpy() / w.as_py() for v, w in zip(blocks.column("v"), blocks.column("w"), strict=True)]
+    return model.unflat(np.concatenate(values))
 
 
 def score_texts(docs: DataFrame, counts: DataFrame, words: Words, model: Model, **names) -> DataFrame:
