@@ -6,7 +6,9 @@ Reading replies, classifying them and choosing messages and codes happens in Spa
 
 from __future__ import annotations
 
+import os
 import random
+import re
 import threading
 import time
 from collections import deque
@@ -185,6 +187,26 @@ def _caller(send: Callable, open_client: Callable | None, policy: AttemptPolicy,
     return run
 
 
+def most_running(master: str, conf: Callable[[str, str], str], tasks: int, cores_here: int) -> int:
+    """How many of some tasks can run at the same time at most, as far as the settings tell; else all of them.
+
+    A rate is shared by that many: with fewer running it is not reached, but never exceeded. The default parallelism
+    does not tell it: that is a setting of its own, and under dynamic allocation what there was at the start.
+    """
+    local = re.match(r"local(?:\[(\d+|\*)(?:,\d+)?\])?$", master)
+    cluster = re.match(r"local-cluster\[(\d+),(\d+),\d+\]$", master)
+    if local:
+        slots = cores_here if local[1] == "*" else int(local[1] or 1)
+    elif cluster:
+        slots = int(cluster[1]) * int(cluster[2])
+    else:
+        dynamic = conf("spark.dynamicAllocation.enabled", "false").lower() == "true"
+        executors = conf("spark.dynamicAllocation.maxExecutors" if dynamic else "spark.executor.instances", "")
+        cores = conf("spark.executor.cores", "")
+        slots = int(executors) * int(cores) if executors.isdigit() and cores.isdigit() else tasks
+    return max(1, min(tasks, slots // int(conf("spark.task.cpus", "1"))))
+
+
 def call_rows(worklist: DataFrame, send: Callable[[Any, dict], Reply], *,
               open_client: Callable | None = None, partitions: int | None = None,
               policy: AttemptPolicy = AttemptPolicy(), rate: float | None = None,
@@ -195,16 +217,17 @@ def call_rows(worklist: DataFrame, send: Callable[[Any, dict], Reply], *,
     Rows are dealt out evenly, whatever their keys, ``rows_per_task`` to a task if ``partitions``
     is not given; that takes a count of the worklist. ``reject_code`` marks rows answered without a
     call. ``rate`` limits attempts, repeated ones too, over the whole job: tasks that can run at
-    the same time share it. ``open_client`` opens a client for each task; with ``keep_clients`` it
+    the same time (``most_running``) share it. ``open_client`` opens a client for each task; with ``keep_clients`` it
     serves later tasks of its Python worker too, until it has been idle for that many seconds.
     """
     if "reject_code" not in worklist.columns:
         worklist = worklist.withColumns({"reject_code": F.lit(None).cast("int"),
                                          "reject_text": F.lit(None).cast("string")})
-    slots = worklist.sparkSession.sparkContext.defaultParallelism
-    tasks = partitions or max(slots, -(-worklist.count() // rows_per_task))
+    context = worklist.sparkSession.sparkContext
+    tasks = partitions or max(context.defaultParallelism, -(-worklist.count() // rows_per_task))
+    running = most_running(context.master, context.getConf().get, tasks, os.cpu_count() or 1)
     schema = StructType(worklist.schema.fields + _CALL)
-    run = _caller(send, open_client, policy, rate / min(tasks, slots) if rate else None, concurrency,
+    run = _caller(send, open_client, policy, rate / running if rate else None, concurrency,
                   keep_clients, to_arrow_schema(schema))
     return worklist.repartition(tasks).mapInArrow(run, schema)
 

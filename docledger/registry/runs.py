@@ -18,6 +18,7 @@ from docledger.session import fresh_dir
 from docledger.sources import tables
 from docledger.sources.files import open_root
 from docledger.sources.ledger import Ledgers, read_ledger, read_seen, write_version
+from docledger.sources.staging import stage
 from docledger.streaming.microbatch import per_batch_apply, transfer_stream
 
 NO_WAIT = AttemptPolicy(sleep=lambda seconds: None)
@@ -86,6 +87,20 @@ def transfer_job_query(spark, sf_dir):
     return tagged_ledgers(spark, ledgers)
 
 
+@query("dispatch_throttled", f"""SELECT count(*) AS calls, TRUE AS all_known, TRUE AS within_rate
+  FROM ({WORKLIST_SQL}) w""")
+def dispatch_throttled(spark, sf_dir):
+    """All calls in about three seconds, by more tasks than can run at a time: never faster than the rate allows."""
+    due = stage(_due(spark, sf_dir), fresh_dir(spark, "due"))
+    rate = due.count() / 3
+    outcomes = dispatch(due, answer, stage_path=fresh_dir(spark, "outcomes"), correlation_id="run-9",
+                        policy=AttemptPolicy(attempts=1), rate=rate, partitions=24, concurrency=2)
+    spent = (F.unix_micros(F.max("started_at")) - F.unix_micros(F.min("started_at"))) / 1e6
+    # Each task may begin with a call at once.
+    return outcomes.agg(F.count("*").alias("calls"), F.bool_and(F.col("ok").isNotNull()).alias("all_known"),
+                        ((F.count("*") - 24) / spent <= 1.1 * rate).alias("within_rate"))
+
+
 class Counted:
     """A service whose connections leave a file each in a folder that all tasks share."""
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docledger.operators.dispatch import (
     _call,
-    AttemptPolicy, Reply, ServiceError, _parcels, _Throttle, call_rows, dispatch, read_calls,
+    AttemptPolicy, Reply, ServiceError, _parcels, _Throttle, call_rows, dispatch, most_running, read_calls,
     split_outcomes,
 )
 from docledger.operators.worklist import worklist
@@ -273,3 +273,26 @@ def test_what_a_service_asks_for_is_recorded(spark, tmp_path):
 def test_a_final_reply_is_not_asked_again(spark, tmp_path):
     out = run(spark, tmp_path, lambda client, row: Reply(500, '{"message":"no"}', final=True), ["x"])
     assert rows(out, "attempts", "error_code", "error_message") == [(1, 500, "no")]
+
+
+@pytest.mark.parametrize("master,settings,running", [
+    ("local", {}, 1), ("local[4]", {}, 4), ("local[4,2]", {}, 4), ("local[*]", {}, 16), ("local[200]", {}, 100),
+    ("local-cluster[3,2,1024]", {}, 6), ("yarn", {}, 100),
+    ("yarn", {"spark.executor.instances": "5", "spark.executor.cores": "4"}, 20),
+    ("yarn", {"spark.executor.instances": "5", "spark.executor.cores": "4", "spark.task.cpus": "2"}, 10),
+    ("yarn", {"spark.executor.instances": "2", "spark.executor.cores": "4", "spark.dynamicAllocation.enabled": "true"}, 100),
+    ("yarn", {"spark.dynamicAllocation.maxExecutors": "6", "spark.executor.cores": "4", "spark.dynamicAllocation.enabled": "true"}, 24),
+])
+def test_most_running(master, settings, running):
+    assert most_running(master, lambda name, default: settings.get(name, default), 100, 16) == running
+
+
+def test_the_rate_holds_for_all_tasks_together(spark, tmp_path):
+    """More tasks than slots: the calls of all of them together stay within ten per cent of the rate."""
+    out = run(spark, tmp_path, lambda client, row: Reply(200, "{}"), [f"d{i}" for i in range(400)], rate=100.0, partitions=8,
+              policy=AttemptPolicy(attempts=1))
+    times = sorted(r.started_at.timestamp() for r in out.collect())
+    per_second = (len(times) - 8) / (times[-1] - times[0])
+    assert per_second <= 110
+    # Between tasks a worker has to start; apart from that the rate is used.
+    assert per_second >= 40
