@@ -43,11 +43,18 @@ def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     return without_keys(source, present, keys)
 
 
-def _with_copies(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Counting is a partial aggregate, so a key with very many rows is not gathered.
-    repeated = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COPIES))
-                .filter(F.col(_COPIES) > 1))
-    return source.join(repeated, list(keys), "left")
+def _collapsed(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each key, and how many there are.
+
+    A partial aggregate, so a key with very many rows is not gathered, and what it leaves is already dealt
+    out as the join needs it. Which row stays does not matter: several that match are an error.
+    """
+    others = [c for c in source.columns if c not in keys]
+    counted = [F.count(F.lit(1)).alias(_COPIES)]
+    if not others:
+        return source.groupBy(*keys).agg(*counted)
+    row = F.first(F.struct(*others)).alias("_src_row")
+    return source.groupBy(*keys).agg(*counted, row).select(*keys, "_src_row.*", _COPIES)
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -126,12 +133,12 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                                    insert_if)
     result = target
     if matched_set:
-        rows = _prefixed(source) if unique_source else _prefixed(_with_copies(source, keys), _COPIES)
+        rows = _prefixed(source) if unique_source else _prefixed(_collapsed(source, keys), _COPIES)
         on = _same_key(keys) if extra_on is None else _same_key(keys) & extra_on
         joined = target.join(F.broadcast(rows) if small_source else rows, on, "left")
         values = _updated(target, matched_set, matched_if)
         if not unique_source:
-            several = F.col(_HIT).isNotNull() & F.col(_COPIES).isNotNull()
+            several = F.col(_HIT).isNotNull() & (F.col(_COPIES) > 1)
             failing = F.raise_error(F.lit("several source rows match one target row"))
             first = keys[0]
             values[first] = F.when(several, failing.cast(target.schema[first].dataType)).otherwise(

@@ -248,3 +248,20 @@ def test_audit_entries(spark):
     got = plans.audit_entries(outcomes(spark, ("a", "x", 200), ("a", "y", 404)))
     assert rows(got, "annotation_id", "status", "status_code", "azure_blob_path", "message") == [
         ("x", "Success", 200, "t/x", ""), ("y", "Failed", 404, None, "code 404")]
+
+
+def test_a_hot_source_key_collapses_before_the_shuffle(spark, conf):
+    """A source is shuffled once, as one row for each key and task, and what comes of it is joined where it is."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    hot = spark.range(20_000).selectExpr("IF(id < 19990, 'hot', concat('k', id)) AS k", "id AS v")
+    target = spark.createDataFrame([("k19995", 0), ("other", 1)], "k string, v bigint")
+    merged = merge(target, hot, ["k"], matched_set={"v": src("v")})
+    assert rows(merged) == [("k19995", 19995), ("other", 1)]
+    plan = planned(merged)
+    assert plan.count("Exchange hashpartitioning") == 2
+    below = plan[plan.index("Exchange hashpartitioning", plan.index("Exchange hashpartitioning") + 1):]
+    assert "partial_count" in below
+    with pytest.raises(Exception, match="several source rows"):
+        merge(spark.createDataFrame([("hot", 0)], "k string, v bigint"), hot, ["k"], matched_set={"v": src("v")}).collect()
+    only_keys = merge(target, hot.select("k"), ["k"], matched_set={"v": F.lit(7).cast("bigint")})
+    assert rows(only_keys) == [("k19995", 7), ("other", 1)]
