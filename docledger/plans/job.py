@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Any
 from urllib.parse import quote
 
@@ -14,11 +13,11 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from docledger.operators.dispatch import dispatch
 from docledger.operators.worklist import TARGET_COUNTED, RetryPolicy, multiply_rows, worklist
-from docledger.plans.ledgers import claim_counting, commit_outcomes, read_failures
+from docledger.plans.ledgers import claim_counting, commit_outcomes, measure, read_failures
 from docledger.schemas import CARRIED, KEYS, OUTCOME, WORKLIST
 from docledger.session import fresh_dir
 from docledger.sources.ledger import Ledgers, read_ledger, read_seen
-from docledger.sources.staging import children, is_complete
+from docledger.sources.staging import children, is_complete, written
 from docledger.sources.tables import ensure_tables
 
 # dispatcher(worklist, stage_path, correlation_id) -> staged outcomes
@@ -82,20 +81,24 @@ def transfer_job(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers, dis
         return totals
     claim_counting(spark, ledgers, options.policy.counted)
 
-    def commit(outcomes: DataFrame) -> None:
-        counts = commit_outcomes(spark, ledgers, outcomes, options.at, counted=options.policy.counted)
+    def commit(outcomes: DataFrame, measured: dict | None = None) -> None:
+        counts = commit_outcomes(spark, ledgers, outcomes, options.at, counted=options.policy.counted,
+                                 measured=measured)
         for name in totals:
             totals[name] += counts[name]
 
     staged = _staged_worklist(spark, manifest, ledgers, work, options)
     finished = _outcomes_of_other_cuts(spark, work, batches)
-    for outcomes in finished:
-        commit(outcomes)
+    if finished is not None:
+        known = measure(finished, ledgers.failure)
+        commit(finished, known)
     for batch in range(batches):
-        rows = staged.filter(F.col("batch") == batch).drop("batch")
-        if finished:
-            rows = _without_finished(rows, finished)
-        commit(dispatcher(rows, f"{work}/outcomes/of={batches}/batch={batch}", options.run_id))
+        rows, path = staged.filter(F.col("batch") == batch).drop("batch"), f"{work}/outcomes/of={batches}/batch={batch}"
+        if finished is not None and not is_complete(spark, path):
+            # A dispatcher reads them more than once.
+            rows = written(_without_finished(rows, finished, ledgers.failure.bucket_of().isin(known["buckets"])),
+                           f"{work}/rest/of={batches}/batch={batch}")
+        commit(dispatcher(rows, path, options.run_id))
     return totals
 
 
@@ -121,6 +124,8 @@ def _staged_worklist(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers,
         earlier = [cut for cut in _cuts(spark, folder) if is_complete(spark, cut)]
         if earlier:
             due = spark.read.schema(schema).parquet(earlier[0]).drop("batch")
+            if options.batches == 1:
+                return due.withColumn("batch", F.lit(0))  # all of them, whichever way they lie
         else:
             due = worklist(manifest, read_ledger(spark, ledgers.success), read_failures(spark, ledgers),
                            policy=options.policy, path_mode=options.path_mode,
@@ -134,25 +139,29 @@ def _staged_worklist(spark: SparkSession, manifest: DataFrame, ledgers: Ledgers,
     return spark.read.schema(schema).parquet(path)
 
 
-def _outcomes_of_other_cuts(spark: SparkSession, work: str, batches: int) -> list[DataFrame]:
-    """What earlier tries with other numbers of batches have finished, batch by batch."""
+def _outcomes_of_other_cuts(spark: SparkSession, work: str, batches: int) -> DataFrame | None:
+    """What earlier tries with other numbers of batches have finished; all rows of a document lie in one batch."""
     found = []
     for cut in _cuts(spark, f"{work}/outcomes"):
         if cut.endswith(f"/of={batches}"):
             continue
         found += [f"{cut}/{name}" for name in children(spark, cut)
                   if name.startswith("batch=") and is_complete(spark, f"{cut}/{name}")]
-    return [spark.read.schema(StructType(OUTCOME.fields + CARRIED.fields)).parquet(path) for path in found]
+    schema = StructType(OUTCOME.fields + CARRIED.fields)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*found) if found else None
 
 
-def _without_finished(rows: DataFrame, finished: list[DataFrame]) -> DataFrame:
-    """Rows that no finished batch has an outcome for; NULL keys are told apart by path."""
+def _without_finished(rows: DataFrame, finished: DataFrame, touched: Column) -> DataFrame:
+    """Rows that no finished batch has an outcome for; NULL keys are told apart by path.
+
+    ``touched`` tells which rows fall into a bucket that a finished outcome falls into: only they are joined.
+    """
     columns = [*KEYS, "full_path"]
-    known = reduce(DataFrame.unionAll, [f.select(*columns) for f in finished])
     same = F.lit(True)
     for c in columns:
         same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}"))
-    return rows.alias("r").join(known.alias("k"), same, "left_anti")
+    rest = rows.filter(touched).alias("r").join(finished.select(*columns).alias("k"), same, "left_anti")
+    return rows.filter(~touched).unionAll(rest)
 
 
 def tagged_ledgers(spark: SparkSession, ledgers: Ledgers) -> DataFrame:

@@ -179,8 +179,12 @@ def one_per_key(outcomes: DataFrame) -> DataFrame:
 
 
 def has_copies(outcomes: DataFrame) -> bool:
-    repeated = outcomes.dropna(subset=list(KEYS)).groupBy(*KEYS).count().filter("count > 1")
-    return not repeated.isEmpty()
+    """Whether a document occurs twice. Hashes tell that none does; keys decide where two hashes are equal."""
+    complete = outcomes.dropna(subset=list(KEYS))
+    hashed = complete.groupBy(F.xxhash64(*KEYS).alias("hash")).count().filter("count > 1")
+    if hashed.isEmpty():
+        return False
+    return not complete.groupBy(*KEYS).count().filter("count > 1").isEmpty()
 
 
 @dataclass
@@ -269,38 +273,47 @@ def is_small(df: DataFrame) -> bool:
 
 
 def measure(outcomes: DataFrame, ledger: Ledger) -> dict:
-    """Counters of staged outcomes, their size, and the ledger buckets they fall into, in one pass."""
-    touched = F.collect_set(ledger.bucket_of()).alias("buckets")  # at most ledger.buckets numbers
-    return outcomes.agg(*counters(), text_size(outcomes).alias("size"), touched).first().asDict()
+    """Counters of staged outcomes, their size, and the ledger buckets they and the failures fall into, in one pass."""
+    # At most ledger.buckets numbers each.
+    touched = F.collect_set("_bucket").alias("buckets")
+    failed = F.collect_set(F.when(~F.coalesce(F.col("ok"), F.lit(False)), F.col("_bucket"))).alias("failed_buckets")
+    return (outcomes.withColumn("_bucket", ledger.bucket_of())
+            .agg(*counters(), text_size(outcomes).alias("size"), touched, failed).first().asDict())
 
 
 def commit_outcomes(spark: SparkSession, ledgers: Ledgers, outcomes: DataFrame,
-                    at: Column | None = None, counted: str = "target") -> dict[str, int]:
+                    at: Column | None = None, counted: str = "target",
+                    measured: dict | None = None) -> dict[str, int]:
     """Write the next version of each ledger from staged outcomes; returns the run's counters.
 
     Success and details get only their new rows. Of the failure ledger, the buckets that hold a new
     failure or one that has now succeeded are rewritten; kept as history, it gets new rows only. Sides without
     rows are skipped. Success is written first, so a run that dies in between never retries what it has
     copied; committing again adds only what is missing. ``counted`` tells who counts attempts, see
-    above; source-counted outcomes must carry ``retry_count``.
+    above; source-counted outcomes must carry ``retry_count``. ``measured`` is what ``measure`` gave, if it was asked.
     """
     claim_counting(spark, ledgers, counted)
     if counted == "source" and "retry_count" not in outcomes.columns:
         raise ValueError("source-counted outcomes must carry retry_count")
-    counts = measure(outcomes, ledgers.failure)
-    small, buckets = counts.pop("size") <= SMALL_BYTES, counts.pop("buckets")
+    counts = dict(measured or measure(outcomes, ledgers.failure))
+    small, buckets, certain = counts.pop("size") <= SMALL_BYTES, counts.pop("buckets"), counts.pop("failed_buckets")
     if counts["total"] == 0:
         return counts
     if has_copies(outcomes):
-        outcomes = one_per_key(outcomes)
+        # A success may take the place of the only failure of its bucket.
+        outcomes, certain = one_per_key(outcomes), []
     succeeded, failed = split_outcomes(outcomes, at, counted=counted == "source")
     if counts["successes"]:
         known = read_ledger(spark, ledgers.success, buckets)
         write_version(spark, ledgers.success,
                       rows_to_insert(known, succeeded, KEYS, small_source=small))
     if ledgers.failure.updatable:
-        changed = _changed_buckets(read_ledger(spark, ledgers.failure, buckets), succeeded, failed,
-                                   ledgers.failure, small)
+        left = sorted(set(buckets) - set(certain))
+        changed = sorted(certain)
+        if left:
+            inside = ledgers.failure.bucket_of().isin(left)
+            changed += _changed_buckets(read_ledger(spark, ledgers.failure, left), succeeded.filter(inside),
+                                        failed.filter(inside), ledgers.failure, small)
         if changed:
             failure = read_ledger(spark, ledgers.failure, changed)
             combine = merge_failures if counted == "target" else merge_counted_failures

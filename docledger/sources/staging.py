@@ -34,3 +34,9 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     if not is_complete(spark, path):
         df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write anew and read back: for rows that are read more than once, but must not outlast what they come from."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

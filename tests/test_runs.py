@@ -12,6 +12,7 @@ from docledger.functions.timing import instant
 from docledger.operators import batching, summary
 from docledger.operators.dispatch import AttemptPolicy, Reply
 from docledger.operators.worklist import SOURCE_COUNTED, RetryPolicy, worklist
+from docledger.plans import job, ledgers as plans_of
 from docledger.plans.job import JobOptions, sending, tagged_ledgers, transfer_job
 from docledger.plans.ledgers import commit_outcomes, failure_upsert_source, latest_failures, read_state
 from docledger.schemas import AUDIT, CROSS_REFERENCE, MANIFEST, OUTCOME
@@ -356,3 +357,39 @@ def test_counting_cannot_be_mixed(spark, tmp_path):
         RetryPolicy(5, inclusive=True, counted="source")
     with pytest.raises(ValueError, match="retry_count"):
         commit_outcomes(spark, Ledgers.at(str(tmp_path / "n"), 2), outcomes(spark, ("a", "x", 500)), counted="source")
+
+
+def test_rows_that_are_left_are_worked_out_once(spark, tmp_path, monkeypatch):
+    """Of a run that is cut anew; what was finished is committed at once, and only rows of its buckets are compared."""
+    ledgers, plans, commits, left = Ledgers.at(str(tmp_path / "l"), buckets=4), [], [], [2]
+    monkeypatch.setattr(job, "commit_outcomes", lambda *a, **k: commits.append(1) or commit_outcomes(*a, **k))
+    send = service(["d1"])
+
+    def dying(due, path, run):
+        plans.append(due._jdf.queryExecution().optimizedPlan().toString())
+        if not left[0]:
+            raise InterruptedError
+        left[0] -= 1
+        return send(due, path, run)
+    for batches in (4, 1):
+        left[0] = 2 if batches == 4 else 1
+        try:
+            transfer_job(spark, docs(spark, 40), ledgers, dying, option(0, work_dir=str(tmp_path / "w"), batches=batches))
+        except InterruptedError:
+            pass
+    assert len(plans) == 4 and not [plan for plan in plans if "Join" in plan]
+    assert len(commits) == 2 + 2
+    state = read_state(spark, ledgers)
+    assert state.success.count() == 39 and rows(state.failure, "document_id", "retry_count") == [("d1", 0)]
+
+
+def test_failures_tell_which_buckets_change(spark, tmp_path, monkeypatch):
+    """Known failures are looked for only in buckets without a new one."""
+    ledgers = Ledgers.at(str(tmp_path / "l"), buckets=1)
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "x", 503), run="run-0"))
+    monkeypatch.setattr(plans_of, "_changed_buckets", None)
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "x", 200), ("a", "y", 503)))
+    monkeypatch.undo()
+    assert rows(read_state(spark, ledgers).failure, "document_id", "reprocess_success") == [("x", 1), ("y", 0)]
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "z", 500), ("a", "z", 200), ("a", "y", 200), run="run-2"))
+    assert rows(read_state(spark, ledgers).failure, "document_id", "reprocess_success") == [("x", 1), ("y", 1)]
