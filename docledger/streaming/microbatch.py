@@ -14,7 +14,7 @@ from docledger.plans.job import Dispatcher, run_folder
 from docledger.plans.ledgers import claim_counting, commit_outcomes, is_small, read_failures
 from docledger.schemas import KEYS, MANIFEST
 from docledger.sources.ledger import Ledgers, read_ledger
-from docledger.sources.staging import is_complete
+from docledger.sources.staging import is_complete, written
 
 Clock = Callable[[], datetime]
 
@@ -62,7 +62,7 @@ def transfer_stream(spark: SparkSession, manifest_folder: str, ledgers: Ledgers,
     and so does a restart under the same run id. A micro-batch that is small, as most are, is
     looked up in the ledgers without shuffling them.
     """
-    folder = f"{run_folder(work_dir, run_id)}/outcomes"
+    folder, staged = f"{run_folder(work_dir, run_id)}/outcomes", f"{run_folder(work_dir, run_id)}/due"
     timed = backoff is not None
     retry_due(spark, ledgers, dispatcher, run_id=run_id, work_dir=work_dir, at=at, policy=policy,
               path_mode=path_mode, backoff=backoff, clock=clock)
@@ -74,8 +74,11 @@ def transfer_stream(spark: SparkSession, manifest_folder: str, ledgers: Ledgers,
                        policy=policy, path_mode=path_mode, small_docs=is_small(rows.select(*KEYS)),
                        retries=_due(session, ledgers, failure, backoff, clock) if timed else None,
                        retry_only_if=None if timed else F.lit(False))
-        if timed and every and not is_complete(session, path) and due.isEmpty():
-            return  # most ticks find nothing, and leave nothing behind
+        if not is_complete(session, path):
+            if timed and every and due.isEmpty():
+                return  # most ticks find nothing, and leave nothing behind
+            # A dispatcher reads them more than once.
+            due = written(due, f"{staged}/batch={batch_id}")
         outcomes = dispatcher(due, path, f"{run_id}-{batch_id}")
         commit_outcomes(session, ledgers, outcomes, at, counted=policy.counted)
 
@@ -103,5 +106,8 @@ def retry_due(spark: SparkSession, ledgers: Ledgers, dispatcher: Dispatcher, *,
     due = worklist(spark.createDataFrame([], MANIFEST), read_ledger(spark, ledgers.success), failure,
                    policy=policy, path_mode=path_mode,
                    retries=None if backoff is None else _due(spark, ledgers, failure, backoff, clock))
-    outcomes = dispatcher(due, f"{run_folder(work_dir, run_id)}/outcomes/retry", f"{run_id}-retry")
+    path = f"{run_folder(work_dir, run_id)}/outcomes/retry"
+    if not is_complete(spark, path):
+        due = written(due, f"{run_folder(work_dir, run_id)}/due/retry")
+    outcomes = dispatcher(due, path, f"{run_id}-retry")
     return commit_outcomes(spark, ledgers, outcomes, at, counted=policy.counted)

@@ -170,3 +170,18 @@ def test_due_times_in_source_counted_streams(spark, tmp_path, kind):
         now[0] += timedelta(hours=12)
     assert calls(folder, "d0") == 3
     assert rows(read_ledger(spark, ledgers.failure), "retry_count", "reprocess_success") == [(1, 0), (2, 0), (2, 1)]
+
+
+def test_due_rows_are_worked_out_once(spark, tmp_path):
+    """A dispatcher counts its rows and then sends them: it gets them written."""
+    ledgers, plans = Ledgers.at(str(tmp_path / "l"), buckets=2), []
+    commit_outcomes(spark, ledgers, outcomes(spark, ("a", "x", 503)))
+    manifest(spark, ("a", "y"), ("a", "x")).write.parquet(str(tmp_path / "m"))
+    send = busy(str(tmp_path / "calls"), {})
+
+    def noting(due, path, run):
+        plans.append((rows(due, "document_id"), due._jdf.queryExecution().optimizedPlan().toString()))
+        return send(due, path, run)
+    transfer_stream(spark, str(tmp_path / "m"), ledgers, noting, run_id="r", work_dir=str(tmp_path / "w")).awaitTermination()
+    assert [found for found, _ in plans] == [[("x",)], [("y",)]]
+    assert not [plan for _, plan in plans if "Join" in plan]
