@@ -15,7 +15,7 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from operator import itemgetter
 from typing import Any
 
 import pyarrow as pa
@@ -29,7 +29,7 @@ from docledger.functions import status as st
 from docledger.functions.messages import parse_reply
 from docledger.operators.clients import kept_client, key_of
 from docledger.schemas import CARRIED, OUTCOME
-from docledger.sources.staging import stage
+from docledger.sources.staging import is_complete, stage
 
 
 @dataclass
@@ -89,10 +89,15 @@ _CALL = [
 ]
 
 
+def _now() -> int:
+    """Microseconds, as the timestamps of an Arrow column are made of."""
+    return time.time_ns() // 1_000
+
+
 def _call(send: Callable, client: Any, row: dict, policy: AttemptPolicy,
           take: Callable[[], None] = lambda: None) -> dict:
     """One row through the transport, waiting for a token before every attempt. Never raises."""
-    started = datetime.now(timezone.utc)
+    started = _now()
     clock = time.perf_counter()
     for n in range(max(1, policy.attempts)):
         reply, kind, text, code, body, hint = None, None, None, None, None, None
@@ -117,7 +122,7 @@ def _call(send: Callable, client: Any, row: dict, policy: AttemptPolicy,
         elapsed = reply.elapsed_ms
     return {**row, "code": code, "body": body, "kind": kind, "failure_text": text,
             "attempts": n + 1, "execution_time_ms": elapsed, "retry_after": hint if kind else None,
-            "started_at": started, "finished_at": datetime.now(timezone.utc)}
+            "started_at": started, "finished_at": _now()}
 
 
 class _Throttle:
@@ -173,20 +178,47 @@ def _caller(send: Callable, open_client: Callable | None, policy: AttemptPolicy,
         with kept_client(open_client, concurrency, key, keep_clients) as (client, pool):
             def one(row: dict) -> dict:
                 if row["reject_code"] is not None:
-                    now = datetime.now(timezone.utc)
+                    now = _now()
                     return {**row, "code": row["reject_code"], "kind": st.HTTP, "attempts": 0,
-                            "body": row["reject_text"], "execution_time_ms": 0,
-                            "started_at": now, "finished_at": now}
+                            "body": row["reject_text"], "failure_text": None, "execution_time_ms": 0,
+                            "retry_after": None, "started_at": now, "finished_at": now}
                 return _call(send, client, row, policy, throttle.take)
 
             for batch in batches:
-                rows = batch.to_pylist()
+                rows = _rows(batch)
                 results = _window(pool, one, rows, 2 * concurrency) if pool else map(one, rows)
+                at = 0
                 for done in _parcels(results):
-                    yield pa.RecordBatch.from_pylist(done, schema=arrow_schema)
+                    yield _answered(batch.slice(at, len(done)), done, arrow_schema)
+                    at += len(done)
     return run
 
 
+def _values(column: pa.Array) -> list:
+    """``to_pylist``, which takes values one by one, where there is no faster way."""
+    if column.null_count == len(column):
+        return [None] * len(column)
+    if pa.types.is_string(column.type) or pa.types.is_integer(column.type) and not column.null_count:
+        return column.to_numpy(zero_copy_only=False).tolist()
+    return column.to_pylist()
+
+
+def _rows(batch: pa.RecordBatch) -> list[dict]:
+    names = batch.schema.names
+    return [dict(zip(names, values, strict=True))
+            for values in zip(*map(_values, batch.columns), strict=True)]
+
+
+def _answered(batch: pa.RecordBatch, done: list[dict], arrow_schema: pa.Schema) -> pa.RecordBatch:
+    """The rows with what their calls returned: their own columns are handed on as they came."""
+    kept = [column if column.type == field.type else column.cast(field.type)
+            for column, field in zip(batch.columns, arrow_schema)]
+    fields = list(arrow_schema)[len(kept):]
+    values = zip(*map(itemgetter(*(field.name for field in fields)), done), strict=True)
+    found = [pa.array(column, field.type) for column, field in zip(values, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(kept + found, schema=arrow_schema)
+
+
 def most_running(master: str, conf: Callable[[str, str], str], tasks: int, cores_here: int) -> int:
     """How many of some tasks can run at the same time at most, as far as the settings tell; else all of them.
 
@@ -275,6 +307,10 @@ def dispatch(worklist: DataFrame, send: Callable[[Any, dict], Reply], *, stage_p
     same result when a row is sent again. Outcomes also carry the count their row came with and when the
     service asked to be called again. Further arguments are those of ``call_rows``.
     """
+    spark = worklist.sparkSession
+    if is_complete(spark, stage_path):
+        # The worklist need not even be counted.
+        return spark.read.schema(StructType(OUTCOME.fields + CARRIED.fields)).parquet(stage_path)
     calls = call_rows(worklist, send, **calling)
     outcomes = read_calls(calls, correlation_id, mode, errors)
     return stage(outcomes.select(*OUTCOME.fieldNames(), *CARRIED.fieldNames()), stage_path)

@@ -296,3 +296,23 @@ def test_the_rate_holds_for_all_tasks_together(spark, tmp_path):
     assert per_second <= 110
     # Between tasks a worker has to start; apart from that the rate is used.
     assert per_second >= 40
+
+
+def test_finished_outcomes_are_read_without_the_worklist(spark, tmp_path):
+    path = str(tmp_path / "out")
+    dispatch(due(spark, "a", "b"), lambda client, row: Reply(200, "{}"), stage_path=path, correlation_id="r")
+    never = due(spark, "a", "b").filter(F.raise_error(F.lit("read again")).cast("boolean"))
+    again = dispatch(never, lambda client, row: Reply(500), stage_path=path, correlation_id="r")
+    assert rows(again, "document_id", "ok") == [("a", True), ("b", True)]
+
+
+def test_columns_are_handed_on(spark):
+    """Values of every kind, nulls and numbers among them, reach the transport and come back as they were."""
+    table = due(spark, "a", "b", None).withColumns({
+        "retry_count": F.when(F.col("document_id") == "a", 3), "when": F.timestamp_seconds(F.lit(1.5)),
+        "list": F.array(F.lit(1), F.lit(None).cast("int")), "size": F.length("document_id").cast("bigint")})
+    send = lambda client, row: Reply(200, repr([row["retry_count"], row["list"], row["size"], row["document_id"]]))
+    got = call_rows(table, send, partitions=1)
+    assert rows(got.select(*table.columns)) == rows(table)
+    assert sorted(r.body for r in got.collect()) == [
+        "[3, [1, None], 1, 'a']", "[None, [1, None], 1, 'b']", "[None, [1, None], None, None]"]
