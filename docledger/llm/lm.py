@@ -39,6 +39,7 @@ CONTEXT_WORDS, OUTPUT_WORDS = 4_096, 320
 #: Classes of the other words by their last two bytes.
 CONTEXT_CLASSES, OUTPUT_CLASSES = 1_024, 64
 BEFORE, WIDTH = 4, 24
+_FEW_ROWS = max(CONTEXT_WORDS + CONTEXT_CLASSES + 1, OUTPUT_WORDS + OUTPUT_CLASSES + 1) <= 1 << 16
 #: Training texts of the start sample, those with the smallest hash of their id.
 START_TEXTS = 2_000
 NOISE, BATCH, RATE = 64, 1_024, 0.15
@@ -134,12 +135,13 @@ def new_model(words: Words, seed: int = 11) -> Model:
         np.log(words.noise).astype(np.float32))
 
 
-def _added(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and the sum of the values of each."""
-    order = np.argsort(rows, kind="stable")
+def _runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that brings equal rows together, where each begins in it, and the distinct rows."""
+    # Numbers of 16 bits are sorted by their digits.
+    order = np.argsort(rows.astype(np.uint16) if _FEW_ROWS else rows, kind="stable")
     rows = rows[order]
     starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-    return rows[starts], np.add.reduceat(values[order], starts, axis=0)
+    return order, starts, rows[starts]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -162,26 +164,38 @@ class Trainer:
 
     def _step(self, part: int, rows, slope) -> None:
         value, grown = self.model.parts()[part], self.grown[part]
-        grown[rows] += slope * slope
-        value[rows] -= RATE * slope / np.sqrt(grown[rows])
+        now = grown[rows] + slope * slope
+        grown[rows] = now
+        value[rows] -= RATE * slope / np.sqrt(now)
 
     def batch(self, before: np.ndarray, wanted: np.ndarray) -> None:
         """``before``: context rows, nearest first; ``wanted``: the true outputs."""
         m, n = self.model, len(wanted)
         noise = np.minimum(np.searchsorted(self.noise, self.rng.random(NOISE)), len(self.noise) - 1)
-        vectors = m.contexts[before]
-        q = (vectors * m.places).sum(1)
-        of_true, of_noise = m.outputs[wanted], m.outputs[noise]
+        vectors = [m.contexts.take(before[:, j], axis=0) for j in range(BEFORE)]
+        q = vectors[0] * m.places[0]
+        for j in range(1, BEFORE):
+            q += vectors[j] * m.places[j]
+        of_true, of_noise = m.outputs.take(wanted, axis=0), m.outputs[noise]
         true = _sigmoid(np.einsum("ij,ij->i", q, of_true) + (m.bias[wanted] - self.shift[wanted])) - 1
         false = q @ of_noise.T
         false += m.bias[noise] - self.shift[noise]
         false = _sigmoid(false)
-        dq = true[:, None] * of_true + false @ of_noise
-        rows = np.concatenate([wanted, noise])
-        at, slope = _added(rows, np.concatenate(
-            [np.column_stack([true[:, None] * q, true]), np.column_stack([false.T @ q, false.sum(0)])]))
-        places = np.einsum("ik,ijk->jk", dq, vectors) / n
-        of, given = _added(before.ravel(), (dq[:, None] * m.places).reshape(-1, WIDTH))
+        dq = true[:, None] * of_true
+        dq += false @ of_noise
+        # Slopes of the outputs, and of their bias in the last column.
+        values = np.empty((n + NOISE, WIDTH + 1), np.float32)
+        np.multiply(true[:, None], q, out=values[:n, :-1])
+        values[:n, -1] = true
+        values[n:, :-1] = false.T @ q
+        values[n:, -1] = false.sum(0)
+        order, starts, at = _runs(np.concatenate([wanted, noise]))
+        slope = np.add.reduceat(values.take(order, axis=0), starts, axis=0)
+        places = np.stack([np.einsum("ik,ik->k", dq, v) for v in vectors]) / n
+        order, starts, of = _runs(before.ravel())
+        given = dq.take(order // BEFORE, axis=0)
+        given *= m.places.take(order % BEFORE, axis=0)
+        given = np.add.reduceat(given, starts, axis=0)
         self._step(2, at, slope[:, :-1] / n)
         self._step(3, at, slope[:, -1] / n)
         self._step(0, of, given / n)
@@ -281,10 +295,12 @@ def word_counts(docs: DataFrame, **names) -> DataFrame:
     def counted(parts):
         h = np.concatenate(parts)
         found, first, n = np.unique(h[:, 0], return_index=True, return_counts=True)
-        yield from zip(found.view(np.int64).tolist(), h[first, 1].astype(np.int64).tolist(), n.tolist(),
-                       strict=True)
+        table = pa.RecordBatch.from_arrays(
+            [pa.array(found.view(np.int64)), pa.array(h[first, 1].astype(np.int64)), pa.array(n.astype(np.int64))],
+            names=["h", "tail", "n"])
+        yield from (table.slice(at, 50_000) for at in range(0, len(found), 50_000))
 
-    seen = map_documents(docs, "h bigint, tail bigint, n bigint", each, **names, batch_rows=50_000)
+    seen = map_documents(docs, "h bigint, tail bigint, n bigint", each, **names)
     return seen.groupBy("h", "tail").agg(F.sum("n").alias("n"))
 
 

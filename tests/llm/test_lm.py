@@ -106,3 +106,45 @@ def test_all_training_texts_are_learned(spark, monkeypatch):
           for w in ("one", "red", "green")}
     gain = {w: float(np.abs(learned.outputs[i] - start.outputs[i]).max()) for w, i in at.items()}
     assert gain["red"] > 0.3 * gain["one"] and gain["green"] > 0.3 * gain["one"]
+
+
+def test_a_step_against_loops():
+    """Rows that occur several times in a batch get the sum of their slopes, each parameter its own rate."""
+    rng = np.random.default_rng(5)
+    outputs, rows = 7, lm.CONTEXT_WORDS + lm.CONTEXT_CLASSES + 1
+    shares = rng.random(outputs)
+    shares /= shares.sum()
+    model = lm.Model(rng.normal(0, 0.1, (rows, lm.WIDTH)).astype(np.float32), np.ones((lm.BEFORE, lm.WIDTH), np.float32),
+                     rng.normal(0, 0.1, (outputs, lm.WIDTH)).astype(np.float32), np.log(shares).astype(np.float32))
+    before, wanted = rng.integers(0, 5, (40, lm.BEFORE)) * 1_280, rng.integers(0, outputs, 40)
+    trainer = lm.Trainer(model, shares, 3)
+    noise = np.searchsorted(np.cumsum(shares), np.random.default_rng(3).random(lm.NOISE))
+    slopes = [np.zeros(p.shape) for p in model.parts()]
+    shift = np.log(lm.NOISE * shares)
+    for ids, w in zip(before, wanted, strict=True):
+        q = sum(model.contexts[i].astype(float) * p for i, p in zip(ids, model.places, strict=True))
+        dq = np.zeros(lm.WIDTH)
+        for o, true in [(w, 1), *((o, 0) for o in noise)]:
+            g = 1 / (1 + math.exp(-(q @ model.outputs[o] + model.bias[o] - shift[o]))) - true
+            dq += g * model.outputs[o]
+            slopes[2][o] += g * q / 40
+            slopes[3][o] += g / 40
+        for j, i in enumerate(ids):
+            slopes[0][i] += dq * model.places[j] / 40
+            slopes[1][j] += dq * model.contexts[i] / 40
+    trainer.batch(before, wanted)
+    for got, old, slope in zip(trainer.model.parts(), model.parts(), slopes, strict=True):
+        assert got == pytest.approx(old - lm.RATE * slope / np.sqrt(1e-6 + slope ** 2), abs=2e-3)
+
+
+def test_counts_leave_the_tasks_as_batches(spark, monkeypatch):
+    """Not as a Python row for each word."""
+    docs, taken = given.documents(spark, given.small()), []
+
+    def seen(docs, schema, each, **names):
+        taken.extend(each(iter([(1, b"a b a"), (2, b"")])))
+        return spark.createDataFrame([], schema)
+    monkeypatch.setattr(lm, "map_documents", seen)
+    lm.word_counts(docs)
+    assert [b.column("n").to_pylist() for b in taken] and sum(sum(b.column("n").to_pylist()) for b in taken) == sum(
+        n + 1 for i, n in ((1, 3), (2, 0)) if not lm.held_out(i))
