@@ -24,6 +24,7 @@ from docledger.llm.text import map_documents
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 BLOCK_ROWS = 20_000
+GROUP = 1 << 18  # bytes of texts counted at a time
 SCHEMA = ("doc_id bigint, piece int, start bigint, n_tokens int, bin_id bigint, bin_offset int, "
           "bin_length int, bin_used int")
 
@@ -98,6 +99,20 @@ class Packer:
         return out
 
 
+def counted(documents: Iterator[tuple], count: Callable[[bytes], int]) -> Iterator[tuple]:
+    """Id and count of each text in turn; a ``count`` that takes ``many`` texts gets some at a time."""
+    many = getattr(count, "many", lambda texts: map(count, texts))
+    ids, texts, size = [], [], 0
+    for doc_id, raw in documents:
+        ids.append(doc_id)
+        texts.append(raw)
+        size += len(raw)
+        if size > GROUP or len(ids) == 500:
+            yield from zip(ids, many(texts), strict=True)
+            ids, texts, size = [], [], 0
+    yield from zip(ids, many(texts), strict=True)
+
+
 def pack(
     docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, count: Callable[[bytes], int] = words_and_end,
     price: Callable[[int], float] = cost, block_rows: int = BLOCK_ROWS,
@@ -115,8 +130,7 @@ def pack(
     def each(documents):
         packer, block, pieces = Packer(lengths, price), 0, []
         task = TaskContext.get().partitionId()
-        for rows, (doc_id, raw) in enumerate(documents, 1):
-            total = count(raw)
+        for rows, (doc_id, total) in enumerate(counted(documents, count), 1):
             pieces += [(doc_id, n, start, min(longest, total - start))
                        for n, start in enumerate(range(0, total, longest))]
             if rows % block_rows == 0 or len(pieces) >= 2 * block_rows:

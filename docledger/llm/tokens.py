@@ -6,12 +6,17 @@ their overlap where both have a token boundary and which is proven stable: no pi
 vocabulary holds the two characters around it next to each other, so no merge can ever cross it and
 both sides are encoded independently. Where the overlap has no such position it is doubled, at
 worst until the chunk reaches the end of the text, which is then the plain encoding.
+
+By the same rule texts may be cut wherever no piece holds the two characters, so that a segment which
+occurs again is encoded once (``Segments``).
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 
+from docledger.llm.lattice import Cutter, Pieces, pieces
 from docledger.llm.text import map_documents
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, n_chunks int, n_widened int"
@@ -66,23 +71,87 @@ class Counter:
         return total + tokens - taken, chunks, widened
 
 
+class Segments:
+    """Token counts of texts by those of their segments, of which about ``kept`` are remembered.
+
+    A hash of 64 bits is taken for the segment, as in the lattice; 16 bytes are held for each.
+    """
+
+    def __init__(self, counter: Counter, table: Pieces, kept: int = 1 << 19):
+        self.encoder, self.cutter, self.kept = counter.encoder, Cutter(table), kept
+        self.line_end = counter.encoder.piece_to_id("<0x0A>")
+        self.hashes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    @staticmethod
+    def suit(counter: Counter) -> bool:
+        """Whether the model takes texts as they are, unknown characters byte by byte, line ends alone, and
+        joins no blank to what stands before it."""
+        encoder, probe = counter.encoder, " \n  ﬁｅ\t "
+        line_end = encoder.piece_to_id("<0x0A>")
+        return (encoder.is_byte(line_end) and encoder.encode("\n")[1:] == [line_end]
+                and encoder.normalize(probe) == ("▁" + probe).replace(" ", "▁")
+                and not any("\n" in pair or (pair[1] == "▁" != pair[0]) for pair in counter.joined))
+
+    def _encoded(self, segments: list[str]) -> np.ndarray:
+        counts = np.ones(len(segments), np.int64)
+        others = [i for i, segment in enumerate(segments) if segment != "\n"]
+        if others:
+            # A line's end, which is one token, stands before each.
+            text = "".join("\n" + segments[i] for i in others)
+            ids = self.encoder.encode([text], num_threads=1, return_type="numpy")[0]
+            counts[others] = np.diff(np.append(np.flatnonzero(ids == self.line_end), len(ids))) - 1
+        return counts
+
+    def many(self, texts: list[bytes]) -> np.ndarray:
+        total = np.zeros(len(texts), np.int64)
+        for owner, h, joined, starts, ends in self.cutter(texts):
+            order = np.argsort(h)
+            h = h[order]
+            begins = np.concatenate(([True], h[1:] != h[:-1]))
+            found, first = h[begins], order[begins]
+            at = np.searchsorted(self.hashes, found)
+            new = np.ones(len(found), bool)
+            inside = at < len(self.hashes)
+            new[inside] = self.hashes[at[inside]] != found[inside]
+            counts = np.zeros(len(found), np.int64)
+            counts[~new] = self.counts[at[~new]]
+            first = first[new]
+            counts[new] = self._encoded([joined[a:b] for a, b in zip(
+                starts[first].tolist(), ends[first].tolist(), strict=True)])
+            self.hashes = np.insert(self.hashes, at[new], found[new])
+            self.counts = np.insert(self.counts, at[new], counts[new])
+            if len(self.hashes) > self.kept:
+                self.hashes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            np.add.at(total, owner[order], counts[np.cumsum(begins) - 1])
+        return total
+
+
 class TokensAndEnd:
-    """Exact tokens of one text, and one end; the counter is built once by each task that uses it.
+    """Exact tokens of texts, and one end for each; the counter is built once by each task that uses it.
 
-    Chunks are long, as a text that is spliced costs about twice as much for each character.
+    Texts are counted by their segments where the model suits. Chunks are long, as a text that is spliced
+    costs about twice as much for each character.
     """
 
     def __init__(self, docs: DataFrame, model_path: str, chunk_chars: int = 262_144):
         with open(model_path, "rb") as file:
-            self.model = docs.sparkSession.sparkContext.broadcast(file.read())
-        self.chunk_chars, self.counter = chunk_chars, None
+            self.model = docs.sparkSession.sparkContext.broadcast((file.read(), pieces(model_path)))
+        self.chunk_chars, self.counter, self.segments = chunk_chars, None, None
 
     def __call__(self, raw: bytes) -> int:
+        return self.many([raw])[0]
+
+    def many(self, raws: list[bytes]) -> list[int]:
         if self.counter is None:
-            self.counter = Counter(self.model.value, self.chunk_chars)
-        text = raw.decode()
-        whole = len(text) <= self.counter.chunk
-        return (self.counter.plain([text])[0] if whole else self.counter.spliced(text)[0]) + 1
+            model, table = self.model.value
+            self.counter = Counter(model, self.chunk_chars)
+            self.segments = Segments(self.counter, table) if Segments.suit(self.counter) else None
+        long = {i: self.counter.spliced(text)[0] for i, raw in enumerate(raws)
+                if len(raw) > self.chunk_chars and len(text := raw.decode()) > self.chunk_chars}
+        short = [b"" if i in long else raw for i, raw in enumerate(raws)]
+        counts = (self.segments.many(short).tolist() if self.segments
+                  else self.counter.plain([raw.decode() for raw in short]))
+        return [long.get(i, n) + 1 for i, n in enumerate(counts)]
 
 
 def count_tokens(

@@ -105,3 +105,19 @@ def test_query_packs_exact_tokens(spark, tmp_path):
             at += size
         assert at == len(encoder.encode(text or "")) + 1
     assert len(of[7002]) > 1 and len(of[7003]) > 1
+
+
+@pytest.mark.parametrize("group", [1 << 18, 1, 50])
+def test_counted_keeps_the_order(monkeypatch, group):
+    from docledger.llm import packing
+
+    class Many:
+        def many(self, texts):
+            assert len(texts) <= 500
+            return [len(text) for text in texts]
+
+    monkeypatch.setattr(packing, "GROUP", group)
+    rows = [(None if i % 7 == 0 else i, b"x" * (i % 13)) for i in range(1203)]
+    expected = [(i, len(raw)) for i, raw in rows]
+    assert list(packing.counted(iter(rows), Many())) == list(packing.counted(iter(rows), len)) == expected
+    assert list(packing.counted(iter([]), Many())) == []
