@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger.llm.graph import components, stored
-from docledger.llm.text import map_documents, shingle_set, word_hashes
+from docledger.llm.text import handing_back, map_documents, shingle_set, word_hashes
 
 #: N-grams known as frequent; all tasks hold this list (16 bytes each).
 FREQUENT = 131_072
@@ -197,7 +197,7 @@ def first_columns(docs: DataFrame, of: DataFrame, k: int, percent: int, frequent
                 if rows:
                     yield columns(rows, arrow)
 
-    return texts.mapInArrow(run, schema).select(
+    return texts.mapInArrow(handing_back(run), schema).select(
         F.col("doc_id").alias("class_id"), "n", F.explode("grams").alias("gram"))
 
 
@@ -287,7 +287,7 @@ def compare(docs: DataFrame, pairs: DataFrame, k: int, percent: int, id_col: str
             if rows:
                 yield columns(rows, arrow)
 
-    return placed.mapInArrow(product, schema)
+    return placed.mapInArrow(handing_back(product), schema)
 
 
 def jaccard_join(
@@ -451,7 +451,7 @@ def multiply(docs: DataFrame, clusters: DataFrame, k: int, percent: int, id_col:
         if rows := list(links):
             yield columns(rows, arrow)
 
-    return placed.mapInArrow(product, schema)
+    return placed.mapInArrow(handing_back(product), schema)
 
 
 class Tile:

@@ -22,11 +22,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.text import map_documents
+from docledger.llm.text import hand_back, map_documents
 from docledger.session import ship
 
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date")
@@ -297,9 +297,11 @@ def with_pseudonyms(docs: DataFrame, key: bytes, text_col: str = "text") -> Data
     """``docs`` with its text replaced, all other columns as they were; a null text stays null."""
     ship(docs.sparkSession)
 
-    @F.pandas_udf("string")
-    def changed(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def changed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         feistel = Feistel(key)
-        return texts.map(lambda t: None if t is None else pseudonymise(t, feistel)[0])
+        for texts in batches:
+            yield pa.array([None if t is None else pseudonymise(t, feistel)[0] for t in texts.to_pylist()], pa.string())
+        hand_back()
 
     return docs.withColumn(text_col, changed(F.col(f"`{text_col}`")))

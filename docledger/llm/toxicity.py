@@ -21,6 +21,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -245,7 +246,8 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most: in
     whole = in_toxic.where("endswith(name, '$')").select(F.expr("rtrim('$', name)").alias("word"))
     rows = counted.orderBy(F.desc("chi"), "name").limit(most).collect()
     kept = [r["name"] for r in rows]
-    beginnings = spark.createDataFrame([(name,) for name in kept if not name.endswith("$")], "stem string")
+    # An Arrow table needs no Python on the executors, rows would start workers of another kind there.
+    beginnings = spark.createDataFrame(pa.table({"stem": pa.array([n for n in kept if not n.endswith("$")], pa.string())}))
     sizes = F.array(*[F.lit(n) for n in STEMS])
     under = {r["stem"]: r["count"] for r in whole.select(
         F.explode(F.filter(sizes, lambda n: n < F.length("word"))).alias("n"), "word").select(

@@ -1,7 +1,11 @@
+import os
+import re
 from collections import Counter
+from pathlib import Path
 
 import llm_helpers as given
 import numpy as np
+import pyarrow as pa
 
 from docledger.llm import text
 from docledger.llm.text import map_documents, shingle_set, windows, word_hashes
@@ -44,3 +48,25 @@ def test_rows_keep_their_ids(spark):
 def test_id_types_stay(spark):
     docs = spark.createDataFrame([("x", "a")], "doc_id string, text string")
     assert map_documents(docs, "doc_id bigint, size int", lambda d: ((i, len(t)) for i, t in d)).collect() == [("x", 1)]
+
+
+def test_workers_hand_back_what_a_task_used(spark):
+    """A Python worker that has held many megabytes is small again for the task after."""
+    def anonymous():
+        return int(re.search(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) // 1024
+
+    def little(documents):
+        yield from ((os.getpid(), anonymous()) for _ in documents)
+
+    def much(documents):
+        for _ in documents:
+            held = [pa.array(["x" * 2000] * 10_000) for _ in range(6)]
+            rows = [column.to_pylist() for column in held]
+            yield os.getpid(), anonymous()
+            del held, rows
+
+    docs = given.documents(spark, [(1, "a")], 1)
+    schema = "pid bigint, megabytes bigint"
+    pid, most = map_documents(docs, schema, much).collect()[0]
+    after = next(n for worker, n in (map_documents(docs, schema, little).collect()[0] for _ in range(50)) if worker == pid)
+    assert after < most - 170, (after, most)

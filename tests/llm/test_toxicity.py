@@ -3,6 +3,7 @@ from collections import Counter
 
 import llm_helpers as given
 import numpy as np
+from pyspark import SparkContext
 
 from docledger.llm.toxicity import CATEGORIES, Known, drop_toxic, features, fit_chain, score, train
 
@@ -104,6 +105,30 @@ def test_documents_that_repeat_a_labelled_id_count_once(spark):
     assert all((a.weights == b.weights).all() and a.bias == b.bias for a, b in zip(once.links, often.links, strict=True))
 
 
+def test_training_sends_no_rows_through_python_workers_of_another_kind(spark, monkeypatch):
+    rows, labels = corpus()
+    sent, plain = [], SparkContext.parallelize
+
+    def parallelize(self, rows, *args):
+        sent.extend(rows := list(rows))
+        return plain(self, rows, *args)
+
+    docs, marks = given.documents(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    monkeypatch.setattr(SparkContext, "parallelize", parallelize)
+    chain = train(docs, marks)
+    assert any(not name.endswith("$") for name in chain.names) and sent == []
+
+
+def test_no_stems_at_all(spark):
+    """Words of three letters have no beginnings of their own."""
+    rows = [(i, f"aaa bbb {'zok' if i % 5 == 0 else 'ccc'}") for i in range(200)]
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(200)]
+    docs = given.documents(spark, rows)
+    chain = train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    assert chain.names == ["zok$"]
+    assert {r.doc_id for r in score(docs, chain).where("toxic").collect()} == set(range(0, 200, 5))
+
+
 def test_long_words_are_whole():
     long = "a" * 100
     assert long + "$" in features(long) and Known([long + "$"])(f"x {long} y") == [0]
