@@ -144,10 +144,41 @@ def _runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, starts, rows[starts]
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place; beyond 30 nothing changes that counts."""
-    np.clip(x, -30, 30, out=x)
-    np.negative(x, out=x)
+def _run_sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each run: those of ``np.add.reduceat`` over ``values[order]``, in the same order.
+
+    That takes its time for each run and column, and most runs have a row or two.
+    """
+    sizes = np.diff(starts, append=len(order))
+    sums = values.take(order.take(starts), axis=0)
+    for size in (2, 3):
+        of = np.flatnonzero(sizes == size)
+        at = starts.take(of)
+        rest = values.take(order.take(at + 1), axis=0)
+        if size == 3:
+            rest += values.take(order.take(at + 2), axis=0)
+        sums[of] += rest
+    longer = sizes > 3
+    of = np.flatnonzero(longer)
+    if len(of):
+        ends = np.cumsum(sizes.take(of))
+        rows = values.take(order[np.repeat(longer, sizes)], axis=0)
+        sums[of] = np.add.reduceat(rows, np.concatenate(([0], ends[:-1])), axis=0)
+    return sums
+
+
+def _added(parts: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """The sum of the vectors that stand side by side in each row of ``parts``."""
+    np.add(parts[:, :WIDTH], parts[:, WIDTH:2 * WIDTH], out=out)
+    for j in range(2, BEFORE):
+        out += parts[:, j * WIDTH:(j + 1) * WIDTH]
+    return out
+
+
+def _sigmoid(x: np.ndarray, steepest: float = math.inf) -> np.ndarray:
+    """Of ``-x``, in place; beyond 30 nothing changes that counts. No ``x`` is larger than ``steepest``, or smaller than its opposite."""
+    if not steepest < 30:
+        np.clip(x, -30, 30, out=x)
     np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
@@ -162,50 +193,61 @@ class Trainer:
         self.rng, self.noise = np.random.default_rng(seed), np.cumsum(noise)
         self.shift = np.log(NOISE * noise).astype(np.float32)
 
-    def _step(self, part: int, rows, slope) -> None:
+    def _step(self, part: int, rows: np.ndarray, slope: np.ndarray) -> None:
+        """Changes ``slope``."""
         value, grown = self.model.parts()[part], self.grown[part]
-        now = grown[rows] + slope * slope
+        now = grown.take(rows, axis=0)
+        now += slope * slope
         grown[rows] = now
-        value[rows] -= RATE * slope / np.sqrt(now)
+        slope *= RATE
+        slope /= np.sqrt(now, out=now)
+        now = value.take(rows, axis=0)
+        now -= slope
+        value[rows] = now
 
     def batch(self, before: np.ndarray, wanted: np.ndarray) -> None:
         """``before``: context rows, nearest first; ``wanted``: the true outputs."""
         m, n = self.model, len(wanted)
         noise = np.minimum(np.searchsorted(self.noise, self.rng.random(NOISE)), len(self.noise) - 1)
-        vectors = [m.contexts.take(before[:, j], axis=0) for j in range(BEFORE)]
-        q = vectors[0] * m.places[0]
-        for j in range(1, BEFORE):
-            q += vectors[j] * m.places[j]
-        of_true, of_noise = m.outputs.take(wanted, axis=0), m.outputs[noise]
-        true = _sigmoid(np.einsum("ij,ij->i", q, of_true) + (m.bias[wanted] - self.shift[wanted])) - 1
-        false = q @ of_noise.T
-        false += m.bias[noise] - self.shift[noise]
-        false = _sigmoid(false)
+        vectors = m.contexts.take(before.ravel(), axis=0).reshape(n, BEFORE * WIDTH)
+        weight = m.places.ravel()
+        # The last coordinate of 1 takes the bias.
+        ones = np.ones((n, WIDTH + 1), np.float32)
+        q = _added(vectors * weight, ones[:, :WIDTH])
+        of_true, of_noise = m.outputs.take(wanted, axis=0), m.outputs.take(noise, axis=0)
+        ahead = m.bias - self.shift
+        true = _sigmoid(-(np.einsum("ij,ij->i", q, of_true) + ahead.take(wanted))) - 1
+        ahead = ahead.take(noise)
+        # No product can be larger than that of the lengths.
+        longest = math.sqrt(float(np.einsum("ij,ij->i", q, q).max()) * float((of_noise * of_noise).sum(1).max()))
+        false = _sigmoid(ones @ np.concatenate([-of_noise.T, -ahead[None]]), 1.01 * longest + float(np.abs(ahead).max()))
         dq = true[:, None] * of_true
         dq += false @ of_noise
         # Slopes of the outputs, and of their bias in the last column.
         values = np.empty((n + NOISE, WIDTH + 1), np.float32)
-        np.multiply(true[:, None], q, out=values[:n, :-1])
-        values[:n, -1] = true
+        np.multiply(true[:, None], ones, out=values[:n])
         values[n:, :-1] = false.T @ q
         values[n:, -1] = false.sum(0)
         order, starts, at = _runs(np.concatenate([wanted, noise]))
         slope = np.add.reduceat(values.take(order, axis=0), starts, axis=0)
-        places = np.stack([np.einsum("ik,ik->k", dq, v) for v in vectors]) / n
+        given = np.concatenate([dq] * BEFORE, axis=1)
+        places = np.einsum("ik,ik->k", given, vectors).reshape(BEFORE, WIDTH) / n
+        given *= weight
         order, starts, of = _runs(before.ravel())
-        given = dq.take(order // BEFORE, axis=0)
-        given *= m.places.take(order % BEFORE, axis=0)
-        given = np.add.reduceat(given, starts, axis=0)
-        self._step(2, at, slope[:, :-1] / n)
-        self._step(3, at, slope[:, -1] / n)
-        self._step(0, of, given / n)
-        self._step(1, slice(None), places)
+        given = _run_sums(given.reshape(-1, WIDTH), order, starts)
+        slope /= n
+        given /= n
+        self._step(2, at, slope[:, :-1].copy())
+        self._step(3, at, slope[:, -1].copy())
+        self._step(0, of, given)
+        self._step(1, np.arange(BEFORE), places)
 
     def learn(self, before: np.ndarray, wanted: np.ndarray) -> None:
         order = self.rng.permutation(len(wanted))
+        # Numbers of rows as numpy looks them up.
+        before, wanted = before.astype(np.intp).take(order, axis=0), wanted.astype(np.intp).take(order)
         for at in range(0, len(order), BATCH):
-            rows = order[at:at + BATCH]
-            self.batch(before[rows], wanted[rows])
+            self.batch(before[at:at + BATCH], wanted[at:at + BATCH])
 
 
 def positions(words: Words, texts: list[bytes]):
@@ -234,7 +276,7 @@ def positions(words: Words, texts: list[bytes]):
 def log_probabilities(model: Model, before: np.ndarray, output: np.ndarray,
                       rows: int = 2_048) -> np.ndarray:
     """Natural log of the normalised probability of each output after its context."""
-    weighted = [model.contexts * place for place in model.places]
+    weight = model.places.ravel()
     # One product gives the scores with their bias: contexts get a last coordinate of 1, outputs their bias.
     outputs = np.concatenate([model.outputs.T, model.bias[None]]).astype(np.float32)
     longest = float(np.sqrt((model.outputs ** 2).sum(1).max(initial=0)))
@@ -246,9 +288,9 @@ def log_probabilities(model: Model, before: np.ndarray, output: np.ndarray,
         ids = before[at:at + rows]
         n = len(ids)
         now, table = q[:n, :WIDTH], scores[:n]
-        now[:] = weighted[0][ids[:, 0]]
-        for j in range(1, BEFORE):
-            now += weighted[j][ids[:, j]]
+        vectors = model.contexts.take(ids.ravel(), axis=0).reshape(n, BEFORE * WIDTH)
+        vectors *= weight
+        _added(vectors, now)
         np.matmul(q[:n], outputs, out=table)
         picked = table[np.arange(n), output[at:at + rows]].astype(np.float64)
         # No score can be larger than this, so that mostly none has to be looked at.
@@ -294,9 +336,13 @@ def word_counts(docs: DataFrame, **names) -> DataFrame:
 
     def counted(parts):
         h = np.concatenate(parts)
-        found, first, n = np.unique(h[:, 0], return_index=True, return_counts=True)
+        # Any row of a word will do, so the order need not be stable.
+        order = np.argsort(h[:, 0])
+        found = h[order, 0]
+        starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        found, n = found[starts], np.diff(starts, append=len(h))
         table = pa.RecordBatch.from_arrays(
-            [pa.array(found.view(np.int64)), pa.array(h[first, 1].astype(np.int64)), pa.array(n.astype(np.int64))],
+            [pa.array(found.view(np.int64)), pa.array(h[order[starts], 1].astype(np.int64)), pa.array(n.astype(np.int64))],
             names=["h", "tail", "n"])
         yield from (table.slice(at, 50_000) for at in range(0, len(found), 50_000))
 

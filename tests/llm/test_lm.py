@@ -47,6 +47,61 @@ def test_base_against_counting(spark, monkeypatch, head):
         assert g[6] < 0 and math.isfinite(g[6])
 
 
+@pytest.mark.parametrize("sizes", [[1], [1, 1, 2], [3, 1, 2, 4, 1, 9, 200, 2], [2] * 50, [7]])
+def test_run_sums(sizes):
+    """To the last bit those of ``np.add.reduceat``, whatever the lengths of the runs."""
+    rng = np.random.default_rng(len(sizes))
+    rows = rng.permutation(np.repeat(np.arange(len(sizes)), sizes))
+    values = rng.normal(size=(len(rows), 5)).astype(np.float32)
+    order, starts, of = lm._runs(rows)
+    assert of.tolist() == list(range(len(sizes)))
+    assert np.array_equal(lm._run_sums(values, order, starts), np.add.reduceat(values[order], starts, axis=0))
+
+
+@pytest.mark.parametrize("scale", [0.1, 20.0])
+def test_step_against_plain(scale):
+    """One step with all slopes added up row by row, also where scores are so large that they are cut off."""
+    rng = np.random.default_rng(5)
+    n, outputs = 40, 30
+    noise = rng.random(outputs)
+    noise /= noise.sum()
+    shapes = (lm.CONTEXT_WORDS + lm.CONTEXT_CLASSES + 1, lm.WIDTH), (lm.BEFORE, lm.WIDTH), (outputs, lm.WIDTH), (outputs,)
+    model = lm.Model(*[rng.normal(0, scale, size).astype(np.float32) for size in shapes])
+    before, wanted = rng.integers(0, 12, (n, lm.BEFORE)), rng.integers(0, outputs, n)
+    trainer = lm.Trainer(model, noise, 3)
+    picked = np.minimum(np.searchsorted(np.cumsum(noise), np.random.default_rng(3).random(lm.NOISE)), outputs - 1)
+    trainer.batch(before, wanted)
+    contexts, places, out, bias = (part.astype(float) for part in model.parts())
+    slopes = [np.zeros(size) for size in shapes]
+    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    for i in range(n):
+        q = (contexts[before[i]] * places).sum(0)
+        dq = np.zeros(lm.WIDTH)
+        for o, true in [(wanted[i], 1), *((o, 0) for o in picked)]:
+            off = sigmoid(q @ out[o] + bias[o] - np.log(lm.NOISE * noise[o])) - true
+            dq += off * out[o]
+            slopes[2][o] += off * q / n
+            slopes[3][o] += off / n
+        for j in range(lm.BEFORE):
+            slopes[0][before[i, j]] += dq * places[j] / n
+            slopes[1][j] += dq * contexts[before[i, j]] / n
+    for got, old, slope in zip(trainer.model.parts(), model.parts(), slopes, strict=True):
+        assert np.allclose(got, old - lm.RATE * slope / np.sqrt(1e-6 + slope * slope), atol=2e-3)
+
+
+def test_counts_of_words(spark):
+    """Each word once for its task, with its last two bytes, however often it occurs."""
+    rows = [(1, "the a \u00e9x the"), (2, "A"), (4, None), (5, "of " * 70_000)]
+    assert not any(lm.held_out(i) for i, _ in rows)
+    got = {(r.h, r.tail): r.n for r in lm.word_counts(given.documents(spark, rows, 1)).collect()}
+    wanted = {}
+    for word, n in {"the": 2, "a": 2, "\u00e9x": 1, "of": 70_000}.items():
+        h, _ = lm.word_hashes([word.encode()], tails=True)
+        wanted[tuple(h.view(np.int64)[0].tolist())] = n
+    wanted[int(lm.END.view(np.int64)), 0] = len(rows)
+    assert got == wanted
+
+
 def test_model_beats_frequencies(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = lm.lm_scores(docs).where("held_out").collect()

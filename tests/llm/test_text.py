@@ -32,6 +32,16 @@ def test_long_texts_are_cut_at_blanks(monkeypatch):
     assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
 
 
+def test_words_of_any_bytes():
+    """Only the six blanks part words, the last two bytes are those of the word, a word hashes alike wherever it stands."""
+    data = bytes(range(256)) + b"\t\x00 " + bytes(range(255, -1, -1)) + b" ab ab\x0c\x0bb"
+    h, bounds = word_hashes([data, b"", data], lower=False, tails=True)
+    parts = data.split() * 2
+    assert bounds.tolist() == [0, len(parts) // 2, len(parts) // 2, len(parts)]
+    assert h[:, 1].tolist() == [int.from_bytes(w[-2:], "big") for w in parts]
+    assert len(set(zip(parts, h[:, 0].tolist(), strict=True))) == len(set(parts)) == len(set(h[:, 0].tolist()))
+
+
 def test_windows_follow_the_words():
     h, _ = word_hashes([b"a b c a b c d"])
     three = windows(h, 3)
